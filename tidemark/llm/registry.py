@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op09_ring
+from tidemark.llm import op03_slack, op08_simhash, op09_ring
 
 QUERIES = {
+    "op3_min_slack": op03_slack.query,
+    "op8_simhash": op08_simhash.query,
     "op9_ring": op09_ring.query,
 }
 ORACLES: dict[str, str] = {}
