@@ -33,3 +33,26 @@ def id_crc(doc_id: Column | str = "doc_id") -> Column:
 def held_out(divisor: int, remainder: int) -> Column:
     """True for the fold that no model learns from; a null id is never learned from."""
     return F.coalesce(id_crc() % divisor == remainder, F.lit(True))
+
+
+#: Runs of these are words once A-Z is lower-cased: digits, a-z and all that is not ASCII.
+ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def alnum_words(text: Column) -> Column:
+    """The lower-cased words of a text.
+
+    ``lower`` also turns two letters that are not ASCII into ASCII ones, so these
+    are replaced first; other letters stay outside ASCII, whatever their case.
+    """
+    kept = F.replace(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("µ")), F.lit("İ"), F.lit("µ"))
+    return F.regexp_extract_all(F.lower(kept), F.lit(f"({ALNUM})"), F.lit(1))
+
+
+def same_row(left: str, right: str, *more: str) -> Column:
+    """The join of a document's rows on its id (null equals null) and text hash."""
+    keys = ["doc_id", "text_hash", *more]
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return cond

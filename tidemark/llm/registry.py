@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op03_slack, op08_simhash, op09_ring
+from tidemark.llm import op03_slack, op06_spaced, op07_randomness, op08_simhash, op09_ring, op10_diagonal
 
 QUERIES = {
     "op3_min_slack": op03_slack.query,
+    "op6_spaced_seeds": op06_spaced.query,
+    "op7_randomness": op07_randomness.query,
     "op8_simhash": op08_simhash.query,
     "op9_ring": op09_ring.query,
+    "op10_diagonal": op10_diagonal.query,
 }
 ORACLES: dict[str, str] = {}
