@@ -2,12 +2,11 @@
 
 A mask is a pattern over ``SPAN`` successive words of which some are ignored;
 the others are hashed.  Every mask is laid on every place of the benchmark items
-and of the documents; where hashes meet, the item's place names a diagonal of
-the document, and the whole item is compared with the document's words along it,
-word by word, so that substituted words do not break an overlap.  A document and
-an item overlap if at least ``LEAST`` words agree (or, for an item of fewer words
-than two spans, three quarters of it), and these are three quarters of the stretch
-that the hits span, or half of the item.
+and of the documents.  Where hashes meet, the words within ``AROUND`` of the hit
+are compared one by one, so that substituted words do not break an overlap: a
+document and an item overlap if at least ``LEAST`` of them agree (or, for a short
+item, ``SHARE`` of its words).  Of the places where an item repeats a seed, the
+first stands for all.
 
 Words are the lower-cased alphanumeric ones.  Hashing, join and comparison take
 place in the scan's own stage, so no text is shuffled.  The benchmark's seeds and
@@ -31,7 +30,8 @@ from tidemark.llm.common import alnum_words, same_row, table
 #: Which of SPAN words are hashed.
 MASKS = ("11011011", "11101101", "10110111")
 SPAN = 8
-LEAST = 12
+AROUND = 8
+LEAST, SHARE = 12, 0.85
 BROADCAST_SEEDS = 2_000_000
 
 
@@ -42,15 +42,19 @@ def seeds(words: Column, pos: Column) -> Column:
 
 def _places(rows: DataFrame) -> DataFrame:
     """The columns of ``rows`` with a row for each word that starts a whole span, as ``pos``, and each mask's ``seed``."""
-    each = rows.select("*", F.posexplode("words").alias("pos", "word")).where(F.col("pos") + SPAN <= F.size("words"))
+    each = rows.select("*", F.posexplode_outer("words").alias("pos", "word")).where(F.col("pos") + SPAN <= F.size("words"))
     return each.select("*", F.explode(seeds(F.col("words"), F.col("pos"))).alias("seed")).drop("word")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, item_id, start_word, matched, item_words): the overlaps, one for each document and item."""
+    """(doc_id, text_hash, item_id, start_word, matched, compared, item_words): one row for each document and item.
+
+    ``start_word`` is where the first overlap would have the item start, which may
+    lie before the text; ``matched`` is the most that agrees around one hit.
+    """
     items = benchmark.select("item_id", alnum_words(F.col("text")).alias("words")).distinct().where(F.size("words") >= SPAN)
     items = items.select("item_id", "words", F.xxhash64("item_id", "words").alias("item"))
-    places = _places(items.select("item", "words")).select("seed", "item", F.col("pos").alias("at"))
+    places = _places(items.select("item", "words")).groupBy("seed", "item").agg(F.min("pos").alias("at"))
     by_seed = places.groupBy("seed").agg(F.collect_list(F.struct("item", "at")).alias("entries"))
     texts = items.select("item", "item_id", F.col("words").alias("item_text"))
 
@@ -59,23 +63,31 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     near = F.broadcast if n_seeds <= BROADCAST_SEEDS else (lambda x: x)
 
     words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), alnum_words(F.col("text")).alias("words"))
-    hits = _places(words).join(near(by_seed), "seed").select("doc_id", "text_hash", "words", "pos", F.inline("entries"))
-    placed = hits.join(near(texts), "item").withColumn("diagonal", F.col("pos") - F.col("at"))
-    here = F.greatest(F.col("diagonal"), F.lit(0))
-    there = F.greatest(-F.col("diagonal"), F.lit(0))
-    agree = F.zip_with(
-        F.slice("words", here + 1, F.size("item_text") - there),
-        F.slice("item_text", there + 1, F.size("item_text")),
-        lambda a, b: F.coalesce(a == b, F.lit(False)),
-    )
-    matched = F.size(F.filter(agree, lambda x: x))
-    rows = placed.select("doc_id", "text_hash", "item", "item_id", "diagonal", "at", F.size("item_text").alias("item_words"), matched.alias("matched"))
-    along = rows.groupBy("doc_id", "text_hash", "item", "item_id", "diagonal", "item_words").agg(F.max("matched").alias("matched"), (F.max("at") + SPAN - F.min("at")).alias("stretch"))
-    enough = F.col("matched") >= F.least(F.lit(LEAST), F.ceil(0.75 * F.col("item_words")))
-    dense = (F.col("matched") >= 0.75 * F.col("stretch")) | (2 * F.col("matched") >= F.col("item_words"))
-    best = F.max(F.struct("matched", -F.col("diagonal"), "item_words")).alias("best")
-    found = along.where(enough & dense).groupBy("doc_id", "text_hash", "item_id").agg(best)
-    return found.select("doc_id", "text_hash", "item_id", (-F.col("best.col2")).cast("long").alias("start_word"), F.col("best.matched").cast("long").alias("matched"), F.col("best.item_words").cast("long").alias("item_words"))
+    # only the words around a hit go on from the join, not the whole text
+    since = F.greatest(F.col("pos") - AROUND, F.lit(0))
+    hits = _places(words).join(near(by_seed), "seed").select("doc_id", "text_hash", "pos", since.alias("since"), F.slice("words", since + 1, SPAN + 2 * AROUND).alias("around"), "entries")
+    each = hits.select("doc_id", "text_hash", "pos", "since", "around", F.inline("entries"))
+    # the stretch of both texts: as far before the hit as both go, and as far after it
+    before = F.least(F.col("pos") - F.col("since"), F.col("at"))
+    length = before + SPAN + AROUND
+    stretches = each.join(near(texts), "item").select(
+        "doc_id", "text_hash", "item_id",
+        F.size("item_text").alias("item_words"),
+        (F.col("pos") - F.col("at")).alias("diagonal"),
+        F.slice("around", F.col("pos") - F.col("since") - before + 1, length).alias("mine"),
+        F.slice("item_text", F.col("at") - before + 1, length).alias("theirs"),
+    )
+    agree = F.filter(F.zip_with("mine", "theirs", lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x)
+    compared = F.least(F.size("mine"), F.size("theirs"))
+    # naming the stretches twice in one column keeps their projection apart from this one, which is
+    # interpreted: so the rows that go from one to the other carry stretches and not whole texts
+    matched = F.least(F.size(agree), compared)
+    compared = stretches.select("doc_id", "text_hash", "item_id", "item_words", "diagonal", matched.alias("matched"), compared.alias("compared"))
+    enough = F.col("matched") >= F.least(F.lit(LEAST), F.ceil(SHARE * F.col("item_words")))
+    # tested after the aggregation: a filter before it would be moved into the join and compare whole texts' rows there
+    best = compared.groupBy("doc_id", "text_hash", "item_id").agg(F.max("matched").alias("matched"), F.max("item_words").alias("item_words"), F.min(F.when(enough, F.col("diagonal"))).alias("diagonal"), F.max("compared").alias("compared"))
+    found = best.where("diagonal IS NOT NULL")
+    return found.select("doc_id", "text_hash", "item_id", F.col("diagonal").cast("long").alias("start_word"), F.col("matched").cast("long").alias("matched"), F.col("compared").cast("long").alias("compared"), F.col("item_words").cast("long").alias("item_words"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

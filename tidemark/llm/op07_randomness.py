@@ -88,7 +88,7 @@ def battery(candidates: DataFrame) -> DataFrame:
     alphabets, names = F.array(*[F.lit(a) for _, a in ENCODINGS]), F.array(*[F.lit(n) for n, _ in ENCODINGS])
     coded = named.withColumn("alphabet", F.get(alphabets, F.col("encoding"))).withColumn("size", F.length("alphabet"))
     values = coded.withColumn("values", F.transform(F.split("token", ""), lambda c: F.position(c, F.col("alphabet")) - 1))
-    values = values.withColumn("n", F.size("values"))
+    values = values.withColumn("n", F.greatest(F.size("values"), F.lit(2)))
     # histogram by value: a bounded array
     squares = F.aggregate(F.sequence(F.lit(0), F.col("size") - 1), F.lit(0.0), lambda s, v: s + F.pow(F.size(F.filter("values", lambda x: x == v)).cast("double"), F.lit(2.0)))
     measured = values.withColumn("chi2", F.col("size") / F.col("n") * squares - F.col("n"))
