@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op01_divergence, op03_slack, op04_unigram, op05_nnpu, op06_spaced, op07_randomness, op08_simhash, op09_ring, op10_diagonal
+from tidemark.llm import op01_divergence, op02_skipchain, op03_slack, op04_unigram, op05_nnpu, op06_spaced, op07_randomness, op08_simhash, op09_ring, op10_diagonal
 
 QUERIES = {
     "op1_divergence": op01_divergence.query,
+    "op2_skip_chain": op02_skipchain.query,
     "op3_min_slack": op03_slack.query,
     "op4_unigram": op04_unigram.query,
     "op5_nnpu": op05_nnpu.query,
