@@ -192,7 +192,7 @@ def fit(docs: DataFrame, path: str) -> tuple[list[str], np.ndarray]:
     top = first.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(*order))).where(F.col("k") <= WORDS_PER_LANG)
     models = {r["lang"]: r["p"] for r in top.select("lang", "word", "n").groupBy("lang").applyInPandas(learn_lang, "lang string, p array<double>").collect()}
     langs = sorted(models)
-    return langs, np.array([models[x] for x in langs]).T.reshape(-1, len(langs))
+    return langs, np.array([models[x] for x in langs]).T if langs else np.zeros((1, 0))
 
 
 def judge(texts: list[bytes | None], names: list[str], probabilities: np.ndarray, trie: Trie) -> tuple[list[str], np.ndarray]:
