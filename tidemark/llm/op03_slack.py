@@ -23,6 +23,7 @@ import base64
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -65,10 +66,9 @@ class _Words(dict):
         self.encode = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __missing__(self, part: str) -> bytes:
-        ids = np.array(self.encode(part), "<u4").tobytes()
-        if len(part) < 64:
-            if len(self) >= REMEMBERED:
-                self.clear()
+        found = self.encode(part)
+        ids = pack_ids(f"<{len(found)}I", *found)
+        if len(self) < REMEMBERED and len(part) < 64:
             self[part] = ids
         return ids
 
@@ -94,6 +94,8 @@ def pieces(docs: DataFrame, window: int = 2048, path: str | None = None) -> Data
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(path)
+        if len(words) >= REMEMBERED:  # frequent words are met early and stay for the whole task
+            words.clear()
         end, step = np.array([END_ID], "<u4").tobytes(), 4 * window
         for batch in batches:
             rows: list[tuple] = []
