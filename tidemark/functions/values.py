@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -122,17 +123,11 @@ DIRECTIVES = {
 
 def date_pattern(strftime: str) -> str:
     """The Spark pattern of a strftime format; unknown directives are refused."""
-    out, i = "", 0
-    while i < len(strftime):
-        if strftime[i] == "%":
-            directive = strftime[i : i + 2]
-            if directive not in DIRECTIVES:
-                raise ValueError(f"unsupported directive {directive!r} in {strftime!r}")
-            out += DIRECTIVES[directive]
-            i += 2
-        else:
-            out += f"'{strftime[i]}'" if strftime[i].isalpha() else "''" if strftime[i] == "'" else strftime[i]
-            i += 1
+    out = ""
+    for directive, letters, other in re.findall(r"(%.?)|([A-Za-z]+)|([^%A-Za-z])", strftime):
+        if directive and directive not in DIRECTIVES:
+            raise ValueError(f"unsupported directive {directive!r} in {strftime!r}")
+        out += DIRECTIVES[directive] if directive else f"'{letters}'" if letters else "''" if other == "'" else other
     return out
 
 

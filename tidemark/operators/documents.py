@@ -152,17 +152,23 @@ def identity(df: DataFrame, data: str = "record", path: str = "path") -> DataFra
 
 
 def unwrapped(document: Column) -> Column:
-    """K2: the object that holds the collections: the document, or what its wrappers hold, three deep."""
+    """K2: (path, data) of the object that holds the collections: the document, or what its wrappers hold, two deep."""
 
     def holds(v: Column) -> Column:
         return reduce(lambda a, b: a | b, [F.coalesce(F.size(_list(v, k)) > 0, F.lit(False)) for keys in (*COLLECTIONS.values(), GENERIC) for k in keys])
 
-    def inner(v: Column, depth: int) -> Column:
-        if not depth:
-            return F.when(holds(v), v)
-        return F.coalesce(F.when(holds(v), v), *[inner(F.try_variant_get(v, f'$["{w}"]', "variant"), depth - 1) for w in WRAPPERS[: 3 if depth < 3 else 5]])
+    def at(path: str) -> Column:
+        return F.try_variant_get(document, "$" + path, "variant") if path else document
 
-    return F.coalesce(inner(document, 2), document)
+    levels = [""]
+    paths = [""]
+    for _ in range(2):
+        levels = [f"{p}.{w}" for p in levels for w in WRAPPERS]
+        paths += levels
+    # a wrapper's own collections come before those of the wrappers in it
+    paths.sort(key=lambda p: [WRAPPERS.index(w) for w in p.split(".")[1:]])
+    place = lambda p: F.struct(F.lit("payload" + p).alias("path"), at(p).alias("data"))
+    return F.coalesce(*[F.when(holds(at(p)), place(p)) for p in paths], place(""))
 
 
 def batches(df: DataFrame, data: str, path: str, variant: str = "metadata_catalog", parent_type: str | None = None) -> DataFrame:
@@ -193,7 +199,8 @@ def entity_tree(df: DataFrame, document: str = "document", variant: str = "metad
     position and payload (canonical JSON).
     """
     carried = [c for c in df.columns if c != document]
-    top = df.select(*carried, F.lit(None).cast("string").alias("parent_entity_type"), F.lit(None).cast("string").alias("parent_entity_key"), F.array().cast("array<string>").alias("before"), unwrapped(F.col(document)).alias("data"), F.lit("payload").alias("path"))
+    top = df.select(*carried, F.lit(None).cast("string").alias("parent_entity_type"), F.lit(None).cast("string").alias("parent_entity_key"), F.array().cast("array<string>").alias("before"), unwrapped(F.col(document)).alias("root"))
+    top = top.select(*[c for c in top.columns if c != "root"], "root.data", "root.path")
     out, held = [], top
     for level in range(levels):
         found = batches(held, "data", "path", variant, "parent_entity_type")
