@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from tidemark.llm import op01_divergence, op02_skipchain, op03_slack, op04_unigram, op05_nnpu, op06_spaced, op07_randomness, op08_simhash, op09_ring, op10_diagonal
+from tidemark.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
     "op1_divergence": op01_divergence.query,
@@ -16,4 +19,3 @@ QUERIES = {
     "op9_ring": op09_ring.query,
     "op10_diagonal": op10_diagonal.query,
 }
-ORACLES: dict[str, str] = {}
