@@ -166,7 +166,7 @@ def references(docs: DataFrame) -> References:
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """A row per document: doc_id, the counts, base_failed, js_classes, js_words, kept."""
+    """A row per document: doc_id, the counts, base_failed, kept, js_classes, js_words."""
     known = docs.sparkSession.sparkContext.broadcast(references(docs))
 
     def of(batches):
@@ -178,16 +178,16 @@ def judge(docs: DataFrame) -> DataFrame:
                 failed = n < MIN_WORDS or repeated > MAX_REPEATED * n
                 classes, words = known.value.verdict(text) if n >= LEAST_WORDS else (None, None)
                 far = classes is not None and (classes >= FAR_CLASSES or words >= FAR_WORDS)
-                rows.append((n, chars, symbols, lines, repeated, failed, classes, words, not failed and not far))
-            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.float64(), pa.bool_()]
+                rows.append((n, chars, symbols, lines, repeated, failed, not failed and not far, classes, words))
+            kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             columns = zip(*rows) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], NAMES)
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(of, SCHEMA)
 
 
-NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "js_classes", "js_words", "kept"]
-SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, js_classes double, js_words double, kept boolean"
+NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "js_classes", "js_words"]
+SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, js_classes double, js_words double"
 
 
 def query(spark, sf_dir: str) -> DataFrame:
