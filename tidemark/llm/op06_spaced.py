@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import alnum_words, same_row, table
+from tidemark.llm.common import alnum_words, cut, same_row, table
 
 #: Which of SPAN words are hashed.
 MASKS = ("11011011", "11101101", "10110111")
@@ -33,6 +33,7 @@ SPAN = 8
 AROUND = 8
 LEAST, SHARE = 12, 0.85
 BROADCAST_SEEDS = 2_000_000
+BROADCAST_HITS = 500_000
 
 
 def seeds(words: Column, pos: Column) -> Column:
@@ -92,7 +93,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text overlaps a benchmark item."""
-    hit = overlaps(docs, benchmark).select("doc_id", "text_hash").distinct()
+    hit = cut(overlaps(docs, benchmark).select("doc_id", "text_hash").distinct())
+    # two numbers for each document that is hit: few of them are broadcast, many are joined by a shuffle
+    hit = F.broadcast(hit) if hit.count() <= BROADCAST_HITS else hit
     whole = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     return whole.alias("whole").join(hit.alias("hit"), same_row("whole", "hit"), "left_anti").select("row.*")
 

@@ -125,11 +125,11 @@ def keep_one(docs: DataFrame, words: int = 3, max_distance: int = 2) -> DataFram
     # a null id sorts last, so that it stays only if its component has no other
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")).agg(first.alias("best"))
-    best = best.select(F.col("best.doc_id").alias("doc_id"), F.col("best.text_hash").alias("text_hash"))
-    whole = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    same = F.expr("whole.doc_id <=> best.doc_id AND whole.text_hash = best.text_hash")
-    kept = whole.alias("whole").join(best.alias("best"), same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "text_hash"]).select("row.*")
+    # two hashes that are never null name a row, so that the join and the removal of repeated rows share one shuffle of the texts
+    keys = lambda doc_id, text_hash: [F.xxhash64(doc_id).alias("id_hash"), F.col(text_hash).alias("text_hash")]
+    best = best.select(*keys("best.doc_id", "best.text_hash"))
+    whole = docs.select(F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return whole.join(best, ["id_hash", "text_hash"], "left_semi").dropDuplicates(["id_hash", "text_hash"]).select("row.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
