@@ -168,7 +168,8 @@ def unwrapped(document: Column) -> Column:
     # a wrapper's own collections come before those of the wrappers in it
     paths.sort(key=lambda p: [WRAPPERS.index(w) for w in p.split(".")[1:]])
     place = lambda p: F.struct(F.lit("payload" + p).alias("path"), at(p).alias("data"))
-    return F.coalesce(*[F.when(holds(at(p)), place(p)) for p in paths], place(""))
+    there = F.filter(F.array(*[place(p) for p in paths]), lambda c: c["data"].isNotNull() & holds(c["data"]))
+    return F.coalesce(F.get(there, F.lit(0)), place(""))
 
 
 def batches(df: DataFrame, data: str, path: str, variant: str = "metadata_catalog", parent_type: str | None = None) -> DataFrame:
