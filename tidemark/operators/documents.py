@@ -1,8 +1,8 @@
 """Records, nodes and entities of landed JSON documents.
 
-Documents are VARIANT columns.  A level of the tree is one ``variant_explode``;
-levels are unioned up to a bounded depth, and what lies deeper is counted by
-``overflow`` so that it can be dead-lettered.  Order is kept in ``position``, the
+Documents are VARIANT columns.  A walk expands one level after the other within
+the row, up to a bounded depth; what lies deeper is listed by ``overflow``, so
+that it can be dead-lettered.  Order is kept in ``position``, the
 array of list positions on the way to a node, which sorts parents before their
 children.
 """
@@ -85,14 +85,24 @@ def coerced(df: DataFrame, value: str = "value") -> DataFrame:
     return each.select(*others, "record_index", F.when(kind_of(F.col("item")) == "object", F.col("item")).otherwise(named).alias("record"))
 
 
-def children(nodes: DataFrame, carried: Sequence[str]) -> DataFrame:
-    """The objects in list-valued fields of each node, with path, collection path and position."""
-    fields = nodes.lateralJoin(nodes.sparkSession.tvf.variant_explode(F.col("data").outer())).select(*carried, "path", "position", F.col("key").alias("child_key"), F.col("value").alias("child"))
-    lists = fields.where(kind_of(F.col("child")) == "array")
-    collection = F.concat("path", F.lit("."), F.col("child_key"))
-    each = lists.select(*carried, F.col("path").alias("parent_path"), "position", "child_key", collection.alias("collection_path"), F.posexplode(F.try_variant_get("child", "$", "array<variant>")).alias("at", "data"))
-    step = F.concat(F.lpad(F.length("child_key").cast("string"), 6, "0"), F.col("child_key"), F.lit("/"), F.lpad(F.col("at").cast("string"), 9, "0"))
-    return each.where(kind_of(F.col("data")) == "object").select(*carried, "parent_path", "collection_path", F.concat("collection_path", F.lit("["), F.col("at").cast("string"), F.lit("]")).alias("path"), F.concat("position", F.array(step)).alias("position"), "data")
+def expanded(nodes: DataFrame, carried: Sequence[str], level: int) -> DataFrame:
+    """``nodes`` and, for those of the level before, the objects in their list-valued fields.
+
+    One expression per row and no join or union, so that a walk of any depth
+    stays one pass over the documents.
+    """
+    itself = F.struct("parent_path", "collection_path", "path", "position", "data", "level")
+
+    def child(name: Column, at: Column, data: Column) -> Column:
+        collection = F.concat("path", F.lit("."), name)
+        step = F.concat(F.lpad(F.length(name).cast("string"), 6, "0"), name, F.lit("/"), F.lpad(at.cast("string"), 9, "0"))
+        return F.struct(F.col("path").alias("parent_path"), collection.alias("collection_path"), F.concat(collection, F.lit("["), at.cast("string"), F.lit("]")).alias("path"), F.concat("position", F.array(step)).alias("position"), data.alias("data"), F.lit(level).alias("level"))
+
+    fields = F.map_entries(F.try_variant_get("data", "$", "map<string,variant>"))
+    listed = F.transform(fields, lambda e: F.transform(F.try_variant_get(e["value"], "$", "array<variant>"), lambda x, i: child(e["key"], i, x)))
+    found = F.filter(F.flatten(F.filter(listed, lambda x: x.isNotNull())), lambda c: F.try_variant_get(c["data"], "$", "map<string,variant>").isNotNull())
+    grown = F.when(F.col("level") == level - 1, F.concat(F.array(itself), F.coalesce(found, F.slice(F.array(itself), 1, 0)))).otherwise(F.array(itself))
+    return nodes.select(*carried, F.inline(grown))
 
 
 def walk(df: DataFrame, document: str = "document", depth: int = DEPTH) -> DataFrame:
@@ -106,10 +116,10 @@ def walk(df: DataFrame, document: str = "document", depth: int = DEPTH) -> DataF
     roots = df.where(kind_of(v) == "object").select(*carried, F.lit(None).cast("string").alias("parent_path"), F.lit("payload").alias("collection_path"), F.lit("payload").alias("path"), F.array().cast("array<string>").alias("position"), v.alias("data"))
     tops = df.where(kind_of(v) == "array").select(*carried, F.posexplode(F.try_variant_get(v, "$", "array<variant>")).alias("at", "data")).where(kind_of(F.col("data")) == "object")
     roots = roots.unionByName(tops.select(*carried, F.lit(None).cast("string").alias("parent_path"), F.lit("payload").alias("collection_path"), F.concat(F.lit("payload["), F.col("at").cast("string"), F.lit("]")).alias("path"), F.array(F.lpad(F.col("at").cast("string"), 9, "0")).alias("position"), "data"))
-    levels = [roots.withColumn("level", F.lit(0))]
+    nodes = roots.withColumn("level", F.lit(0))
     for level in range(1, depth):
-        levels.append(children(levels[-1], carried).withColumn("level", F.lit(level)))
-    return reduce(DataFrame.unionByName, levels)
+        nodes = expanded(nodes, carried, level)
+    return nodes
 
 
 def overflow(df: DataFrame, document: str = "document", depth: int = DEPTH) -> DataFrame:
