@@ -143,8 +143,9 @@ def references(docs: DataFrame) -> References:
 
     # a part has at most 1 / HEAVY words for each language
     candidates = named.where(F.col("lang").isin(langs)).mapInArrow(heavy, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    chosen = candidates.withColumn("rank", rank).where(F.col("rank") <= COMMON).select("word").distinct()
+    # first the most frequent of each of 64 parts of the words, then of these
+    best = lambda df, *by: df.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(F.desc("n"), "word"))).where(F.col("rank") <= COMMON)
+    chosen = best(best(candidates.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64))), "lang", "part"), "lang").select("word").distinct()
     words = sorted(bytes(r["word"]) for r in chosen.collect())  # COMMON for each language
     empty = References(np.zeros((0, len(CLASSES))), words, np.zeros((0, len(words) + 1)))
 
