@@ -43,7 +43,7 @@ REMEMBERED = 800_000
 
 _PARTS = regex.compile(r"(?<=\S)(?= \S)")
 #: White space other than the space and the line feed.
-_RARE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_RARE = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def tokenizer_path() -> str:
