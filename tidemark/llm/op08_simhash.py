@@ -108,20 +108,29 @@ def fp_xor(x: str, y: str):
     return F.col(x).bitwiseXOR(F.col(y))
 
 
-def link(docs: DataFrame, words: int = 3, max_distance: int = 2) -> DataFrame:
-    """A row per document: doc_id, text_hash, fingerprint (16 hex digits), component_id."""
-    rows = cut(fingerprints(docs, words))
+def labelled_rows(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """``rows`` with the fingerprint in 16 hex digits and the component that ``linked`` gives it, named by its least id."""
     prints = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
-    found = components(links(prints, max_distance))
+    found = components(linked)
     labelled = prints.join(found, prints.fingerprint == found.node, "left").select("fingerprint", "rep", F.coalesce("label", "fingerprint").alias("label"))
     ids = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
     by_print = labelled.join(ids, "label").select("fingerprint", "component_id")
     return rows.join(by_print, "fingerprint").select("doc_id", "text_hash", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def link(docs: DataFrame, words: int = 3, max_distance: int = 2) -> DataFrame:
+    """A row per document: doc_id, text_hash, fingerprint (16 hex digits), component_id."""
+    rows = cut(fingerprints(docs, words))
+    return labelled_rows(rows, links(rows.select("fingerprint").distinct(), max_distance))
+
+
 def keep_one(docs: DataFrame, words: int = 3, max_distance: int = 2) -> DataFrame:
     """``docs`` with one row for each component: the one of the least id, then of the least text hash."""
-    found = link(docs, words, max_distance)
+    return keep_first(docs, link(docs, words, max_distance))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with the first row of each component that ``found`` names."""
     # a null id sorts last, so that it stays only if its component has no other
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")).agg(first.alias("best"))
