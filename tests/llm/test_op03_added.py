@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tests.llm.helpers import SCHEMA
+from tidemark.llm import op03_slack as op
+
+
+@pytest.fixture(scope="module")
+def default():
+    """The tokenizer at its default settings."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(op.tokenizer_path())
+
+
+def ids(tokenizer, text):
+    return tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_are_the_tokenizers_at_default_settings(default):
+    words = op.words_of(op.tokenizer_path())
+    assert np.frombuffer(op.all_token_ids("end of one <|endoftext|> start", words), "<u4").tolist() == [437, 286, 530, 220, 50256, 923]
+    alphabet = ["a", "B", " ", "  ", "\n", "\t", "'s", "é", "1", ",", "\u0085", "<|endoftext|>", "<|endoftext|>", "<|endof", "\U0001f600", " the"]
+    rng = random.Random(6)
+    for _ in range(3000):
+        text = "".join(rng.choices(alphabet, k=rng.randrange(12)))
+        assert op.all_token_ids(text, words) == np.array(ids(default, text), "<u4").tobytes(), repr(text)
+
+
+def test_query_and_stage(spark, default, tmp_path):
+    texts = ["end of one <|endoftext|> start", "<|endoftext|><|endoftext|>", "none here", "", "a <|endoftext| b"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)], SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    told = {}
+    for i, t in enumerate(texts):
+        found = [*ids(default, t), op.END_ID]
+        told[i] = (len(found), zlib.crc32(np.array(found, "<u4").tobytes()), len(found))
+    for out in (op.query(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, str(tmp_path))):
+        assert {r.doc_id: (r.length, r.ids_crc32, r.doc_tokens) for r in out.collect()} == told

@@ -20,6 +20,7 @@ texts are separate pieces; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -66,6 +67,13 @@ class _Words(dict):
         with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
             ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
         self.encode = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        with open(path) as file:
+            added = json.load(file)["added_tokens"]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+            raise ValueError("added tokens must match as they are")
+        self.added = {t["content"]: pack_ids("<I", t["id"]) for t in added}
+        # the longest of those that begin at a place
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
 
     def __missing__(self, part: str) -> bytes:
         found = self.encode(part)
@@ -90,9 +98,17 @@ def token_ids(text: str, words: _Words) -> bytes:
     return b"".join(map(words.__getitem__, parts))
 
 
-def pieces(docs: DataFrame, window: int = 2048, path: str | None = None) -> DataFrame:
+def all_token_ids(text: str, words: _Words) -> bytes:
+    """The ids of ``text`` by the tokenizer's default settings: its added tokens, found first, and what stands between them."""
+    if not any(token in text for token in words.added):
+        return token_ids(text, words)
+    parts = words.split(text)
+    return b"".join(words.added[part] if i % 2 else token_ids(part, words) for i, part in enumerate(parts))
+
+
+def pieces(docs: DataFrame, window: int = 2048, path: str | None = None, added_tokens: bool = False) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): windows of each document's ids."""
-    path = path or tokenizer_path()
+    path, ids_of = path or tokenizer_path(), all_token_ids if added_tokens else token_ids
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(path)
@@ -102,7 +118,7 @@ def pieces(docs: DataFrame, window: int = 2048, path: str | None = None) -> Data
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = token_ids(text or "", words) + end
+                ids = ids_of(text or "", words) + end
                 n = len(ids) // 4
                 rows += [(doc_id, at // 4, min(step, len(ids) - at) // 4, zlib.crc32(ids[at : at + step]), n) for at in range(0, len(ids), step)]
             columns = zip(*rows) if rows else [[]] * 5
@@ -169,11 +185,15 @@ def _slots(histogram: dict[int, int], window: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, window: int = 2048, path: str | None = None) -> DataFrame:
-    """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(docs: DataFrame, window: int = 2048, path: str | None = None, added_tokens: bool = False) -> DataFrame:
+    """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    With ``added_tokens`` a token's literal, as <|endoftext|>, is its id, as by the
+    tokenizer's default settings; without, it is text like any other.
+    """
     spark = docs.sparkSession
     salt = F.xxhash64("doc_id", "start", "ids_crc32")
-    cut_up = cut(pieces(docs, window, path))
+    cut_up = cut(pieces(docs, window, path, added_tokens))
     total = cut_up.count()
     salts = max(SALTS, total // ROWS_PER_SALT)
     salted = cut_up.withColumn("salt", F.pmod(salt, F.lit(salts)))
@@ -201,4 +221,4 @@ def pack(docs: DataFrame, window: int = 2048, path: str | None = None) -> DataFr
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), added_tokens=True)
