@@ -97,7 +97,7 @@ def brute_words(texts):
         steps.update(zip(marks, marks[1:]))
     model = {}
     for x in "aA0- ":
-        prior = {y: 0.25 if x == " " else op.STAY if x == y else (1 - op.STAY) / 3 for y in "aA0-"}
+        prior = op.SHARES[x]
         total = sum(steps[x, y] for y in prior) + op.PRIOR
         model |= {(x, y): math.log(0.9 * (steps[x, y] + op.PRIOR * p) / total + 0.1 * p) for y, p in prior.items()}
     letters = {c: math.log(0.9 * n / sum(op.LETTERS.values()) + 0.1 / 26) for c, n in op.LETTERS.items()}
@@ -182,7 +182,7 @@ def test_recall_by_length_among_clean_candidates(spark):
     lengths = [20, 24, 32, 36, 40, 64]
     keys = ["".join(rng.choices(ALPHANUMERIC, k=lengths[i % 6])) for i in range(300)]
     clean = [t for text in mixed_texts(rng, 10**9)[1:] for t in text.split() if len(t) >= 20]
-    out = {r.doc_id: len(r.added) for r in op.scan(documents(spark, [f"see {t} here" for t in keys + clean])).collect()}
+    out = {r.doc_id: len(r.added) for r in op.scan(documents(spark, [f"See {t} here" for t in keys + clean])).collect()}
     for k in range(6):
         assert sum(out[i] for i in range(k, 300, 6)) >= 45, lengths[k]
     assert len(clean) > 300 and sum(out[300 + i] for i in range(len(clean))) <= 0.02 * len(clean)

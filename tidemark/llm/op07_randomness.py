@@ -72,8 +72,15 @@ LETTERS = {
 #: A character for each class; a blank stands for all others.
 CLASSES, OUTSIDE = "aA0-", " "
 CHANGES = [x + y for x in CLASSES + OUTSIDE for y in CLASSES + OUTSIDE if x != y]
-#: The prior of the word model: so many steps from each class, of which STAY stay in it; letters that are equally frequent.
-PRIOR, STAY = 1000, 0.8
+#: The prior of the word model: so many steps from each class, in these shares; and letters that are equally frequent.
+PRIOR = 1000
+SHARES = {
+    "a": {"a": 0.85, "A": 0.05, "0": 0.05, "-": 0.05},
+    "A": {"a": 0.5, "A": 0.4, "0": 0.05, "-": 0.05},
+    "0": {"a": 0.07, "A": 0.07, "0": 0.8, "-": 0.06},
+    "-": {"a": 0.4, "A": 0.3, "0": 0.2, "-": 0.1},
+    " ": {"a": 0.4, "A": 0.3, "0": 0.25, "-": 0.05},
+}
 #: This share of the word model is its prior, whatever the counts, so that a rare step, as inside CamelCase, is not all but impossible.
 MIXED = 0.1
 #: Matches are placed in blocks of this size.
@@ -151,9 +158,8 @@ class Words:
         self.letters = {c: log((1 - MIXED) * n / total + MIXED / len(LETTERS)) for c, n in LETTERS.items()}
         self.steps = {}
         for x in CLASSES + OUTSIDE:
-            prior = {y: 1 / 4 if x == OUTSIDE else STAY if x == y else (1 - STAY) / 3 for y in CLASSES}
             total = sum(steps[x + y] for y in CLASSES) + PRIOR
-            self.steps |= {x + y: log((1 - MIXED) * (steps[x + y] + PRIOR * p) / total + MIXED * p) for y, p in prior.items()}
+            self.steps |= {x + y: log((1 - MIXED) * (steps[x + y] + PRIOR * p) / total + MIXED * p) for y, p in SHARES[x].items()}
 
     def log_probability(self, text: Column) -> Column:
         """Of a text of the classes' characters."""
