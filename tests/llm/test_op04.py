@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import base64
+import functools
 import itertools
 import math
+import re
 import zlib
 
 import numpy as np
@@ -19,37 +22,94 @@ def trie():
     return op.Trie(op.vocabulary_path())
 
 
+def number(trie, piece):
+    node = 1
+    for b in piece:
+        node = int(trie.walk(node, trie.code[b])) if node and trie.code[b] else 0
+    return int(trie.piece[node]) if node else trie.size
+
+
+def segmentations(trie, word):
+    """The piece numbers of every way to cut a word."""
+    text = b" " + word
+    for cuts in itertools.product([0, 1], repeat=len(text) - 1):
+        ends = [i + 1 for i, c in enumerate(cuts) if c] + [len(text)]
+        found = [number(trie, text[a:b]) for a, b in zip([0, *ends], ends)]
+        if trie.size not in found:
+            yield found
+
+
 def test_scores_sum_all_segmentations(trie):
     """Against every way to cut a word, one by one."""
-    rng = np.random.default_rng(1)
-    p = rng.random((trie.size + 1, 2)) / 50
-    p[-1] = 0
+    p = np.random.default_rng(1).random((trie.size, 2)) / 50
     words = [b"a", b"the", b"hello", "über".encode(), b"nation", b"x" * 7]
+    for word, got in zip(words, op.word_scores(trie, np.log(p), words)):
+        assert np.allclose(got, np.log(sum(np.prod(p[found], axis=0) for found in segmentations(trie, word))))
+        assert np.allclose(got, op._alone(trie, np.log(p), word))
 
-    def number(piece):
-        node = 1
-        for b in piece:
-            node = trie.step[node, trie.code[b]] if node and trie.code[b] else 0
-        return trie.piece[node] if node else trie.size
 
-    for word, got in zip(words, op.word_scores(trie, p, words)):
-        text, total = b" " + word, np.zeros(2)
-        for cuts in itertools.product([0, 1], repeat=len(text) - 1):
-            ends = [i + 1 for i, c in enumerate(cuts) if c] + [len(text)]
-            pieces = [text[a:b] for a, b in zip([0, *ends], ends)]
-            if all(len(x) <= op.PIECE for x in pieces):
-                total += np.prod([p[number(x)] for x in pieces], axis=0)
-        assert np.allclose(got, np.log(total))
+def test_learning_against_every_segmentation(trie):
+    """One round's expected counts, from all segmentations one by one."""
+    words, counts = [b"the", b"then", b"other"], [5, 2, 1]
+    expected = np.full(trie.size, op._SMOOTHING)
+    for word, n in zip(words, counts):
+        all_ways = [*segmentations(trie, word)]
+        odds = np.array([trie.size ** -float(len(w)) for w in all_ways])
+        for way, share in zip(all_ways, odds / odds.sum()):
+            np.add.at(expected, way, n * share)
+    assert np.allclose(op.learn(trie, words, np.array(counts), 1), expected / expected.sum())
 
 
 def test_learning_raises_the_likelihood(trie):
     words, counts = [b"the", b"then", b"other", b"nation"], np.array([50, 10, 5, 3])
     fits = [op.learn(trie, words, counts, k) for k in (1, 2, 4, 8)]
-    likelihood = [float(counts @ op.word_scores(trie, np.append(p, 0)[:, None], words)[:, 0]) for p in fits]
+    likelihood = [float(counts @ op.word_scores(trie, np.log(p)[:, None], words)[:, 0]) for p in fits]
     assert all(b > a - 1e-3 for a, b in zip(likelihood, likelihood[1:]))  # the smoothing costs a little at the end
     assert all(math.isclose(p.sum(), 1) for p in fits)
 
 
+def test_long_words_of_any_script(trie):
+    """Words without a common piece, trained with large counts: no score is lost, nor any part of a word."""
+    long = "ᛗᛖᚾᛋᚲᛖᚾᚹᚢᚱᛞᛖᚾ".encode()
+    p = [op.learn(trie, [b"the", b"dog", long * 20], np.array([5e6, 5e6, 3]), 2), op.learn(trie, [b"der", b"hund"], np.array([5e6, 5e6]), 2)]
+    logs = np.log(np.array(p).T)
+    for word in (long, long * 20, long * 300, "ꙮ".encode() * 14, b"x" * 100_000):
+        assert np.isfinite(op.word_scores(trie, logs, [word])).all()
+    assert np.allclose(op.word_scores(trie, logs, [long * 8]), op._alone(trie, logs, long * 8))
+    texts = ["ꙮ" * 14, "the dog and " + "ꙮ" * 500, (long * 20).decode(), "x" * 50_000, "der " + "x" * 1000]
+    pred, score = op.judge([t.encode() for t in texts], ["en", "de"], logs, trie)
+    assert all(0 <= x <= 1 for x in score)
+    assert pred[1] == pred[2] == "en"
+    assert op.judge([("y" * 300 + "the").encode()], ["en"], logs[:, :1], trie)[1] == [1]
+
+
+def test_predictions_against_plain_sums(spark, trie):
+    """Every row of a table, by a forward pass in plain Python over a dictionary of pieces."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    names, probabilities = op.fit(docs, op.vocabulary_path())
+    with open(op.vocabulary_path(), "rb") as lines:
+        pieces = [base64.b64decode(x.split()[0]) for x in lines]
+    pieces = {x for x in pieces if re.fullmatch(rb"[a-z\x80-\xff ][a-z\x80-\xff]*", x)} | {bytes([b]) for b in [*range(97, 123), *range(128, 256), 32]}
+    known = {x: np.log(probabilities[number(trie, x)]) for x in pieces}
+    assert len(known) == trie.size
+
+    @functools.cache
+    def word_score(word):
+        text = b" " + word
+        alpha = [np.zeros(len(names))]
+        for end in range(1, len(text) + 1):
+            alpha.append(np.logaddexp.reduce([alpha[start] + known[text[start:end]] for start in range(max(0, end - trie.depth), end) if text[start:end] in known]))
+        return alpha[-1]
+
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in op.predict(docs).collect():
+        words = re.findall(rb"[a-z\x80-\xff]+", (texts[r.doc_id] or "").encode().lower())
+        total = sum(map(word_score, words), np.zeros(len(names)))
+        odds = np.exp(total - total.max())
+        assert r.lang_pred == (names[int(total.argmax())] if words else "und")
+        assert r.score == pytest.approx(1 / odds.sum() if words else 0, rel=1e-6)
+
+
 def test_odd_documents(spark):
     docs = odd(spark)
     got = {r.doc_id: r for r in op.predict(docs).collect()}

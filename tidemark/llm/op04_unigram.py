@@ -1,22 +1,27 @@
 """Language identification by segmentation-marginalised unigrams.
 
-The vocabulary is fixed and public: the pieces of a byte-level tokenizer that
-consist of a-z, bytes outside ASCII and a leading space, up to ``PIECE`` bytes.
-Every language has a probability for each piece; a word's probability is the sum
-over all ways to cut it into pieces of the product of theirs, which a forward
-pass over the word's bytes yields, and a text's is the product over its words.
-Pieces don't cross words, so that this is the sum over the text's segmentations.
+The vocabulary is fixed and public: all pieces of a byte-level tokenizer that
+consist of a-z, bytes outside ASCII and a leading space.  Every language has a
+probability for each piece; a word's probability is the sum over all ways to cut
+it into pieces of the product of theirs, which a forward pass over the word's
+bytes yields, and a text's is the product over its words.  Pieces don't cross
+words, so that this is the sum over the text's segmentations.  All sums are of
+logarithms, so that no word is too long.
 
 The probabilities are learned by expectation maximisation with the matching
-backward pass, over the most frequent words of a bounded sample: about
-``DOCS_PER_LANG`` documents of a language (those of the smallest hashes), and
-``WORDS_PER_LANG`` words.  The held-out fold and rows without a language are not
-learned from.  Scoring covers every word of every text: a batch's distinct words
-go through the forward pass together, as a matrix.
+backward pass, over all words of a bounded sample of labelled rows: about
+``DOCS_PER_LANG`` documents of a language (those of the smallest hashes), fewer
+where these would have over ``CHARS_PER_LANG`` characters, of at most
+``CHARS_PER_DOC`` characters each.  The held-out fold and rows without a language
+are not learned from.  Scoring covers every byte of every word of every text: a
+batch's distinct words go through the forward pass together, as a matrix.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a
 single learned language gets score 1; none: all are ``und``; ties go to the first
-language in order; repeated rows get the same prediction.
+language in order; repeated rows get the same prediction; a very long word, as of
+a text without spaces, costs time in proportion to its length.  More than
+``MOST_LANGS`` values of ``lang`` are refused with an error, as then the column is
+no language.
 """
 
 from __future__ import annotations
@@ -29,18 +34,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import held_out, table
 from tidemark.llm.wordcounts import Numbered, letter_words, sum_by_doc
 
-PIECE = 8
-DOCS_PER_LANG = 2_000
-WORDS_PER_LANG = 20_000
+DOCS_PER_LANG, CHARS_PER_LANG, CHARS_PER_DOC = 2_000, 8_000_000, 1_000_000
+MOST_LANGS = 1_000
 ROUNDS = 4
-#: Words are scored in parts of at most this many bytes.
-LONGEST = 40
+#: Bytes of words of about one length that go through the forward pass together; longer words go alone, byte by byte.
+_MATRIX, _ALONE = 400_000, 400
 FOLD = (4, 2)
 _SMOOTHING = 0.05
 
@@ -52,31 +55,34 @@ def vocabulary_path() -> str:
 
 
 class Trie:
-    """The pieces as a table of transitions; node 0 is dead, node 1 the root."""
+    """The pieces as a table of transitions; node 0 is dead, node 1 the root.  Nodes that have none come last and share a row."""
 
     def __init__(self, path: str):
         with open(path, "rb") as lines:
             pieces = [base64.b64decode(line.split()[0]) for line in lines]
         usable = set(b"abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
-        chosen = [p for p in pieces if len(p) <= PIECE and set(p[1:]) <= usable and (p[0] in usable or p[0] == 32)]
+        chosen = [p for p in pieces if set(p[1:]) <= usable and (p[0] in usable or p[0] == 32)]
         # every byte that a word may hold is a piece, so each word can be cut up
         chosen = sorted({*chosen, *(bytes([b]) for b in usable | {32})})
-        self.size = len(chosen)
+        self.size, self.depth = len(chosen), max(map(len, chosen))
         self.code = np.zeros(256, np.uint8)
         alphabet = sorted({b for p in chosen for b in p})
         self.code[alphabet] = np.arange(1, len(alphabet) + 1)
-        nodes: dict[bytes, int] = {b"": 1}
-        for p in chosen:
-            for k in range(1, len(p) + 1):
-                nodes.setdefault(p[:k], len(nodes) + 1)
-        self.step = np.zeros((len(nodes) + 1, len(alphabet) + 1), np.int32)
+        prefixes = {p[:k] for p in chosen for k in range(1, len(p) + 1)}
+        inner = sorted({p[:-1] for p in prefixes})  # the root is the first
+        nodes = {p: i for i, p in enumerate([*inner, *sorted(prefixes.difference(inner))], 1)}
+        self.inner = len(inner)
+        self.step = np.zeros((self.inner + 2, len(alphabet) + 1), np.int32)
         self.piece = np.full(len(nodes) + 1, self.size, np.int32)  # ``size`` stands for no piece
-        for prefix, node in nodes.items():
-            if prefix:
-                self.step[nodes[prefix[:-1]], self.code[prefix[-1]]] = node
+        for prefix in prefixes:
+            self.step[nodes[prefix[:-1]], self.code[prefix[-1]]] = nodes[prefix]
         for number, p in enumerate(chosen):
             self.piece[nodes[p]] = number
 
+    def walk(self, node, code):
+        """The nodes that lie beyond."""
+        return self.step[np.minimum(node, self.inner + 1), code]
+
 
 @lru_cache(1)
 def trie_of(path: str) -> Trie:
@@ -89,8 +95,8 @@ def matrices(trie: Trie, words: list[bytes]):
     for i, w in enumerate(words):
         by_length.setdefault(-(-(len(w) + 1) // 4) * 4, []).append(i)
     for length, rows in by_length.items():
-        for at in range(0, len(rows), 20_000):
-            part = rows[at : at + 20_000]
+        for at in range(0, len(rows), -(-_MATRIX // length)):
+            part = rows[at : at + -(-_MATRIX // length)]
             flat = b"".join((b" " + words[i]).ljust(length, b"\0") for i in part)
             yield np.array(part), trie.code[np.frombuffer(flat, np.uint8).reshape(len(part), length)]
 
@@ -100,8 +106,8 @@ def spans(trie: Trie, codes: np.ndarray):
     every = np.arange(len(codes))
     for start in range(codes.shape[1]):
         rows, node = every, np.ones(len(codes), np.int32)
-        for end in range(start + 1, min(start + PIECE, codes.shape[1]) + 1):
-            node = trie.step[node, codes[rows, end - 1]]
+        for end in range(start + 1, min(start + trie.depth, codes.shape[1]) + 1):
+            node = trie.walk(node, codes[rows, end - 1])
             alive = node > 0
             if not alive.all():
                 rows, node = rows[alive], node[alive]
@@ -115,56 +121,73 @@ def spans(trie: Trie, codes: np.ndarray):
                 yield start, end, rows[there], piece[there]
 
 
-def word_scores(trie: Trie, probabilities: np.ndarray, words: list[bytes]) -> np.ndarray:
-    """log P(word) by language; ``probabilities`` has a row for each piece and a column for each language."""
-    out = np.zeros((len(words), probabilities.shape[1]))
-    parts, owners = [], []
-    for i, w in enumerate(words):
-        for at in range(0, len(w), LONGEST):
-            parts.append(w[at : at + LONGEST])
-            owners.append(i)
-    owner = np.array(owners, np.int64)
-    for rows, codes in matrices(trie, parts):
-        alpha = np.zeros((len(rows), codes.shape[1] + 1, probabilities.shape[1]))
-        alpha[:, 0] = 1
+def _alone(trie: Trie, logs: np.ndarray, word: bytes) -> np.ndarray:
+    """log P(word) by language of one long word; only the sums that a piece can still reach are kept."""
+    codes, depth = trie.code[np.frombuffer(b" " + word, np.uint8)], trie.depth
+    step, pieces, inner = trie.step, trie.piece, trie.inner
+    ahead = np.full((depth + 1, logs.shape[1]), -np.inf)
+    ahead[0] = 0
+    for start in range(len(codes)):
+        here, node = ahead[start % (depth + 1)].copy(), 1
+        ahead[start % (depth + 1)] = -np.inf
+        for end in range(start + 1, min(start + depth, len(codes)) + 1):
+            node = step[node, codes[end - 1]] if node <= inner else 0
+            if not node:
+                break
+            if (piece := pieces[node]) < trie.size:
+                there = ahead[end % (depth + 1)]
+                np.logaddexp(there, here + logs[piece], there)
+    return ahead[len(codes) % (depth + 1)]
+
+
+def word_scores(trie: Trie, logs: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """log P(word) by language; ``logs`` has a row for each piece and a column for each language."""
+    out = np.zeros((len(words), logs.shape[1]))
+    short = [i for i, w in enumerate(words) if len(w) < _ALONE]
+    for i in set(range(len(words))).difference(short) if len(short) < len(words) else ():
+        out[i] = _alone(trie, logs, words[i])
+    for rows, codes in matrices(trie, [words[i] for i in short]):
+        alpha = np.full((codes.shape[1] + 1, len(rows), logs.shape[1]), -np.inf)
+        alpha[0] = 0
         for start, end, at, piece in spans(trie, codes):
-            alpha[at, end] += alpha[at, start] * probabilities[piece]
-        ends = (codes > 0).sum(1)
-        np.add.at(out, owner[rows], np.log(alpha[np.arange(len(rows)), ends]))
+            alpha[end, at] = np.logaddexp(alpha[end, at], alpha[start, at] + logs[piece])
+        out[np.array(short)[rows]] = alpha[(codes > 0).sum(1), np.arange(len(rows))]
     return out
 
 
 def learn(trie: Trie, words: list[bytes], counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """The piece probabilities that expectation maximisation finds for one language's counted words."""
-    words, counts = zip(*[(w[:LONGEST], n) for w, n in zip(words, counts)]) if len(words) else ((), ())
     weight = np.array(counts, float)
     p = np.full(trie.size, 1 / trie.size)
     for _ in range(rounds):
-        expected = np.full(trie.size, _SMOOTHING)
-        for rows, codes in matrices(trie, list(words)):
+        expected, logs = np.full(trie.size, _SMOOTHING), np.log(p)
+        for rows, codes in matrices(trie, words):
             found = [*spans(trie, codes)]
-            alpha = np.zeros((len(rows), codes.shape[1] + 1))
-            beta = np.zeros_like(alpha)
-            ends = (codes > 0).sum(1)
-            alpha[:, 0] = 1
-            beta[np.arange(len(rows)), ends] = 1
+            alpha = np.full((codes.shape[1] + 1, len(rows)), -np.inf)
+            beta = np.full_like(alpha, -np.inf)
+            alpha[0] = 0
+            beta[(codes > 0).sum(1), np.arange(len(rows))] = 0
             for start, end, at, piece in found:
-                alpha[at, end] += alpha[at, start] * p[piece]
+                alpha[end, at] = np.logaddexp(alpha[end, at], alpha[start, at] + logs[piece])
             for start, end, at, piece in reversed(found):
-                beta[at, start] += p[piece] * beta[at, end]
-            share = weight[rows] / beta[:, 0]
+                beta[start, at] = np.logaddexp(beta[start, at], logs[piece] + beta[end, at])
             for start, end, at, piece in found:
-                expected += np.bincount(piece, alpha[at, start] * p[piece] * beta[at, end] * share[at], trie.size)
+                share = np.exp(alpha[start, at] + logs[piece] + beta[end, at] - beta[0, at])
+                expected += np.bincount(piece, share * weight[rows[at]], trie.size)
         p = expected / expected.sum()
     return p
 
 
 def sample(docs: DataFrame) -> DataFrame:
     """(lang, text): of the learned fold, about ``DOCS_PER_LANG`` documents of each language, by a hash of text and id."""
-    fold = docs.where(~held_out(*FOLD) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
-    sizes = fold.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # a row for each language
-    share = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
-    return fold.join(F.broadcast(sizes), "lang").where(share * F.col("n") < DOCS_PER_LANG).select("lang", "text")
+    n_chars = F.length("text")
+    fold = docs.where(~held_out(*FOLD) & F.col("lang").isNotNull() & (n_chars <= CHARS_PER_DOC)).select("doc_id", "lang", "text")
+    # a row for each language
+    sizes = fold.groupBy("lang").agg(F.least(F.lit(1.0), DOCS_PER_LANG / F.count(F.lit(1)), CHARS_PER_LANG / F.greatest(F.sum(n_chars), F.lit(1))).alias("share"))
+    if len(sizes.select("lang").take(MOST_LANGS + 1)) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} values of lang")
+    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
+    return fold.join(F.broadcast(sizes), "lang").where(place < F.col("share")).select("lang", "text")
 
 
 def fit(docs: DataFrame, path: str) -> tuple[list[str], np.ndarray]:
@@ -179,38 +202,32 @@ def fit(docs: DataFrame, path: str) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, (pa.string(), pa.binary(), pa.int64()))], ["lang", "word", "n"])
 
     def learn_lang(pdf: pd.DataFrame) -> pd.DataFrame:
-        # no more than WORDS_PER_LANG rows, and about DOCS_PER_LANG documents behind them
+        # the words of about CHARS_PER_LANG characters at most
         p = learn(trie_of(path), list(pdf.word), pdf.n.to_numpy())
         return pd.DataFrame({"lang": [pdf.lang.iloc[0]], "p": [p.tolist()]})
 
     counted = sample(docs).select("lang", F.col("text").cast("binary")).mapInArrow(count, "lang string, word binary, n long")
     words = counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    # the most frequent words of a language: first of each of 16 parts, then of these
-    part = F.pmod(F.xxhash64("word"), F.lit(16))
-    order = [F.desc("n"), F.col("word")]
-    first = words.withColumn("part", part).withColumn("k", F.row_number().over(W.partitionBy("lang", "part").orderBy(*order))).where(F.col("k") <= WORDS_PER_LANG)
-    top = first.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(*order))).where(F.col("k") <= WORDS_PER_LANG)
-    models = {r["lang"]: r["p"] for r in top.select("lang", "word", "n").groupBy("lang").applyInPandas(learn_lang, "lang string, p array<double>").collect()}
+    models = {r["lang"]: r["p"] for r in words.groupBy("lang").applyInPandas(learn_lang, "lang string, p array<double>").collect()}
     langs = sorted(models)
-    return langs, np.array([models[x] for x in langs]).T if langs else np.zeros((1, 0))
+    return langs, np.array([models[x] for x in langs]).T if langs else np.ones((1, 0))
 
 
-def judge(texts: list[bytes | None], names: list[str], probabilities: np.ndarray, trie: Trie) -> tuple[list[str], np.ndarray]:
+def judge(texts: list[bytes | None], names: list[str], logs: np.ndarray, trie: Trie) -> tuple[list[str], np.ndarray]:
     """The language and its probability, for each text of a batch."""
     numbered = Numbered()
     numbers = [[numbered[w] for w in letter_words(t)] for t in texts]
     known = [bool(names) and t is not None and any(map(str.isalpha, t.decode())) for t in texts]
     if not any(known):
         return ["und"] * len(texts), np.zeros(len(texts))
-    total = sum_by_doc(word_scores(trie, probabilities, list(numbered)), numbers)
+    total = sum_by_doc(word_scores(trie, logs, list(numbered)), numbers)
     odds = np.exp(total - total.max(1, keepdims=True))
     return [names[b] if k else "und" for b, k in zip(total.argmax(1), known)], np.where(known, 1 / odds.sum(1), 0.0)
 
 
 def _model(docs: DataFrame, path: str):
     langs, probabilities = fit(docs, path)
-    # the last row is that of no piece
-    return docs.sparkSession.sparkContext.broadcast((langs, np.vstack([probabilities, np.zeros((1, len(langs)))])))
+    return docs.sparkSession.sparkContext.broadcast((langs, np.log(probabilities)))
 
 
 def predict(docs: DataFrame, path: str | None = None) -> DataFrame:
