@@ -18,20 +18,31 @@ from tidemark.llm.common import table
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(op.tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(op.tokenizer_path())
 
 
 def test_ids_are_the_tokenizers(tokenizer):
     words = op.words_of(op.tokenizer_path())
-    alphabet = ["a", "B", " ", "  ", "\n", "\t", "'s", "é", "1", ",", " ", "\u0085", "\x1c", "<|endoftext|>", "\U0001f600", " the"]
+    alphabet = ["a", "B", " ", "  ", "\n", "\t", "'s", "é", "1", ",", " ", "\u0085", "\x1c", "<|endoftext|>", "<|endof", "\U0001f600", " the"]
     rng = random.Random(5)
     for _ in range(3000):
         text = "".join(rng.choices(alphabet, k=rng.randrange(12)))
         assert op.token_ids(text, words) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
 
 
+def test_an_added_token_is_its_id():
+    words = op.words_of(op.tokenizer_path())
+    assert np.frombuffer(op.token_ids("end of one <|endoftext|> start", words), "<u4").tolist() == [437, 286, 530, 220, 50256, 923]
+
+
+def test_other_kinds_of_tokenizers_are_refused():
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        op.words_of(public_tokenizers.path("word_bpe_49k.json"))
+    op.words_of.cache_clear()
+
+
 def test_best_fill_against_brute_force():
     rng = random.Random(1)
     for _ in range(200):

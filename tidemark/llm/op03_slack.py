@@ -13,13 +13,16 @@ are numbered within their length, in salted parts so that a length that holds a
 third of all rows spreads out, and a piece's number names its pattern, its
 sequence and its offset.
 
+The ids are those of the named JSON tokenizer at its default settings: the
+literal of an added token, as <|endoftext|>, is that token.  A very long text is
+encoded whole and cut into windows.
+
 Defined cases: a null or empty text is the end id alone; repeated rows and equal
 texts are separate pieces; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import base64
 import json
 import re
 import zlib
@@ -53,6 +56,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter by which a byte-level vocabulary writes each byte: itself if it is printable, else one from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
 class _Words(dict):
     """The ids of words met before, as little-endian unsigned 32-bit numbers.
 
@@ -64,16 +74,21 @@ class _Words(dict):
         import public_tokenizers
         import tiktoken
 
-        with open(path.removesuffix(".json") + ".tiktoken", "rb") as lines:
-            ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-        self.encode = tiktoken.Encoding("byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         with open(path) as file:
-            added = json.load(file)["added_tokens"]
+            told = json.load(file)
+        model, before, added = told["model"], told["pre_tokenizer"] or {}, told["added_tokens"]
+        letters, vocabulary = byte_letters(), told["model"].get("vocab", {})
+        merged = [m if isinstance(m, str) else "".join(m) for m in model.get("merges", [])]
+        in_order = model["type"] == "BPE" and [vocabulary[m.replace(" ", "")] for m in merged] == [*range(256, 256 + len(merged))]
+        if not in_order or told["normalizer"] or (before.get("type"), before.get("add_prefix_space"), before.get("use_regex")) != ("ByteLevel", False, True):
+            raise ValueError("a byte-level vocabulary in the order of its merges is asked for")
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
             raise ValueError("added tokens must match as they are")
+        ranks = {bytes(map(letters.__getitem__, piece)): rank for piece, rank in vocabulary.items()}
+        self.encode = tiktoken.Encoding("byte_level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.added = {t["content"]: pack_ids("<I", t["id"]) for t in added}
-        # the longest of those that begin at a place
-        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split
+        # the longest of those that begin at a place; none at all never matches
+        self.split = re.compile("(" + ("|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) or "(?!)") + ")").split
 
     def __missing__(self, part: str) -> bytes:
         found = self.encode(part)
@@ -88,8 +103,8 @@ def words_of(path: str) -> _Words:
     return _Words(path)
 
 
-def token_ids(text: str, words: _Words) -> bytes:
-    """The ids of ``text``.  Where one space stands between two words the tokenizer always splits before it."""
+def ordinary_ids(text: str, words: _Words) -> bytes:
+    """The ids of ``text`` without an added token.  Where one space stands between two words the tokenizer always splits before it."""
     if "  " in text or " \n" in text or "\n " in text or _RARE.search(text):
         parts = _PARTS.split(text)
     else:
@@ -98,17 +113,17 @@ def token_ids(text: str, words: _Words) -> bytes:
     return b"".join(map(words.__getitem__, parts))
 
 
-def all_token_ids(text: str, words: _Words) -> bytes:
-    """The ids of ``text`` by the tokenizer's default settings: its added tokens, found first, and what stands between them."""
+def token_ids(text: str, words: _Words) -> bytes:
+    """The ids of ``text`` as the tokenizer gives them: its added tokens, found first, and what stands between them."""
     if not any(token in text for token in words.added):
-        return token_ids(text, words)
+        return ordinary_ids(text, words)
     parts = words.split(text)
-    return b"".join(words.added[part] if i % 2 else token_ids(part, words) for i, part in enumerate(parts))
+    return b"".join(words.added[part] if i % 2 else ordinary_ids(part, words) for i, part in enumerate(parts))
 
 
-def pieces(docs: DataFrame, window: int = 2048, path: str | None = None, added_tokens: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, window: int = 2048, path: str | None = None) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): windows of each document's ids."""
-    path, ids_of = path or tokenizer_path(), all_token_ids if added_tokens else token_ids
+    path = path or tokenizer_path()
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = words_of(path)
@@ -118,7 +133,7 @@ def pieces(docs: DataFrame, window: int = 2048, path: str | None = None, added_t
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = ids_of(text or "", words) + end
+                ids = token_ids(text or "", words) + end
                 n = len(ids) // 4
                 rows += [(doc_id, at // 4, min(step, len(ids) - at) // 4, zlib.crc32(ids[at : at + step]), n) for at in range(0, len(ids), step)]
             columns = zip(*rows) if rows else [[]] * 5
@@ -185,15 +200,11 @@ def _slots(histogram: dict[int, int], window: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def pack(docs: DataFrame, window: int = 2048, path: str | None = None, added_tokens: bool = False) -> DataFrame:
-    """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
-
-    With ``added_tokens`` a token's literal, as <|endoftext|>, is its id, as by the
-    tokenizer's default settings; without, it is text like any other.
-    """
+def pack(docs: DataFrame, window: int = 2048, path: str | None = None) -> DataFrame:
+    """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
     salt = F.xxhash64("doc_id", "start", "ids_crc32")
-    cut_up = cut(pieces(docs, window, path, added_tokens))
+    cut_up = cut(pieces(docs, window, path))
     total = cut_up.count()
     salts = max(SALTS, total // ROWS_PER_SALT)
     salted = cut_up.withColumn("salt", F.pmod(salt, F.lit(salts)))
@@ -221,4 +232,4 @@ def pack(docs: DataFrame, window: int = 2048, path: str | None = None, added_tok
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), added_tokens=True)
+    return pack(table(spark, sf_dir, "documents"))
