@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import defaultdict
 
 import pytest
 
@@ -23,23 +24,21 @@ def brute(docs, benchmark):
         w = words(d.text)
         for item in benchmark:
             v = words(item.text)
-            if len(v) < op.SPAN:
+            if len(v) < op.FEWEST:
                 continue
-            for mask in op.MASKS:
+            for mask in op.MASKS if len(v) >= op.SPAN else ["1" * len(v)]:
                 at = [i for i, bit in enumerate(mask) if bit == "1"]
-                places = {}
-                for q in range(len(v) - op.SPAN + 1):
-                    places.setdefault(tuple(v[q + i] for i in at), q)
-                for p in range(len(w) - op.SPAN + 1):
-                    q = places.get(tuple(w[p + i] for i in at))
-                    if q is None:
-                        continue
-                    near = range(-op.AROUND, op.SPAN + op.AROUND)
-                    matched = sum(0 <= p + i < len(w) and 0 <= q + i < len(v) and w[p + i] == v[q + i] for i in near)
-                    if matched >= min(op.LEAST, math.ceil(op.SHARE * len(v))):
-                        key = (d.doc_id, item.item_id)
-                        least, most = found.get(key, (p - q, 0))
-                        found[key] = min(least, p - q), max(most, matched)
+                places = defaultdict(list)
+                for q in range(len(v) - len(mask) + 1):
+                    places[tuple(v[q + i] for i in at)].append(q)
+                for p in range(len(w) - len(mask) + 1):
+                    for q in places.get(tuple(w[p + i] for i in at), ()):
+                        near = range(-op.AROUND, op.SPAN + op.AROUND)
+                        matched = sum(0 <= p + i < len(w) and 0 <= q + i < len(v) and w[p + i] == v[q + i] for i in near)
+                        if matched >= min(op.LEAST, math.ceil(op.SHARE * len(v))):
+                            key = (d.doc_id, item.item_id)
+                            least, most = found.get(key, (p - q, 0))
+                            found[key] = min(least, p - q), max(most, matched)
     return sorted(((*k, *v) for k, v in found.items()), key=repr)
 
 
@@ -48,7 +47,7 @@ def planted(spark):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(200)]
     make = lambda n: rng.choices(vocabulary, k=n)
-    items = [make(n) for n in (5, 8, 14, 40, 60)] + [[]]
+    items = [make(n) for n in (5, 8, 14, 40, 60)] + [[], make(3), make(6) * 9]
     docs = []
     for k, item in enumerate(items):
         for every in (0, 9, 5, 2):
@@ -56,7 +55,6 @@ def planted(spark):
             docs.append((10 * k + every, " ".join([*make(30), *copy, *make(30)]), "en", "s", 0))
         docs.append((10 * k + 7, " ".join(item[len(item) // 3 :] + make(5)), "en", "s", 0))
         docs.append((10 * k + 8, "Intro, " + "-".join(item).upper() + ".", "en", "s", 0))
-    items[2] = [*items[2]]
     bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)] + [(90, " ".join(items[3])), (None, None)], "item_id long, text string")
     return spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), bench
 
@@ -70,7 +68,29 @@ def test_planted(planted, monkeypatch, broadcast):
     assert got == brute(docs.collect(), bench.collect())
     hit = {r[0] for r in got}
     assert {20, 29, 25, 30, 39, 35, 40, 49, 45, 38, 48, 37, 47} <= hit  # copies with every fifth word changed, and two thirds of an item
-    assert not {0, 9, 32, 42, 50} & hit
+    assert {0, 8, 9, 70, 78} <= hit  # an item of five words as a whole, and one that repeats itself
+    assert not {5, 7, 32, 42, 50, 60, 68} & hit
+
+
+@pytest.mark.parametrize("every", range(3, 10))
+def test_a_word_changed_at_every_few_places(spark, every):
+    rng = random.Random(every)
+    item = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    docs = [(k, " ".join("changed" if i % every == k else x for i, x in enumerate(item)), "en", "s", 0) for k in range(every)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = op.overlaps(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), bench)
+    assert {r.doc_id for r in got.collect()} == set(range(every))
+
+
+def test_no_whole_text_is_shuffled(planted, monkeypatch):
+    """With a large benchmark the exchanges above the documents' scan carry numbers and stretches."""
+    monkeypatch.setattr(op, "BROADCAST_SEEDS", 0)
+    docs, bench = planted
+    execution = op.overlaps(docs, bench)._jdf.queryExecution()
+    plan = execution.explainString(docs.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\((\w+)", plan)
+    by_seed = [columns for columns, key in exchanges if key == "seed"]
+    assert any("around#" in x for x in by_seed) and not any(re.search(r"\bwords#", x) for x in by_seed)
 
 
 def test_odd_documents(spark, planted):

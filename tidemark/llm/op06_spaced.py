@@ -5,19 +5,23 @@ the others are hashed.  Every mask is laid on every place of the benchmark items
 and of the documents.  Where hashes meet, the words within ``AROUND`` of the hit
 are compared one by one, so that substituted words do not break an overlap: a
 document and an item overlap if at least ``LEAST`` of them agree (or, for a short
-item, ``SHARE`` of its words).  Of the places where an item repeats a seed, the
-first stands for all.
-
-Words are the lower-cased alphanumeric ones.  Hashing, join and comparison take
-place in the scan's own stage, so no text is shuffled.  The benchmark's seeds and
-items are broadcast if there are at most ``BROADCAST_SEEDS`` of them; a larger
-benchmark is joined by shuffling the hashes, and the documents' stretches are
-carried by the hits alone.
-
-Defined cases: null texts have no words; items of fewer than ``SPAN`` words are
-too short to be told from chance and are not searched; an item held twice is
-reported for each item_id; equal rows are reported once; no hit, or an empty
-table: no rows.
+item, ``SHARE`` of its words).  The masks ignore pairs of words three and four
+apart, so that a word changed every third to ninth place leaves hits.  An item of
+``FEWEST`` to ``SPAN - 1`` words is sought as a whole, without ignored words.
+All places where an item repeats a seed count; those whose surroundings are
+equal are compared once.
+
+Words are the lower-cased alphanumeric ones.  If the benchmark has at most
+``BROADCAST_SEEDS`` seeds, they and the items are broadcast: hashing, join and
+comparison take place in the scan's own stage.  The hits of a larger benchmark
+are found first: a bitmap of its seeds, of a fixed size, drops most of the
+documents' seeds, the others are joined by a shuffle of numbers alone, and only
+the stretches around hits are cut out of the texts and shuffled.
+
+Defined cases: null texts have no words; items of fewer than ``FEWEST`` words
+stand in clean texts by chance and are no evidence; an item held twice is
+reported for each item_id; equal rows are reported once; a very long text is
+searched whole; no hit, or an empty table: no rows.
 """
 
 from __future__ import annotations
@@ -28,23 +32,51 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import alnum_words, cut, same_row, table
 
 #: Which of SPAN words are hashed.
-MASKS = ("11011011", "11101101", "10110111")
-SPAN = 8
+MASKS = ("11011011", "11101101", "10110111", "11011101")
+SPAN, FEWEST = 8, 4
 AROUND = 8
 LEAST, SHARE = 12, 0.85
 BROADCAST_SEEDS = 2_000_000
 BROADCAST_HITS = 500_000
+#: Words of 64 bits in the bitmap of a large benchmark's seeds.
+_BITMAP_BITS = 22
 
 
-def seeds(words: Column, pos: Column) -> Column:
-    """The hashes of all masks at ``pos``; the first value hashed is the mask's number."""
-    return F.array(*[F.xxhash64(F.lit(m), *[F.get(words, pos + i) for i, bit in enumerate(mask) if bit == "1"]) for m, mask in enumerate(MASKS)])
+def seeds(words: Column, pos: Column, masks) -> Column:
+    """The hashes of all masks at ``pos`` that end within ``words``; the first value hashed is the mask itself."""
+    at = lambda mask: [F.get(words, pos + i) for i, bit in enumerate(mask) if bit == "1"]
+    return F.array(*[F.when(pos + len(mask) <= F.size(words), F.xxhash64(F.lit(mask), *at(mask))) for mask in masks])
 
 
-def _places(rows: DataFrame) -> DataFrame:
-    """The columns of ``rows`` with a row for each word that starts a whole span, as ``pos``, and each mask's ``seed``."""
-    each = rows.select("*", F.posexplode_outer("words").alias("pos", "word")).where(F.col("pos") + SPAN <= F.size("words"))
-    return each.select("*", F.explode(seeds(F.col("words"), F.col("pos"))).alias("seed")).drop("word")
+def _places(rows: DataFrame, masks) -> DataFrame:
+    """The columns of ``rows`` with a row for each place ``pos`` and mask, with its ``seed``."""
+    least = min(map(len, masks))
+    each = rows.select("*", F.posexplode_outer("words").alias("pos", "word")).where(F.col("pos") + least <= F.size("words")).drop("word")
+    return each.select("*", F.explode(seeds(F.col("words"), F.col("pos"), masks)).alias("seed")).where("seed IS NOT NULL")
+
+
+def _since() -> Column:
+    return F.greatest(F.col("pos") - AROUND, F.lit(0))
+
+
+def _around() -> Column:
+    """The words around ``pos``: only these go on from a hit, not the whole text."""
+    return F.slice("words", _since() + 1, SPAN + 2 * AROUND)
+
+
+def _hits_first(words: DataFrame, found: DataFrame, by_seed: DataFrame) -> DataFrame:
+    """The places of ``found`` that share a seed with the benchmark, with the words around them, as (doc_id, text_hash, pos, since, around, entries)."""
+    word, bit = F.shiftrightunsigned("seed", 64 - _BITMAP_BITS), F.expr("shiftleft(1L, int(seed & 63))")
+    # 2 ** _BITMAP_BITS rows of two numbers at most, however large the benchmark
+    bitmap = by_seed.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    numbers = found.select("doc_id", "text_hash", "pos", "seed", word.alias("word"))
+    likely = numbers.join(F.broadcast(bitmap), "word").where(F.col("bits").bitwiseAND(bit) != 0).select("doc_id", "text_hash", "pos", "seed")
+    shared = cut(likely.distinct().join(by_seed.select("seed"), "seed", "left_semi"))
+    # only documents with a hit, and of these only the stretches around hits, go on
+    wanted = shared.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("pos", "seed")).alias("wanted"))
+    once = words.alias("words").join(wanted.alias("wanted"), same_row("words", "wanted")).select("words.*", "wanted.wanted")
+    stretches = once.select("doc_id", "text_hash", "words", F.inline("wanted")).select("doc_id", "text_hash", "pos", "seed", _since().alias("since"), _around().alias("around")).distinct()
+    return stretches.join(by_seed, "seed").drop("seed")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -53,20 +85,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ``start_word`` is where the first overlap would have the item start, which may
     lie before the text; ``matched`` is the most that agrees around one hit.
     """
-    items = benchmark.select("item_id", alnum_words(F.col("text")).alias("words")).distinct().where(F.size("words") >= SPAN)
+    items = benchmark.select("item_id", alnum_words(F.col("text")).alias("words")).distinct().where(F.size("words") >= FEWEST)
     items = items.select("item_id", "words", F.xxhash64("item_id", "words").alias("item"))
-    places = _places(items.select("item", "words")).groupBy("seed", "item").agg(F.min("pos").alias("at"))
+    sizes = items.agg(F.sum(F.size("words")).alias("n"), F.collect_set(F.when(F.size("words") < SPAN, F.size("words"))).alias("short")).first()
+    short = ["1" * n for n in sorted(sizes["short"])]  # SPAN - FEWEST lengths at most
+    masked = _places(items.where(F.size("words") >= SPAN), MASKS)
+    for mask in short:
+        masked = masked.unionByName(_places(items.where(F.size("words") == len(mask)), [mask]))
+    surroundings = F.xxhash64(F.least(F.col("pos"), F.lit(AROUND)), _around())
+    places = masked.groupBy("seed", "item", surroundings.alias("like")).agg(F.max("pos").alias("at"))
     by_seed = places.groupBy("seed").agg(F.collect_list(F.struct("item", "at")).alias("entries"))
     texts = items.select("item", "item_id", F.col("words").alias("item_text"))
 
     # counting the words bounds both tables; the benchmark is not the corpus
-    n_seeds = len(MASKS) * (items.agg(F.sum(F.size("words"))).first()[0] or 0)
-    near = F.broadcast if n_seeds <= BROADCAST_SEEDS else (lambda x: x)
+    small = len(MASKS) * (sizes["n"] or 0) <= BROADCAST_SEEDS
+    near = F.broadcast if small else (lambda x: x)
 
     words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), alnum_words(F.col("text")).alias("words"))
-    # only the words around a hit go on from the join, not the whole text
-    since = F.greatest(F.col("pos") - AROUND, F.lit(0))
-    hits = _places(words).join(near(by_seed), "seed").select("doc_id", "text_hash", "pos", since.alias("since"), F.slice("words", since + 1, SPAN + 2 * AROUND).alias("around"), "entries")
+    found = _places(words, [*MASKS, *short])
+    if small:
+        hits = found.join(F.broadcast(by_seed), "seed").select("doc_id", "text_hash", "pos", _since().alias("since"), _around().alias("around"), "entries")
+    else:
+        hits = _hits_first(words, found, by_seed)
     each = hits.select("doc_id", "text_hash", "pos", "since", "around", F.inline("entries"))
     # the stretch of both texts: as far before the hit as both go, and as far after it
     before = F.least(F.col("pos") - F.col("since"), F.col("at"))

@@ -10,13 +10,15 @@ WORDS = r"regexp_extract_all(lower(replace(replace(coalesce(text, ''), chr(8490)
 
 
 def spaced_seeds() -> str:
-    masks = " UNION ALL ".join(f"SELECT {m} AS m, {[i for i, bit in enumerate(mask) if bit == '1']} AS offs" for m, mask in enumerate(op06.MASKS))
-    places = f"generate_series(1, len(w) - {op06.SPAN - 1})"
+    every = [*op06.MASKS, *["1" * n for n in range(op06.FEWEST, op06.SPAN)]]
+    masks = " UNION ALL ".join(f"SELECT {m} AS m, {len(mask)} AS span, {[i for i, bit in enumerate(mask) if bit == '1']} AS offs" for m, mask in enumerate(every))
     return f"""WITH masks AS ({masks}),
-    items AS (SELECT * FROM (SELECT DISTINCT item_id, {WORDS} AS w FROM benchmark) WHERE len(w) >= {op06.SPAN}),
-    seeds AS (SELECT item_id, w, m, key, min(q) AS q FROM (SELECT item_id, w, m, q, list_transform(offs, lambda o: w[q + o]) AS key FROM (SELECT *, unnest({places}) AS q FROM items), masks) GROUP BY ALL),
+    items AS (SELECT * FROM (SELECT DISTINCT item_id, {WORDS} AS w FROM benchmark) WHERE len(w) >= {op06.FEWEST}),
+    seeds AS (SELECT item_id, w, m, q, list_transform(offs, lambda o: w[q + o]) AS key
+        FROM (SELECT *, unnest(generate_series(1, len(w) - span + 1)) AS q FROM items JOIN masks ON span = least(len(w), {op06.SPAN}))),
+    used AS (SELECT * FROM masks WHERE m IN (SELECT m FROM seeds)),
     docs AS (SELECT doc_id, hash(text) AS text_hash, {WORDS} AS w FROM documents),
-    spots AS (SELECT doc_id, text_hash, w, m, p, list_transform(offs, lambda o: w[p + o]) AS key FROM (SELECT *, unnest({places}) AS p FROM docs WHERE len(w) >= {op06.SPAN}), masks),
+    spots AS (SELECT doc_id, text_hash, w, m, p, list_transform(offs, lambda o: w[p + o]) AS key FROM (SELECT *, unnest(generate_series(1, len(w) - span + 1)) AS p FROM docs JOIN used ON span <= len(w))),
     hits AS (SELECT d.doc_id, d.text_hash, i.item_id, len(i.w) AS item_words, p - q AS diagonal,
         least(p - 1, q - 1, {op06.AROUND}) + least({op06.SPAN + op06.AROUND}, len(d.w) - p + 1, len(i.w) - q + 1) AS compared,
         len(list_filter(range(-least(p - 1, q - 1, {op06.AROUND}), least({op06.SPAN + op06.AROUND}, len(d.w) - p + 1, len(i.w) - q + 1)), lambda o: d.w[p + o] = i.w[q + o])) AS matched
