@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from tests.llm.helpers import clashing, odd, rows
 from tidemark.llm import op01_divergence as op
@@ -38,8 +41,62 @@ def test_divergence_against_the_formula():
     a, b = p / p.sum(), q / q.sum()
     m = (a + b) / 2
     kl = lambda x: sum(u * np.log2(u / v) for u, v in zip(x, m) if u)
-    expected = np.sqrt(max(0, (kl(a) + kl(b)) / 2 - 3 / (8 * np.log(2) * p.sum())))
-    assert np.isclose(op.divergence(p, q[None])[0], expected)
+    expected = np.sqrt((kl(a) + kl(b)) / 2 - 0.01)
+    assert np.isclose(op.divergence(p, q[None], lambda n: 0.01)[0], expected)
+
+
+@pytest.mark.parametrize("n", [1, 20, 50, 100, 1000])
+def test_what_chance_makes_of_a_sample(n):
+    """Against samples that are drawn."""
+    rng = np.random.default_rng(n)
+    q = rng.random(150) ** 6
+    drawn = rng.multinomial(n, q / q.sum(), 4000)
+    told = np.mean([op._contribution(x / n, q / q.sum()).sum() for x in drawn])
+    assert np.isclose(op.expected_divergence(q / q.sum(), n), told, rtol=0.03)
+    assert np.isclose(op.Chance(q[None])(n)[0], told, rtol=0.05)
+
+
+def test_word_junk_of_any_length_goes(spark):
+    """Unknown words with usual characters, from the least length that is judged on."""
+    known = op.references(table(spark, "/root/testdata/sf0.01", "documents"))
+    rng = random.Random(2)
+    for n in (50, 75, 100, 150, 1000):
+        for _ in range(10):
+            text = " ".join("".join(rng.choices("abcdefghijklmnoprstuvwz", k=rng.randrange(2, 9))) for _ in range(n))
+            assert known.verdict(text.encode())[2]
+
+
+def test_other_scripts_have_classes_of_their_own():
+    counts = dict(zip(op.CLASSES, op.class_counts("aé Ж中\U0001f600".encode())))
+    assert counts == dict.fromkeys(op.CLASSES, 0) | {"lower": 1, "latin": 1, "space": 1, "two": 1, "three": 1, "four": 1}
+
+
+def test_verdicts_over_a_table(spark):
+    """Every row's ``kept`` from the definitions, with counters."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    known = op.references(docs)
+    shares = lambda counts: counts / counts.sum()
+
+    def distance(p, q, n):
+        m = (p + q) / 2
+        js = sum(x * math.log2(x / z) for x, z in zip(p, m) if x) / 2 + sum(y * math.log2(y / z) for y, z in zip(q, m) if y) / 2
+        return math.sqrt(max(0, js - op.expected_divergence(q, n)))
+
+    texts = {d.doc_id: d.text or "" for d in docs.collect()}
+    for r in op.judge(docs).collect():
+        if r.base_failed:
+            assert not r.kept
+            continue
+        words = Counter(op.plain_words(texts[r.doc_id].encode()))
+        mine = np.array([*[words[w] for w in known.bins], sum(n for w, n in words.items() if w not in known.bins)], float)
+        kinds = op.class_counts(texts[r.doc_id].encode())
+        unknown = np.eye(len(mine))[-1]
+        told = [(distance(shares(kinds), shares(a), kinds.sum()), distance(shares(mine), shares(b), mine.sum()), distance(unknown, shares(b), mine.sum())) for a, b in zip(known.classes, known.counts)]
+        near = min(told, key=lambda x: x[0] / op.FAR_CLASSES + x[1] / op.FAR_WORDS)
+        assert (r.js_classes, r.js_words) == pytest.approx(near[:2], abs=0.01)
+        limit = min(op.FAR_WORDS, op.UNKNOWN * near[2])
+        if abs(near[0] - op.FAR_CLASSES) > 0.01 and abs(near[1] - limit) > 0.01:
+            assert r.kept == (near[0] < op.FAR_CLASSES and near[1] < limit)
 
 
 def test_odd_documents(spark):

@@ -12,13 +12,18 @@ which the ``COMMON`` most frequent count; then their exact counts, all other
 words being one more bin, and the counts of character classes.  These tables are
 bounded by languages, classes and common words.
 
-A document fails if it is as far as ``FAR_CLASSES`` or ``FAR_WORDS`` from every
-language's reference.  Small samples are far from anything by chance: the
-divergence that is expected of a sample of its size is taken off first, and a
-document of fewer than ``LEAST_WORDS`` words is not judged by the method.
+A document fails if it is as far as ``FAR_CLASSES`` or ``FAR_WORDS`` from the
+nearest language's reference.  Small samples are far from anything by chance: the
+divergence that is expected of a sample of its size is taken off first, so that
+even a text without one common word of a language is less far the shorter it is,
+and ``UNKNOWN`` of that distance is far enough.  A document of fewer than
+``LEAST_WORDS`` words is not judged by the method.
 
 Defined cases: a null text has no words and fails the base; without any
-reference the method accepts; repeated rows and repeated ids are judged alike.
+reference the method accepts; repeated rows and repeated ids are judged alike; a
+very long text is counted whole; equally frequent common words are taken in the
+order of their bytes.  More than ``MOST_LANGS`` languages are refused with an
+error, as then the column is no language.
 """
 
 from __future__ import annotations
@@ -36,13 +41,19 @@ from tidemark.llm.common import table
 MIN_WORDS, MAX_REPEATED = 50, 0.5
 LEAST_WORDS = 50
 COMMON, HEAVY = 120, 1e-3
-FAR_CLASSES, FAR_WORDS = 0.28, 0.16
+FAR_CLASSES, FAR_WORDS = 0.28, 0.28
+#: A short text can't be that far: this share of the distance of one without any common word will do.
+UNKNOWN = 0.9
 LEAST_DOCS = 20
+MOST_LANGS = 1_000
 #: Words of a part of the corpus that are counted before it is written out.
 _PART = 200_000
 
-CLASSES = ("lower", "upper", "digit", "space", "sentence", "mark", "other")
-_CLASS = np.full(128, 6, np.uint8)
+#: Those outside ASCII by what their UTF-8 begins with: Latin letters, other letters of two bytes, of three, and four bytes.
+CLASSES = ("lower", "upper", "digit", "space", "sentence", "mark", "other", "latin", "two", "three", "four")
+_CLASS = np.full(256, len(CLASSES), np.uint8)
+_CLASS[:128] = 6
+_CLASS[0xC0:0xCA], _CLASS[0xCA:0xE0], _CLASS[0xE0:0xF0], _CLASS[0xF0:] = 7, 8, 9, 10
 for _chars, _k in (("abcdefghijklmnopqrstuvwxyz", 0), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 1), ("0123456789", 2), (" \t\n\r\x0b\x0c", 3), (".,;:?'\"-()", 4), ("#*$%&|<>!@^_+=/\\~`[]{}", 5)):
     _CLASS[[ord(c) for c in _chars]] = _k
 _SYMBOLS = b"#*$%&|<>"
@@ -52,12 +63,8 @@ _PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if chr(c) in ".,;:?'\"()" else c
 
 
 def class_counts(text: bytes) -> np.ndarray:
-    """Characters by class; those outside ASCII count as lower case by their lead byte."""
-    raw = np.frombuffer(text, np.uint8)
-    plain = raw < 128
-    counts = np.bincount(_CLASS[raw[plain]], minlength=len(CLASSES)).astype(float)
-    counts[0] += np.count_nonzero(raw >= 192)
-    return counts
+    """Characters by class; the bytes that continue a character don't count."""
+    return np.bincount(_CLASS[np.frombuffer(text, np.uint8)], minlength=len(CLASSES) + 1)[:-1].astype(float)
 
 
 def plain_words(text: bytes) -> list[bytes]:
@@ -83,17 +90,47 @@ def base_counts(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated
 
 
-def divergence(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
-    """The Jensen-Shannon distance of one histogram from each row of ``reference``, less what its size makes likely."""
+def _contribution(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """What a bin of shares p and q adds to the Jensen-Shannon divergence, in bits."""
+    m = (p + q) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return (np.where(p > 0, p * np.log2(p / m), 0) + np.where(q > 0, q * np.log2(q / m), 0)) / 2
+
+
+def expected_divergence(q: np.ndarray, n: float) -> float:
+    """What a sample of ``n`` from the shares ``q`` is expected to diverge from them.
+
+    The expectation is the sum of the bins'; a bin's count is near to a Poisson
+    one, which is summed where few are expected, and else near to a normal one.
+    """
+    q = q[q > 0]
+    few = q[n * q < 40]
+    k = np.arange(120)
+    log_k = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, 120)))])
+    odds = np.exp(k * np.log(n * few)[:, None] - (n * few)[:, None] - log_k)
+    return float((odds * _contribution(k / n, few[:, None])).sum() + (1 - q[n * q >= 40]).sum() / (8 * np.log(2) * n))
+
+
+def divergence(counts: np.ndarray, reference: np.ndarray, chance) -> np.ndarray:
+    """The Jensen-Shannon distance of one histogram from each row of ``reference``, less what its size makes likely by ``chance(n)``."""
     n = counts.sum()
     if not n:
         return np.ones(len(reference))
-    p, q = counts / n, reference / reference.sum(1, keepdims=True)
-    m = (p + q) / 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        js = (np.where(p > 0, p * np.log2(p / m), 0).sum(1) + np.where(q > 0, q * np.log2(q / m), 0).sum(1)) / 2
-    chance = (np.count_nonzero(reference, axis=1) - 1) / (8 * np.log(2) * n)
-    return np.sqrt(np.maximum(js - chance, 0))
+    js = _contribution(counts / n, reference / reference.sum(1, keepdims=True)).sum(1)
+    return np.sqrt(np.maximum(js - chance(n), 0))
+
+
+class Chance:
+    """``expected_divergence`` of each row of shares, tabled by size."""
+
+    SIZES = np.unique(np.geomspace(1, 2_000_000, 60).round())
+
+    def __init__(self, reference: np.ndarray):
+        shares = reference / np.maximum(reference.sum(1, keepdims=True), 1)
+        self.tabled = np.array([[np.log(max(expected_divergence(q, n), 1e-12)) for n in self.SIZES] for q in shares]).reshape(len(shares), len(self.SIZES))
+
+    def __call__(self, n: float) -> np.ndarray:
+        return np.exp([np.interp(np.log(n), np.log(self.SIZES), row) for row in self.tabled])
 
 
 class References:
@@ -101,7 +138,9 @@ class References:
 
     def __init__(self, classes: np.ndarray, words: list[bytes], counts: np.ndarray):
         self.classes, self.counts = classes, counts
+        self.by_class, self.by_word = Chance(classes), Chance(counts)
         self.bins = {w: i for i, w in enumerate(words)}
+        self.unknown = _contribution(np.eye(counts.shape[1])[-1], counts / np.maximum(counts.sum(1, keepdims=True), 1)).sum(1)
 
     def histogram(self, words: list[bytes]) -> np.ndarray:
         out = np.zeros(len(self.bins) + 1)
@@ -109,19 +148,25 @@ class References:
             out[self.bins.get(word, -1)] += n
         return out
 
-    def verdict(self, text: bytes) -> tuple[float, float]:
-        """The distances from the nearest language by classes and by words."""
+    def verdict(self, text: bytes) -> tuple[float, float, bool]:
+        """The distances from the nearest language by classes and by words, and whether one is far."""
         if not len(self.classes):
-            return 0.0, 0.0
-        classes = divergence(class_counts(text), self.classes)
-        words = divergence(self.histogram(plain_words(text)), self.counts)
-        nearest = np.argmin(classes / FAR_CLASSES + words / FAR_WORDS)
-        return float(classes[nearest]), float(words[nearest])
+            return 0.0, 0.0, False
+        words = plain_words(text)
+        by_class = divergence(class_counts(text), self.classes, self.by_class)
+        by_word = divergence(self.histogram(words), self.counts, self.by_word)
+        nearest = np.argmin(by_class / FAR_CLASSES + by_word / FAR_WORDS)
+        unknown = np.sqrt(max(self.unknown[nearest] - self.by_word(max(len(words), 1))[nearest], 0))
+        far = by_class[nearest] >= FAR_CLASSES or by_word[nearest] >= min(FAR_WORDS, UNKNOWN * unknown) > 0
+        return float(by_class[nearest]), float(by_word[nearest]), bool(far)
 
 
 def references(docs: DataFrame) -> References:
     named = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", F.col("text").cast("binary").alias("text"))
-    langs = [r["lang"] for r in named.groupBy("lang").count().where(F.col("count") >= LEAST_DOCS).select("lang").collect()]
+    # one row for each language
+    langs = [r["lang"] for r in named.groupBy("lang").count().where(F.col("count") >= LEAST_DOCS).select("lang").take(MOST_LANGS + 1)]
+    if len(langs) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} values of lang")
     langs.sort()
 
     def heavy(batches):
@@ -177,8 +222,7 @@ def judge(docs: DataFrame) -> DataFrame:
                 text = text or b""
                 n, chars, symbols, lines, repeated = base_counts(text)
                 failed = n < MIN_WORDS or repeated > MAX_REPEATED * n
-                classes, words = known.value.verdict(text) if n >= LEAST_WORDS else (None, None)
-                far = classes is not None and (classes >= FAR_CLASSES or words >= FAR_WORDS)
+                classes, words, far = known.value.verdict(text) if n >= LEAST_WORDS else (None, None, False)
                 rows.append((n, chars, symbols, lines, repeated, failed, not failed and not far, classes, words))
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             columns = zip(*rows) if rows else [[]] * len(kinds)
