@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
+import pytest
 
 from tests.llm.helpers import clashing, odd, rows
 from tidemark.llm import op05_nnpu as op
@@ -22,6 +24,53 @@ def test_fit_finds_the_positives_among_the_unlabelled():
     assert (called == hidden).mean() > 0.98
 
 
+def test_gradient_and_risk_against_differences():
+    """The step's gradient is that of the non-negative risk, by finite differences."""
+    rng = np.random.default_rng(1)
+    sides = [[np.unique(rng.integers(0, 6, 3)) for _ in range(n)] for n in (20, 50)]
+    positive, unlabelled = (op.Sparse(s, 6) for s in sides)
+    w, prior = rng.normal(size=7), 0.2
+
+    def risk(w):
+        z = [np.array([w[-1] + w[x].sum() for x in s]) for s in sides]
+        softplus = lambda v: np.log1p(np.exp(v)).mean()
+        return prior * softplus(-z[0]) + softplus(z[1]) - prior * softplus(z[0])
+
+    p, u = positive.probabilities(w), unlabelled.probabilities(w)
+    told = prior * positive.gradient(p - 1) + unlabelled.gradient(u) - prior * positive.gradient(p)
+    by_steps = [(risk(w + 1e-6 * e) - risk(w - 1e-6 * e)) / 2e-6 for e in np.eye(7)]
+    assert np.allclose(told, by_steps, atol=1e-6)
+
+
+def test_screening_against_counters(spark):
+    rng = np.random.default_rng(2)
+    sets = [(bool(i % 3 == 0), sorted({b"w%d" % k for k in rng.integers(0, 30, 6)} | ({b"bad"} if i % 3 == 0 and i % 2 else set()))) for i in range(300)]
+    got = op.screened(spark.createDataFrame(sets, "positive boolean, words array<binary>"))
+    n_p, n_u = sum(p for p, _ in sets), sum(not p for p, _ in sets)
+    told = []
+    for word in {w for _, s in sets for w in s}:
+        p, u = (sum(word in s for x, s in sets if x == side) for side in (True, False))
+        both = (p + u) / (n_p + n_u)
+        z = abs(p / n_p - u / n_u) / (both * (1 - both) * (1 / n_p + 1 / n_u)) ** 0.5
+        if z >= op.SCREEN:
+            told.append((-z, word))
+    assert got == [w for _, w in sorted(told)] == [b"bad"]
+
+
+def test_scores_are_the_sums_of_weights(spark):
+    """Every row of a table, by looking up each of its words."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    weights = op.train(docs, labels)
+    texts = {d.doc_id: d.text or "" for d in docs.collect()}
+    for r in op.score(docs, labels).collect():
+        words = set(re.findall(rb"[a-z\x80-\xff]+", "".join(c.lower() if c.isascii() else c for c in texts[r.doc_id]).encode()))
+        features = words | {w[:k] + b"." for k in op.STEMS for w in words if len(w) > k}
+        z = weights.get(b"", -30) + sum(weights.get(x, 0) for x in features)
+        assert r.score == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))) if weights else 0, rel=1e-6)
+        assert r.predicted == (r.score >= 0.5)
+
+
 def test_odd_documents(spark):
     docs, none = odd(spark), spark.createDataFrame([(1, 1, 0), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
     out = op.score(docs, none).collect()

@@ -10,32 +10,33 @@ non-negative correction).
 
 The features are words and their stems.  The classifier is fitted on a bounded
 sample: about ``POSITIVES`` and ``UNLABELLED`` documents (those of the smallest
-hashes, equal word sets once) and the words whose share differs between the two
-by ``SCREEN`` standard errors, the ``WORDS`` most different at most: long texts
-hold hundreds of rare words, whose chance differences would drown those that
-tell.  One task fits it.  Every word of every text is looked up.
+hashes, equal word sets once), none of over ``CHARS_PER_DOC`` characters, and the
+words whose share differs between the two by ``SCREEN`` standard errors, the
+``WORDS`` most different at most: long texts hold hundreds of rare words, whose
+chance differences would drown those that tell.  The words are counted and
+screened by Spark; one task gets the numbers of the screened words that each
+document of the sample has, and fits.  Every word of every text is looked up.
 
 Defined cases: a null or empty text, and any without a known word, gets the
 classifier's bias; without a single positive the score is 0 for all; labels of
 the other fold, or null, are not used; an id that is labelled twice is toxic if
-one label says so; repeated rows get equal scores.
+one label says so; repeated rows get equal scores; of words that differ equally
+the first in order is taken; a very long text is scored whole.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, table
+from tidemark.llm.common import cut, held_out, table
 from tidemark.llm.wordcounts import letter_words
 
 FOLD = (5, 0)
-POSITIVES, UNLABELLED = 4_000, 12_000
+POSITIVES, UNLABELLED, CHARS_PER_DOC = 4_000, 12_000, 200_000
 #: A word must be in LEAST_DOCS documents of the sample, and in LEAST_SHARE of one side.
 WORDS, LEAST_DOCS, LEAST_SHARE, SCREEN = 2_000, 3, 0.01, 6.0
 #: Besides a word itself, its first bytes are features, so that forms of one stem count together.
@@ -83,18 +84,18 @@ def fit(positive: Sparse, unlabelled: Sparse, prior: float) -> np.ndarray:
     return w
 
 
-def screened(sets: list[list[bytes]], positive: np.ndarray) -> list[bytes]:
-    """The words whose shares of positive and unlabelled documents differ most, the most different first."""
-    p, u = (Counter(w for s, x in zip(sets, positive) if x == side for w in s) for side in (True, False))
-    n_p, n_u = positive.sum(), (~positive).sum()
-    found = []
-    for word in p.keys() | u.keys():
-        both = (p[word] + u[word]) / (n_p + n_u)
-        spread = np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
-        common = p[word] + u[word] >= LEAST_DOCS and max(p[word] / n_p, u[word] / n_u) >= LEAST_SHARE
-        if common and spread and (z := abs(p[word] / n_p - u[word] / n_u) / spread) >= SCREEN:
-            found.append((-z, word))
-    return [word for _, word in sorted(found)[:WORDS]]
+def screened(sets: DataFrame) -> list[bytes]:
+    """The words whose shares of positive and unlabelled rows of ``sets`` (positive, words) differ most, the most different first."""
+    sizes = sets.agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")).first()
+    if not sizes["p"] or not sizes["u"]:
+        return []
+    counts = sets.select("positive", F.explode("words").alias("word")).groupBy("word").agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u"))
+    p, u = F.col("p") / sizes["p"], F.col("u") / sizes["u"]
+    both = (F.col("p") + F.col("u")) / (sizes["p"] + sizes["u"])
+    spread = F.sqrt(both * (1 - both) * (1 / sizes["p"] + 1 / sizes["u"]))
+    common = (F.col("p") + F.col("u") >= LEAST_DOCS) & (F.greatest(p, u) >= LEAST_SHARE)
+    z = F.when(spread > 0, F.abs(p - u) / spread)
+    return [bytes(r["word"]) for r in counts.where(common).select("word", z.alias("z")).where(F.col("z") >= SCREEN).orderBy(F.desc("z"), "word").limit(WORDS).collect()]
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict[bytes, float]:
@@ -104,7 +105,7 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[bytes, float]:
     if not shares["toxic"]:
         return {}
     prior = min(max(shares["toxic"] / shares["n"], 0.001), 0.999)
-    fold = docs.where(~held_out(*FOLD) & F.col("text").isNotNull()).select("doc_id", "text")
+    fold = docs.where(~held_out(*FOLD) & (F.length("text") <= CHARS_PER_DOC)).select("doc_id", "text")
     n_docs = docs.select("doc_id").where(~held_out(*FOLD)).count()
     share = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / (1 << 30)
     confirmed = toxic.where((F.col("toxic") == 1) & (share * shares["toxic"] < POSITIVES)).select("doc_id", F.lit(True).alias("confirmed"))
@@ -116,25 +117,30 @@ def train(docs: DataFrame, labels: DataFrame) -> dict[bytes, float]:
 
     def words_of(batches):
         for batch in batches:
-            sets = [b" ".join(sorted(present(t))) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["positive", "words"])
+            sets = [sorted(present(t)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.binary()))], ["positive", "words"])
+
+    rows = marked.select("positive", F.col("text").cast("binary").alias("text")).mapInArrow(words_of, "positive boolean, words array<binary>")
+    sets = cut(rows.withColumn("same", F.xxhash64("words")).dropDuplicates(["positive", "same"]).drop("same"))
+    known = {w: i for i, w in enumerate(screened(sets))}
+    if not known:
+        return {}
 
-    rows = marked.select("positive", F.col("text").cast("binary").alias("text")).mapInArrow(words_of, "positive boolean, words binary")
+    def numbers_of(batches):
+        for batch in batches:
+            found = [sorted(known[w] for w in words if w in known) for words in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["positive", "numbers"])
 
     def fit_one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["positive", "words"])  # rows arrive in any order
-        pdf = pdf.drop_duplicates(["positive", "words"])
-        sets = [bytes(x).split() for x in pdf.words]
-        positive = pdf.positive.to_numpy(bool)
-        if not positive.any() or positive.all():
-            return pd.DataFrame({"word": pd.Series([], dtype=object), "weight": pd.Series([], dtype=float)})
-        known = {w: i for i, w in enumerate(screened(sets, positive))}
-        numbers = [np.array(sorted(known[w] for w in s if w in known), np.int64) for s in sets]
-        w = fit(*[Sparse([n for n, p in zip(numbers, positive) if p == side], len(known)) for side in (True, False)], prior)
-        return pd.DataFrame({"word": [*known, b""], "weight": w})
-
-    fitted = rows.groupBy(F.lit(1).alias("all")).applyInPandas(lambda pdf: fit_one(pdf), "word binary, weight double")
-    return {bytes(r["word"]): r["weight"] for r in fitted.collect()}
+        sides = [sorted(n.tolist() for n, p in zip(pdf.numbers, pdf.positive) if p == side) for side in (True, False)]  # rows arrive in any order
+        w = fit(*[Sparse([np.array(n, np.int64) for n in side], len(known)) for side in sides], prior)
+        return pd.DataFrame({"place": np.arange(len(w)), "weight": w})
+
+    # at most POSITIVES + UNLABELLED rows, about, of at most WORDS numbers
+    numbers = sets.mapInArrow(numbers_of, "positive boolean, numbers array<int>")
+    fitted = numbers.groupBy(F.lit(1).alias("all")).applyInPandas(lambda pdf: fit_one(pdf), "place long, weight double")
+    words = [*known, b""]
+    return {words[r["place"]]: r["weight"] for r in fitted.collect()}
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
