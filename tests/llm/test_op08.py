@@ -63,8 +63,8 @@ def test_whole_table(spark):
     assert rows(op.query(spark, SF), "doc_id", "fingerprint", "component_id") == brute(docs.collect())
 
 
-@pytest.mark.parametrize("paired", [2, 48])
-def test_links_connect_all_within_two_bits(spark, monkeypatch, paired):
+@pytest.mark.parametrize("paired, distance", [(2, 2), (48, 2), (2, 1), (2, 0)])
+def test_links_connect_all_within_the_distance(spark, monkeypatch, paired, distance):
     monkeypatch.setattr(op, "PAIRED", paired)
     rng = random.Random(3)
     prints = {0, (1 << 64) - 1}
@@ -76,10 +76,10 @@ def test_links_connect_all_within_two_bits(spark, monkeypatch, paired):
                 p ^= 1 << rng.randrange(64)
     signed = {p - (1 << 64) if p >> 63 else p: p for p in prints}
     frame = spark.createDataFrame([(p,) for p in signed], "fingerprint long")
-    links = op.links(frame)
-    assert links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > 2).count() == 0
+    links = op.links(frame, distance)
+    assert links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > distance).count() == 0
     found = {signed[r.node]: r.label for r in op.components(links).collect()}
-    label = brute_components(prints)
+    label = brute_components(prints, distance)
     by_root = {}
     for p in prints:
         by_root.setdefault(label[p], set()).add(found.get(p, ("alone", p)))

@@ -15,7 +15,8 @@ values one bit away among the group's free bits, and all that name a value are
 linked to the least of them.  That is linear in the group, and no link is lost.
 
 Defined cases: a null or empty text has fingerprint zero, linked like any other;
-repeated rows and equal texts share a fingerprint and so a component; a null id
+repeated rows and equal texts share a fingerprint and so a component; a very long
+text is hashed whole, its bits counted in parts; a null id
 never becomes a component's id while it has other members.
 """
 
@@ -79,6 +80,8 @@ def links(prints: DataFrame, max_distance: int = 2) -> DataFrame:
 
     ``prints`` has one row per distinct fingerprint.  Two at most: for wider
     distances the exact way for large groups would need more than one bit.
+    A key that many rows share is one row here; the joins of rows with their
+    components are those that adaptive execution splits by itself.
     """
     if not 0 <= max_distance <= 2:
         raise ValueError("max_distance must be 0, 1 or 2")
@@ -99,6 +102,9 @@ def links(prints: DataFrame, max_distance: int = 2) -> DataFrame:
     free = F.array(*[F.array(F.lit(0), *[F.lit(_signed(1 << i)) for i in range(64) if not m >> i & 1]) for m in masks])
     flips = F.explode(F.element_at(free, F.col("combo") + 1)).alias("flip")
     named = members.where(F.col("n") > PAIRED).select("combo", fp.alias("b"), flips).select("b", fp_xor("b", "flip").alias("centre")).distinct()
+    if max_distance < 2:  # one of the two is the centre itself
+        near_one = named.join(members.select(fp.alias("a")).distinct(), F.col("centre") == F.col("a")).where((F.col("a") != F.col("b")) & near)
+        return paired.union(near_one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
     stars = named.groupBy("centre").agg(F.min("b").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     starred = named.join(stars, "centre").where((F.col("a") != F.col("b")) & near).select("a", "b")
     return paired.union(starred).distinct()
