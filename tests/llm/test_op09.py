@@ -41,9 +41,10 @@ def test_against_a_walk_document_by_document(spark):
     for shards, vnodes in ((40, 128), (7, 3), (300, 2)):
         cells = [(r.arc, r.shard) for r in op.ring(spark, shards, vnodes).orderBy("cell").collect()]
         assert len(cells) == 1 << op.RING_BITS
-        keyed = docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()
+        salt = F.expr(f"pmod(xxhash64(doc_id, CAST(coalesce(octet_length(text), 0) + 16 AS long), crc32(coalesce(text, ''))), {op.SALTS})")
+        keyed = docs.select("doc_id", F.xxhash64("doc_id").alias("h"), salt.alias("salt")).collect()
         cell = {r.doc_id: (r.h & (1 << 64) - 1) >> 64 - op.RING_BITS for r in keyed}
-        order = {r.doc_id: (cell[r.doc_id], r.h, r.doc_id) for r in keyed}
+        order = {r.doc_id: (r.salt, cell[r.doc_id], r.h, r.doc_id) for r in keyed}
         expected = brute([(order[i], cell[i]) for i in cell], cells, shards)
         got = {order[r.doc_id]: (r.shard, r.slot) for r in op.assign(docs, shards, vnodes).collect()}
         assert got == expected
@@ -63,6 +64,13 @@ def test_odd_documents(spark):
     assert rows(op.assign(clashing(docs), 5, 16), *columns) == rows(op.assign(docs, 5, 16), *columns)
 
 
+def test_many_rows_of_one_id(spark):
+    """A null id for all rows: one arc, which all shards share."""
+    docs = spark.range(3000).selectExpr("CAST(NULL AS long) AS doc_id", "CAST(id % 50 AS string) AS text")
+    counts = [r["count"] for r in op.assign(docs, 7, 16).groupBy("shard").count().collect()]
+    assert len(counts) == 7 and max(counts) - min(counts) <= 1 and sum(counts) == 3000
+
+
 def test_empty(spark):
     assert op.assign(odd(spark).limit(0)).count() == 0
 

@@ -8,11 +8,13 @@ shards that have room.  Capacities are the row count over the shards, rounded
 so that they add up to it, hence the law ``rows``: counts differ by one at most.
 
 Only counts per arc (at most shards x vnodes of them, a fixed bound) meet in one
-row, where a SQL fold walks the ring; documents are ranked within their arc and
-placed by joins on arc and on blocks of the overflow sequence.
+row, where a SQL fold walks the ring; documents are ranked within salted parts of
+their arc and placed by joins on arc and on blocks of the overflow sequence.  The
+law leaves no slack in the capacities, so that a document moves on just where its
+own shard is full.
 
 Defined cases: a null text has size 16 and crc 0; a null id hashes like any
-other value; repeated rows are separate rows; an empty table gives no rows.
+other value; repeated rows are separate rows; a very long text counts by its bytes; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from tidemark.llm.common import cut, table
 
 RING_BITS = 16
 OVERFLOW_BLOCKS = 4096
+#: Rows of an arc are ranked in so many parts, as an arc may hold a third of all rows (those of a null id, say).
+SALTS = 32
 
 
 def ring(spark, shards: int, vnodes: int) -> DataFrame:
@@ -92,7 +96,18 @@ def assign(docs: DataFrame, shards: int = 40, vnodes: int = 128) -> DataFrame:
     cell = F.shiftrightunsigned(F.xxhash64(F.col("doc_id")), 64 - RING_BITS)
     cells = F.broadcast(ring(spark, shards, vnodes))  # 2**RING_BITS rows
     arcs = ring(spark, shards, vnodes).select("arc", "shard").distinct()
-    counted = docs.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).join(cells.drop("shard"), "cell").groupBy("arc").agg(F.sum("n").alias("n"))
+    rows = docs.select(
+        "doc_id",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
+        cell.alias("cell"),
+    ).join(cells.drop("shard"), "cell")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(SALTS)))
+    # shards x vnodes x SALTS rows at most
+    parts = cut(rows.groupBy("arc", "salt").agg(F.count(F.lit(1)).alias("n")))
+    earlier = F.sum("n").over(W.partitionBy("arc").orderBy("salt").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")
+    bases = parts.select("arc", "salt", earlier.alias("base"))
+    counted = parts.groupBy("arc").agg(F.sum("n").alias("n"))
     loads = arcs.join(counted, "arc", "left").select("arc", "shard", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     placed = cut(walk(loads, shards))  # one row; read twice below
 
@@ -106,16 +121,8 @@ def assign(docs: DataFrame, shards: int = 40, vnodes: int = 128) -> DataFrame:
         F.col("queue").alias("move_queue"),
         F.col("n").alias("move_n"),
     )
-    rows = docs.select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit(""))).alias("text_crc32"),
-        cell.alias("cell"),
-    )
-    ranked = rows.join(cells.drop("shard"), "cell").select(
-        "doc_id", "size", "text_crc32", "arc",
-        (F.row_number().over(W.partitionBy("arc").orderBy("cell", F.xxhash64("doc_id"), "doc_id", "size", "text_crc32")) - 1).alias("rank"),
-    )
+    within = F.row_number().over(W.partitionBy("arc", "salt").orderBy("cell", F.xxhash64("doc_id"), "doc_id", "size", "text_crc32")) - 1
+    ranked = rows.withColumn("within", within).join(F.broadcast(bases), ["arc", "salt"]).select("doc_id", "size", "text_crc32", "arc", (F.col("base") + F.col("within")).alias("rank"))
     # homes and moves hold at most a few times shards x vnodes + OVERFLOW_BLOCKS rows
     at_home = ranked.join(F.broadcast(homes), "arc")
     queue = F.when(F.col("rank") >= F.col("home"), F.col("home_queue") + F.col("rank") - F.col("home"))
