@@ -13,10 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def with_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder of ``spark.checkpoint.dir``; set one only where there is none (tests)."""
+    """Use the shared folder of ``spark.checkpoint.dir``; a folder of this machine will do only where all of Spark is in this process."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not (sc.master.startswith("local") and not sc.master.startswith("local-cluster")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
