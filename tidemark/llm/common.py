@@ -59,3 +59,21 @@ def same_row(left: str, right: str, *more: str) -> Column:
     for k in keys:
         cond = cond & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
     return cond
+
+
+#: The words of 64 bits in a bitmap of keys.
+_BITMAP_BITS = 20
+
+
+def maybe_among(rows: DataFrame, hashed: str, keys: DataFrame) -> DataFrame:
+    """``rows`` with ``maybe``: false for those whose hash in the column ``hashed`` is surely not among the longs of ``keys``.
+
+    The bitmap has 2 ** 20 rows of two numbers at most, however many keys, and is
+    broadcast; beyond some 60 million keys it tells little, and is no less right.
+    """
+    key = keys.columns[0]
+    word = lambda c: F.shiftrightunsigned(c, 64 - _BITMAP_BITS)
+    bit = lambda c: F.expr(f"shiftleft(1L, int(`{c}` & 63))")
+    bitmap = keys.groupBy(word(key).alias("_word")).agg(F.bit_or(bit(key)).alias("_bits"))
+    joined = rows.withColumn("_word", word(hashed)).join(F.broadcast(bitmap), "_word", "left")
+    return joined.withColumn("maybe", F.coalesce(F.col("_bits").bitwiseAND(bit(hashed)) != 0, F.lit(False))).drop("_word", "_bits")

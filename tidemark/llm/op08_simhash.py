@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import cut, maybe_among, table
 from tidemark.llm.components import components
 
 SEED = 42
@@ -136,15 +136,25 @@ def keep_one(docs: DataFrame, words: int = 3, max_distance: int = 2) -> DataFram
 
 
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with the first row of each component that ``found`` names."""
+    """``docs`` with the first row of each component that ``found`` names.
+
+    Rows that are alone in their component stay where they are: a bitmap of the
+    others tells them apart, so that only texts that have copies are shuffled.
+    """
+    found = cut(found.select("doc_id", "text_hash", "component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")))
     # a null id sorts last, so that it stays only if its component has no other
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")).agg(first.alias("best"))
-    # two hashes that are never null name a row, so that the join and the removal of repeated rows share one shuffle of the texts
+    groups = found.groupBy("component_id", "alone").agg(first.alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # two hashes that are never null name a row
     keys = lambda doc_id, text_hash: [F.xxhash64(doc_id).alias("id_hash"), F.col(text_hash).alias("text_hash")]
-    best = best.select(*keys("best.doc_id", "best.text_hash"))
-    whole = docs.select(F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return whole.join(best, ["id_hash", "text_hash"], "left_semi").dropDuplicates(["id_hash", "text_hash"]).select("row.*")
+    same = F.col("found.component_id").eqNullSafe(F.col("groups.component_id")) & F.col("found.alone").eqNullSafe(F.col("groups.alone"))
+    members = cut(found.alias("found").join(groups.alias("groups"), same, "left_semi").select(*keys("doc_id", "text_hash")).distinct())
+    others = members.join(groups.select(*keys("best.doc_id", "best.text_hash")), ["id_hash", "text_hash"], "left_anti")
+    row_hash = F.xxhash64("id_hash", "text_hash")
+    whole = docs.select(F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("row_hash", row_hash)
+    marked = maybe_among(whole, "row_hash", members.select(row_hash.alias("key")))
+    copies = marked.where("maybe").join(others, ["id_hash", "text_hash"], "left_anti").dropDuplicates(["id_hash", "text_hash"])
+    return marked.where("NOT maybe").select("row.*").union(copies.select("row.*"))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
