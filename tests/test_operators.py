@@ -162,9 +162,31 @@ def test_catalog_pages_give_entities_once(spark):
     page = '{"help":"","success":true,"result":{"count":1,"results":[{"id":"ds-1","title":"T","owner_org":"o","organization":{"id":"org-1"},"groups":[{"id":"g-1"}],"resources":[{"id":"r-1","format":"CSV"},{"name":" r-2 "}]}]}}'
     tree = documents.entity_tree(parsed(spark, page, page), levels=2)
     kinds = increment.upsert(tree, ["entity_type", "entity_key"], [F.col("id"), F.col("level"), F.col("position")])
-    assert rows(kinds.select("entity_type", "entity_key", "parent_entity_key")) == [("dataset", "ds-1", None), ("group", "g-1", "ds-1"), ("resource", "r-1", "ds-1"), ("resource", "r-2", "ds-1")]
+    assert rows(kinds.select("entity_type", "entity_key", "parent_entity_key")) == [("dataset", "ds-1", None), ("group", "g-1", "ds-1"), ("organization", "org-1", "ds-1"), ("resource", "r-1", "ds-1"), ("resource", "r-2", "ds-1")]
     assert {r["record_path"] for r in kinds.collect()} >= {"payload.result.results[0]", "payload.result.results[0].resources[1]"}
-    assert documents.edges(tree).count() == 3
+    assert documents.edges(tree).count() == 4
+
+
+def test_collections_of_every_shape(spark):
+    """Objects in place of lists, scalars, wrappers around documents and in records, bare records."""
+    docs = [
+        '{"result":{"data":{"payload":{"datasets":{"id":"d1","result":{"resources":["a",5,null]}}}}}}',
+        '[{"id":"x","notes":"n"},{"id":"y","notes":"n","organization":{"id":"o"}}]',
+        '{"id":"alone","format":"CSV","mimetype":"t"}',
+        '{"datasets":[],"items":[{"id":"g","notes":"n"}]}',
+        "{}",
+    ]
+    tree = documents.entity_tree(parsed(spark, *docs)).select("id", "entity_type", "entity_key", "parent_entity_key", "record_path", "level")
+    assert rows(tree) == sorted([
+        (0, "dataset", "d1", None, "payload.result.data.payload.datasets[0]", 0),
+        (0, "resource", "a", "d1", "payload.result.data.payload.datasets[0].result.resources[0]", 1),
+        (0, "resource", "5", "d1", "payload.result.data.payload.datasets[0].result.resources[1]", 1),
+        (1, "dataset", "x", None, "payload[0]", 0),
+        (1, "dataset", "y", None, "payload[1]", 0),
+        (1, "organization", "o", "y", "payload[1].organization[0]", 1),
+        (2, "resource", "alone", None, "payload[0]", 0),
+        (3, "dataset", "g", None, "payload.items[0]", 0),
+    ], key=repr)
 
 
 def test_classification(spark):

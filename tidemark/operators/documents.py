@@ -41,9 +41,13 @@ PRIORITY = {
 #: Keys of wrappers around a payload, and of its generic collections.
 WRAPPERS = ("result", "data", "payload", "response", "value")
 GENERIC = ("results", "items")
+#: Keys of an entity's id and name.
 ID_KEYS = ("id", "identifier", "name", "slug", "guid", "uri", "url")
 NAME_KEYS = ("name", "display_name", "label", "title")
 DEPTH = 8
+#: Wrappers within each other that are looked through.
+WRAPPED = 3
+ROOT = "struct<path:string,rank:array<int>,data:variant>"
 
 
 def parsed(df: DataFrame, text: str, to: str = "document") -> DataFrame:
@@ -76,13 +80,24 @@ def records(df: DataFrame, document: str = "document") -> DataFrame:
 
 def coerced(df: DataFrame, value: str = "value") -> DataFrame:
     """K9: an object is one record; a list's objects are records, its scalars become {name, value}, its nulls go."""
-    v = F.col(value)
-    items = F.coalesce(_items(v), F.when(kind_of(v) == "object", F.array(v)))
     others = [c for c in df.columns if c != value]
-    each = df.select(*others, F.posexplode(items).alias("record_index", "item")).where(F.col("item").isNotNull() & (F.to_json("item") != "null"))
-    plain = F.try_variant_get("item", "$", "string")
-    named = F.parse_json(F.concat(F.lit('{"name":'), F.to_json(F.struct(plain.alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(plain.alias("x")))) - 6), F.lit(',"value":'), F.to_json("item"), F.lit("}")))
-    return each.select(*others, "record_index", F.when(kind_of(F.col("item")) == "object", F.col("item")).otherwise(named).alias("record"))
+    return df.select(*others, F.posexplode(coerced_records(F.col(value))).alias("record_index", "record"))
+
+
+def _is_object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
+def coerced_records(v: Column) -> Column:
+    """K9 within the row: the records that a value holds, as an array; none for a scalar or no value."""
+    items = F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.when(_is_object(v), F.array(v)), F.array().cast("array<variant>"))
+
+    def record(x):
+        plain = F.to_json(F.struct(F.coalesce(F.try_variant_get(x, "$", "string"), F.to_json(x)).alias("x")))
+        named = F.parse_json(F.concat(F.lit('{"name":'), plain.substr(F.lit(6), F.length(plain) - 6), F.lit(',"value":'), F.to_json(x), F.lit("}")))
+        return F.when(_is_object(x), x).otherwise(named)
+
+    return F.transform(F.filter(items, lambda x: x.isNotNull() & (F.to_json(x) != "null")), record)
 
 
 def expanded(nodes: DataFrame, carried: Sequence[str], level: int) -> DataFrame:
@@ -161,64 +176,109 @@ def identity(df: DataFrame, data: str = "record", path: str = "path") -> DataFra
     return df.select("*", ident.alias("entity_id"), name.alias("entity_name"), F.coalesce(ident, name, F.col(path)).alias("entity_key"))
 
 
-def unwrapped(document: Column) -> Column:
-    """K2: (path, data) of the object that holds the collections: the document, or what its wrappers hold, two deep."""
+def _let(value: Column, then) -> Column:
+    """``then(value)``, where ``value`` is evaluated once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def held(v: Column, order: Sequence[str]) -> Column:
+    """K2: the collections of an object as an array of (kind, key, items): each type's first alias that holds records, else a generic collection of no kind."""
+    typed = [(kind, key) for kind in order for key in COLLECTIONS[kind]]
+    generic = [(None, key) for key in GENERIC]
+    pairs = F.array(*[F.struct(F.lit(kind).cast("string").alias("kind"), F.lit(key).alias("key")) for kind, key in typed + generic])
+
+    def of(fields):
+        each = F.transform(pairs, lambda p: F.struct(p["kind"].alias("kind"), p["key"].alias("key"), coerced_records(F.try_element_at(fields, p["key"])).alias("items")))
+        return _let(F.filter(each, lambda x: F.size(x["items"]) > 0), chosen)
+
+    def chosen(full):
+        first = F.filter(F.transform(F.array(*map(F.lit, order)), lambda k: F.get(F.filter(full, lambda x: x["kind"] == k), F.lit(0))), lambda x: x.isNotNull())
+        return F.when(F.size(first) > 0, first).otherwise(F.slice(full, 1, 1))
 
-    def holds(v: Column) -> Column:
-        return reduce(lambda a, b: a | b, [F.coalesce(F.size(_list(v, k)) > 0, F.lit(False)) for keys in (*COLLECTIONS.values(), GENERIC) for k in keys])
+    return F.coalesce(_let(F.try_variant_get(v, "$", "map<string,variant>"), of), F.slice(of(F.lit(None).cast("map<string,variant>")), 1, 0))
 
-    def at(path: str) -> Column:
-        return F.try_variant_get(document, "$" + path, "variant") if path else document
 
-    levels = [""]
-    paths = [""]
-    for _ in range(2):
-        levels = [f"{p}.{w}" for p in levels for w in WRAPPERS]
-        paths += levels
-    # a wrapper's own collections come before those of the wrappers in it
-    paths.sort(key=lambda p: [WRAPPERS.index(w) for w in p.split(".")[1:]])
-    place = lambda p: F.struct(F.lit("payload" + p).alias("path"), at(p).alias("data"))
-    there = F.filter(F.array(*[place(p) for p in paths]), lambda c: c["data"].isNotNull() & holds(c["data"]))
-    return F.coalesce(F.get(there, F.lit(0)), place(""))
+def _inside(v: Column, order: Sequence[str]) -> Column:
+    """K3: a record's collections; if it has none itself, those of the objects in its wrappers, all of them."""
+    at = lambda prefix: lambda x: F.struct(x["kind"].alias("kind"), F.concat(F.lit("."), prefix, x["key"]).alias("at"), x["items"].alias("items"))
+    wrapped = lambda: F.flatten(F.transform(F.array(*map(F.lit, WRAPPERS)), lambda w: F.transform(held(F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), w), order), at(F.concat(w, F.lit("."))))))
+    return _let(held(v, order), lambda own: F.when(F.size(own) > 0, F.transform(own, at(F.lit("")))).otherwise(wrapped()))
+
+
+def unwrapped(document: Column, variant: str = "metadata_catalog") -> Column:
+    """K2: (path, data) of the object that holds the collections: the document, or what its wrappers hold, ``WRAPPED`` deep.
+
+    The document itself if no wrapper leads to a collection; a document with more
+    wrappers within each other is refused with an error.
+    """
+    order = PRIORITY[variant]
+
+    def inner(c):
+        fields = F.try_variant_get(c["data"], "$", "map<string,variant>")
+        made = [F.struct(F.concat(c["path"], F.lit("." + w)).alias("path"), F.concat(c["rank"], F.array(F.lit(i))).alias("rank"), F.try_element_at(fields, F.lit(w)).alias("data")) for i, w in enumerate(WRAPPERS)]
+        return F.filter(F.array(*made), lambda x: _is_object(x["data"]))
+
+    root = F.struct(F.lit("payload").alias("path"), F.array().cast("array<int>").alias("rank"), document.alias("data"))
+
+    def grown(levels: list[Column]) -> Column:
+        if len(levels) <= WRAPPED + 1:
+            return _let(F.flatten(F.transform(levels[-1], inner)), lambda x: grown([*levels, x]))
+        # a wrapper's own collections come before those of the wrappers in it
+        there = F.filter(F.concat(*levels[:-1]), lambda c: F.size(held(c["data"], order)) > 0)
+        first = _let(there, lambda t: F.get(F.filter(t, lambda c: c["rank"] == F.array_min(F.transform(t, lambda x: x["rank"]))), F.lit(0)))
+        deeper = F.when(F.size(levels[-1]) > 0, F.raise_error(F.lit(f"wrappers more than {WRAPPED} deep")).cast(ROOT)).otherwise(F.get(levels[0], F.lit(0)))
+        return F.coalesce(first, deeper)
+
+    return _let(grown([F.array(root)]), lambda c: F.struct(c["path"].alias("path"), c["data"].alias("data")))
 
 
 def batches(df: DataFrame, data: str, path: str, variant: str = "metadata_catalog", parent_type: str | None = None) -> DataFrame:
-    """K2, K3: the typed records in an object's collections: each type's first alias that holds records, else a generic collection.
+    """K2, K3: the typed records in an object's collections; an object in place of a list is one record, scalars are named.
 
-    Records of a generic collection get the type that ``classify`` gives them, or
-    the first by priority.
+    A record's wrappers are looked into, one deep.  Without a parent, an object
+    that has no collection, or a list, stands for its own records.  Those of a
+    generic collection get the type that ``classify`` gives them, or the first by
+    priority.
     """
     v, order = F.col(data), PRIORITY[variant]
-    typed = [(kind, F.coalesce(*[F.when(F.size(_list(v, k)) > 0, F.struct(F.lit(kind).alias("kind"), F.lit(k).alias("key"), _list(v, k).alias("items"))) for k in COLLECTIONS[kind]])) for kind in order]
-    generic = F.coalesce(*[F.when(F.size(_list(v, k)) > 0, F.struct(F.lit(None).cast("string").alias("kind"), F.lit(k).alias("key"), _list(v, k).alias("items"))) for k in GENERIC])
-    direct = F.array_compact(F.array(*[t for _, t in typed]))
-    chosen = F.when(F.size(direct) > 0, direct).otherwise(F.array_compact(F.array(generic)))
+    itself = F.filter(F.array(F.struct(F.lit(None).cast("string").alias("kind"), F.lit("").alias("at"), coerced_records(v).alias("items"))), lambda x: F.to_json(v) != "{}")
+    chosen = _inside(v, order)
+    if parent_type:
+        chosen = _let(chosen, lambda c: F.when((F.size(c) > 0) | F.col(parent_type).isNotNull(), c).otherwise(itself))
     others = [c for c in df.columns if c not in (data, path)]
     each = df.select(*others, F.col(path).alias("parent_path"), F.posexplode(chosen).alias("batch", "b"))
-    items = each.select(*others, "parent_path", "batch", F.col("b.kind").alias("batch_type"), F.concat("parent_path", F.lit("."), F.col("b.key")).alias("collection_path"), F.posexplode("b.items").alias("at", "data")).where(kind_of(F.col("data")) == "object")
+    items = each.select(*others, "parent_path", "batch", F.col("b.kind").alias("batch_type"), F.concat("parent_path", "b.at").alias("collection_path"), F.posexplode("b.items").alias("at", "data"))
     placed = items.select(*others, "parent_path", "collection_path", "batch_type", "batch", "at", F.concat("collection_path", F.lit("["), F.col("at").cast("string"), F.lit("]")).alias("path"), "data")
     told = classify(placed, variant, parent_type)
     guess = F.when(F.col("entity_type") == "unknown", F.lit(order[0])).otherwise(F.col("entity_type"))
     return told.select(*placed.columns, F.coalesce("batch_type", guess).alias("entity_type"))
 
 
-def entity_tree(df: DataFrame, document: str = "document", variant: str = "metadata_catalog", levels: int = 3) -> DataFrame:
+def entity_tree(df: DataFrame, document: str = "document", variant: str = "metadata_catalog", levels: int | None = None) -> DataFrame:
     """The entities of each document, level by level, with their parents.
 
+    Without ``levels`` it goes on until a level has no entity; every level is then
+    written to the checkpoint folder, as the next one is made of it.
+
     Carries the other columns, with entity_type, entity_key, entity_id,
     parent_entity_type, parent_entity_key, collection_path, record_path, level,
     position and payload (canonical JSON).
     """
     carried = [c for c in df.columns if c != document]
-    top = df.select(*carried, F.lit(None).cast("string").alias("parent_entity_type"), F.lit(None).cast("string").alias("parent_entity_key"), F.array().cast("array<string>").alias("before"), unwrapped(F.col(document)).alias("root"))
+    top = df.select(*carried, F.lit(None).cast("string").alias("parent_entity_type"), F.lit(None).cast("string").alias("parent_entity_key"), F.array().cast("array<string>").alias("before"), unwrapped(F.col(document), variant).alias("root"))
     top = top.select(*[c for c in top.columns if c != "root"], "root.data", "root.path")
-    out, held = [], top
-    for level in range(levels):
-        found = batches(held, "data", "path", variant, "parent_entity_type")
+    out, above, level = [], top, 0
+    while levels is None or level < levels:
+        found = batches(above, "data", "path", variant, "parent_entity_type")
         step = F.concat(F.col("batch").cast("string"), F.lit("/"), F.lpad(F.col("at").cast("string"), 9, "0"))
         named = identity(found.withColumn("position", F.concat("before", F.array(step))), "data", "path")
+        if levels is None:
+            named = named.checkpoint()
+            if out and named.isEmpty():
+                break
         out.append(named.select(*carried, "entity_type", "entity_key", "entity_id", "parent_entity_type", "parent_entity_key", "collection_path", F.col("path").alias("record_path"), F.lit(level).alias("level"), "position", F.to_json("data").alias("payload")))
-        held = named.select(*carried, F.col("entity_type").alias("parent_entity_type"), F.col("entity_key").alias("parent_entity_key"), F.col("position").alias("before"), "data", "path")
+        level += 1
+        above = named.select(*carried, F.col("entity_type").alias("parent_entity_type"), F.col("entity_key").alias("parent_entity_key"), F.col("position").alias("before"), "data", "path")
     return reduce(DataFrame.unionByName, out)
 
 
