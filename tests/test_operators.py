@@ -100,6 +100,12 @@ def test_upsert_and_filter(spark):
     assert increment.newer(marked, "m", None, "decimal").count() == 4
 
 
+def test_equal_order_is_told_apart_by_values(spark):
+    df = spark.createDataFrame([(1, v, 0) for v in "cab"] * 3, "k int, v string, o int").repartition(5)
+    assert rows(increment.upsert(df, ["k"], [F.col("o")])) == [(1, "a", 0)]
+    assert rows(increment.upsert(df, ["k"], [F.col("o")], "latest")) == [(1, "c", 0)]
+
+
 def test_latest_version(spark):
     files = spark.createDataFrame([("g", "a_2024-02.zip"), ("g", "a_2023.zip"), ("h", "x.zip"), ("h", "y.zip"), ("i", "z.zip")], "g string, filename string")
     got = {r["g"]: (r["filename"], r["ambiguous"]) for r in increment.latest_version(increment.with_version(files), ["g"]).collect()}
@@ -267,6 +273,48 @@ def test_archives(spark, tmp_path):
     ]
 
 
+def test_broken_members_are_rows(spark):
+    """A member that is corrupt or encrypted, between good ones."""
+    def zipped(change):
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for name in ("a.csv", "b.csv", "c.csv"):
+                z.writestr(name, name * 200)
+        content = bytearray(out.getvalue())
+        change(content, content.index(b"b.csv"))
+        return bytes(content)
+
+    def corrupt(content, at):
+        content[at + 5 : at + 15] = b"\xff" * 10
+
+    def encrypted(content, at):
+        content[at - 24] |= 1
+        entry = content.rindex(b"b.csv")
+        content[entry - 38] |= 1
+
+    files = spark.createDataFrame([("corrupt.zip", zipped(corrupt)), ("locked.zip", zipped(encrypted))], "path string, content binary")
+    found = {(r["archive"], r["member"]): r["error"] for r in archives.members(files).collect()}
+    assert len(found) == 6 and all((error is not None) == (member == "b.csv") for (_, member), error in found.items())
+    assert found["locked.zip", "b.csv"] == "unreadable: RuntimeError"
+
+
+@pytest.mark.parametrize(
+    "base, link, told",
+    [
+        ("http://h/a/b/c.html", "../../x.csv", "http://h/x.csv"),
+        ("http://h/a/b/c.html", "../../../x.csv", "http://h/x.csv"),
+        ("http://h/a/b/c.html", "p/./q", "http://h/a/b/p/q"),
+        ("http://h/a/b/c.html", "/p/../q?r=../s", "http://h/q?r=../s"),
+        ("http://h/a/b/c.html?x=/y", "..", "http://h/a/"),
+        ("http://h", "x", "http://h/x"),
+        ("http://h/a/b", "#f", "http://h/a/b#f"),
+        ("http://h/a/b", "//o/p", "http://o/p"),
+    ],
+)
+def test_resolved(spark, base, link, told):
+    assert spark.range(1).select(links.resolved(F.lit(base), F.lit(link))).first()[0] == told
+
+
 def test_links(spark):
     html = """<!-- <a href="no"> --><script>'<a href="no2">'</script><A class=x HREF='b.csv?x=1&amp;y=2'>b</a> <a href="/c">c</a><a href=../d.zip><a href="#f"><a href="mailto:x"><a href="JavaScript:x"><a data-href="n" href="https://o/e">"""
     pages = spark.createDataFrame([("https://h/p/q/r.html", html)], "url string, html string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
@@ -102,9 +103,22 @@ def path_segment(text: Column) -> Column:
     return F.coalesce(F.nullif(safe, F.lit("")), F.lit("current"))
 
 
+def _plain(c: str) -> str:
+    return unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode("ascii")
+
+
+_LETTERS = {c: p for c in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000)]) if (p := _plain(c))}
+#: Letters and signs of the first plane that decompose into one character of ASCII, and the ligatures that decompose into several.
+_SINGLE = {c: p for c, p in _LETTERS.items() if len(p) == 1}
+_LIGATURES = {c: p for c, p in _LETTERS.items() if len(p) > 1 and p.isalpha() and (ord(c) < 0x250 or 0xFB00 <= ord(c) <= 0xFB06)}
+
+
 def folded(text: Column) -> Column:
-    """Lower case without accents."""
-    return F.translate(F.lower(text), "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy")
+    """Lower case without accents: letters are decomposed, what is then not ASCII goes, as do blanks at the ends."""
+    for ligature, plain in _LIGATURES.items():
+        text = F.replace(text, F.lit(ligature), F.lit(plain))
+    single = F.translate(text, "".join(_SINGLE), "".join(_SINGLE.values()))
+    return F.trim(F.lower(F.regexp_replace(single, r"[^\x00-\x7F]", "")))
 
 
 def version_token(filename: Column) -> Column:
@@ -145,6 +159,26 @@ def url_filename(url: Column) -> Column:
     return F.coalesce(F.nullif(name, F.lit("")), F.lit("download.bin"))
 
 
+#: The formats of media types.
+FORMAT_BY_TYPE = {
+    "text/csv": "csv", "application/json": "json", "application/x-ndjson": "jsonl", "application/vnd.apache.parquet": "parquet",
+    "application/octet-stream": "binary", "application/zip": "binary", "application/x-zip-compressed": "binary",
+}
+
+
+def type_format(content_type: Column) -> Column:
+    """The read format of a response's media type, its parameters aside; NULL for others."""
+    named = F.create_map(*[F.lit(x) for pair in FORMAT_BY_TYPE.items() for x in pair])
+    return F.try_element_at(named, F.lower(F.trim(F.regexp_extract(content_type, "^([^;]*)", 1))))
+
+
+def disposition_filename(header: Column) -> Column:
+    """The file name that a Content-Disposition header gives, decoded and without folders; NULL if there is none."""
+    told = F.regexp_extract(header, """filename\\*?=(?:UTF-8''|")?([^";]+)""", 1)
+    name = F.regexp_extract(F.coalesce(F.try_url_decode(F.replace(F.trim(told), F.lit("+"), F.lit("%2B"))), F.trim(told)), "([^/]*)/*$", 1)
+    return F.nullif(F.trim(name), F.lit(""))
+
+
 def file_format(name: Column, fallback: str = "binary") -> Column:
     """The read format of a file name; archives are binary."""
     lower = F.lower(name)

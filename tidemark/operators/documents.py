@@ -9,7 +9,7 @@ children.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -69,13 +69,13 @@ def _items(v: Column) -> Column:
     return F.when(kind_of(v) == "array", F.try_variant_get(v, "$", "array<variant>"))
 
 
-def records(df: DataFrame, document: str = "document") -> DataFrame:
-    """The records of each response: a list's items; an object's first list among the usual keys, else the object; nothing for scalars."""
+def records(df: DataFrame, document: str = "document", transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Through ``transform``, the records of each response: a list's items; an object's first list among the usual keys, else the object; nothing for scalars."""
     v = F.col(document)
     lists = F.coalesce(_items(v), *[_list(v, k) for k in RECORD_KEYS])
     whole = F.when(kind_of(v) == "object", F.array(v))
     others = [c for c in df.columns if c != document]
-    return df.select(*others, F.posexplode(F.coalesce(lists, whole)).alias("record_index", "record"))
+    return transform(df.select(*others, F.posexplode(F.coalesce(lists, whole)).alias("record_index", "record")))
 
 
 def coerced(df: DataFrame, value: str = "value") -> DataFrame:
@@ -254,10 +254,11 @@ def batches(df: DataFrame, data: str, path: str, variant: str = "metadata_catalo
     return told.select(*placed.columns, F.coalesce("batch_type", guess).alias("entity_type"))
 
 
-def entity_tree(df: DataFrame, document: str = "document", variant: str = "metadata_catalog", levels: int | None = None) -> DataFrame:
-    """The entities of each document, level by level, with their parents.
+def entity_tree(df: DataFrame, document: str = "document", variant: str = "metadata_catalog", levels: int | None = None, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """The entities of each document, level by level, with their parents.
 
-    Without ``levels`` it goes on until a level has no entity; every level is then
+    ``transform`` sees each level's records (entity_type, data, path) before they
+    are named.  Without ``levels`` it goes on until a level has no entity; every level is then
     written to the checkpoint folder, as the next one is made of it.
 
     Carries the other columns, with entity_type, entity_key, entity_id,
@@ -269,7 +270,7 @@ def entity_tree(df: DataFrame, document: str = "document", variant: str = "metad
     top = top.select(*[c for c in top.columns if c != "root"], "root.data", "root.path")
     out, above, level = [], top, 0
     while levels is None or level < levels:
-        found = batches(above, "data", "path", variant, "parent_entity_type")
+        found = transform(batches(above, "data", "path", variant, "parent_entity_type"))
         step = F.concat(F.col("batch").cast("string"), F.lit("/"), F.lpad(F.col("at").cast("string"), 9, "0"))
         named = identity(found.withColumn("position", F.concat("before", F.array(step))), "data", "path")
         if levels is None:

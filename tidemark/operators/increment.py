@@ -34,12 +34,12 @@ def upsert(df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: st
     """G1: one row of each key: the first in ``order``, or the last.
 
     An aggregation with partial results, so that a key of many rows is reduced
-    before it is shuffled; rows of the same order are told apart by their values.
+    before it is shuffled; rows of the same order are told apart by their values, as JSON.
     """
     if keep not in ("first", "latest"):
         raise ValueError("keep must be 'first' or 'latest'")
-    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     row = F.struct(*[col(c) for c in df.columns])
+    rank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.to_json(row).alias("row"))
     pick = F.min_by if keep == "first" else F.max_by
     return df.groupBy(*[col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(pick(row, rank).alias("__row")).select("__row.*")
 
@@ -64,6 +64,26 @@ def with_version(files: DataFrame) -> DataFrame:
     return files.withColumn("version", F.coalesce(named, F.date_format("modified_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")) if "modified_at" in files.columns else named)
 
 
+def resolved_version(files: DataFrame, static: bool = False) -> DataFrame:
+    """``version``: the one that is known or named by the file, else the response's tag, else its date, else ``current`` for a static file, else the content's hash.
+
+    Takes of the columns filename, version, etag, last_modified and content those that there are.
+    """
+    given = lambda c: F.nullif(F.trim(col(c)), F.lit("")) if c in files.columns else F.lit(None).cast("string")
+    hashed = F.sha2("content", 256) if "content" in files.columns else F.lit(None).cast("string")
+    tag = F.regexp_replace(given("etag"), '^"+|"+$', "")
+    return files.withColumn("version", F.coalesce(given("version"), version_token(F.col("filename")), tag, given("last_modified"), F.lit("current") if static else hashed))
+
+
+def appended(history: DataFrame, candidates: DataFrame, by: Sequence[str], value: str, recorded_at: str) -> DataFrame:
+    """M3: the rows that new candidates add to a checkpoint history: each with its decision, after all that the history holds.
+
+    The history has the candidates' columns; its other ones are made anew.  Append the result to it.
+    """
+    both = history.select(*candidates.columns).withColumn("__new", F.lit(False)).unionByName(candidates.withColumn("__new", F.lit(True)))
+    return decisions(both, by, value, recorded_at).where("__new").drop("__new")
+
+
 def latest_run(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The rows of the latest (ingestion_date, run_id), in each group; run keys are few, so the join is small."""
     last = df.groupBy(*[col(b) for b in by]).agg(F.max(F.struct("ingestion_date", "run_id")).alias("last")).select(*[col(b) for b in by], "last.*")

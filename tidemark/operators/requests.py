@@ -124,3 +124,17 @@ def next_cursor(payload: Column) -> Column:
 def sequence_number(order: Sequence[Column], by: Sequence[str]) -> Column:
     """1, 2, ... within a group."""
     return F.row_number().over(W.partitionBy(*[col(b) for b in by]).orderBy(*order))
+
+
+def progress(log: DataFrame, source: str, inputs: str, page: str) -> DataFrame:
+    """M5: how far each source has come: the last input and page of its log of pages done, and how many inputs are complete before it."""
+    last = F.max(F.struct(F.col(inputs).alias("input"), F.col(page).alias("page"))).alias("last")
+    return log.groupBy(source).agg(last, (F.count_distinct(inputs) - 1).alias("n_complete")).select(source, F.col("last.input").alias("current_input"), F.col("last.page").alias("last_page"), "n_complete")
+
+
+def resumed(plan: DataFrame, done: DataFrame, source: str, inputs: str, page: str) -> DataFrame:
+    """M5: the pages of ``plan`` that are left after the ``progress`` of each source; all of a source without any."""
+    at = F.struct(F.col(inputs).alias("input"), F.col(page).alias("page"))
+    # a row for each source
+    marks = done.select(source, F.struct(F.col("current_input").alias("input"), F.col("last_page").alias("page")).alias("__mark"))
+    return plan.join(marks, source, "left").where(F.col("__mark").isNull() | (at > F.col("__mark"))).drop("__mark")

@@ -27,6 +27,16 @@ def document_records(spark, sf):
 RECORDS_SQL = """SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS record_index, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"""
 
 
+def transform_hooks(spark, sf):
+    """Records that a hook has filtered before they are used: those of the even keys."""
+    even = lambda df: df.where(field(F.col("record"), "id", "bigint") % 2 == 0)
+    each = documents.records(wrapped_events(spark, sf), transform=even)
+    return each.select("user_id", "record_index", field(F.col("record"), "id", "bigint").alias("event_id"))
+
+
+HOOKS_SQL = f"SELECT user_id, record_index, event_id FROM ({RECORDS_SQL}) WHERE event_id % 2 = 0"
+
+
 def first_non_blank_query(spark, sf):
     docs = table(spark, sf, "documents")
     return docs.select("doc_id", first_non_blank(F.nullif("source", F.lit("src0")), F.when(F.col("doc_id") % 4 == 0, F.lit("  ")).otherwise(F.col("lang")), F.col("doc_id")).alias("name"))
@@ -36,23 +46,27 @@ NON_BLANK_SQL = "SELECT doc_id, CASE WHEN source != 'src0' THEN source WHEN doc_
 
 
 def catalogs(spark, sf):
-    """A catalog page for each nation: its customers as datasets, their orders as resources, wrapped."""
+    """Catalog pages, of at most a thousand customers of a nation as datasets, with their orders as resources, wrapped."""
     orders = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_orderpriority").alias("format"), F.col("o_orderstatus").alias("url_type")))).alias("resources"))
     customers = table(spark, sf, "customer").join(orders, "c_custkey", "left")
-    sets = customers.groupBy("c_nationkey").agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("d"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("title"), "resources"))).alias("datasets"))
+    sets = customers.groupBy("c_nationkey", F.expr("c_custkey DIV 1000").alias("page")).agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("d"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("title"), "resources"))).alias("datasets"))
     body = F.struct(F.lit(True).alias("success"), F.struct(F.size("datasets").alias("count"), "datasets").alias("result"))
-    return documents.parsed(sets.select("c_nationkey", F.to_json(body).alias("text")), "text").drop("text")
+    return documents.parsed(sets.select("c_nationkey", "page", F.to_json(body).alias("text")), "text").drop("text")
 
 
 def entity_tree(spark, sf):
     tree = documents.entity_tree(catalogs(spark, sf), levels=2)
-    return tree.select("c_nationkey", "entity_type", "entity_key", "entity_id", "parent_entity_type", "parent_entity_key", "record_path", "level")
+    return tree.select("c_nationkey", "page", "position", F.sha2("payload", 256).alias("payload_hash"), "entity_type", "entity_key", "entity_id", "parent_entity_type", "parent_entity_key", "record_path", "level")
 
 
-_SETS = "SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY 'd' || c_custkey) - 1 AS i FROM customer"
-_RESOURCES = f"SELECT c_nationkey, c_custkey, i, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY 'r' || o_orderkey) - 1 AS j FROM ({_SETS}) JOIN orders ON o_custkey = c_custkey"
-TREE_SQL = f"""SELECT c_nationkey, 'dataset' AS entity_type, 'd' || c_custkey AS entity_key, 'd' || c_custkey AS entity_id, NULL AS parent_entity_type, NULL AS parent_entity_key, 'payload.result.datasets[' || i || ']' AS record_path, 0 AS level FROM ({_SETS})
-UNION ALL SELECT c_nationkey, 'resource', 'r' || o_orderkey, 'r' || o_orderkey, 'dataset', 'd' || c_custkey, 'payload.result.datasets[' || i || '].resources[' || j || ']', 1 FROM ({_RESOURCES})"""
+_SETS = "SELECT *, c_custkey // 1000 AS page, row_number() OVER (PARTITION BY c_nationkey, c_custkey // 1000 ORDER BY 'd' || c_custkey) - 1 AS i FROM customer"
+_RESOURCES = f"SELECT c_nationkey, page, c_custkey, i, o_orderkey, o_orderpriority, o_orderstatus, row_number() OVER (PARTITION BY o_custkey ORDER BY 'r' || o_orderkey) - 1 AS j FROM ({_SETS}) JOIN orders ON o_custkey = c_custkey"
+_LEAF = """'{"format":"' || o_orderpriority || '","id":"r' || o_orderkey || '","url_type":"' || o_orderstatus || '"}'"""
+_STEP = "'0/' || lpad(CAST({} AS VARCHAR), 9, '0')"
+TREE_SQL = f"""WITH r AS ({_RESOURCES}), leaves AS (SELECT c_custkey, string_agg({_LEAF}, ',' ORDER BY j) AS all FROM r GROUP BY 1)
+SELECT c_nationkey, page, [{_STEP.format('i')}] AS position, sha256('{{"id":"d' || c_custkey || '"' || coalesce(',"resources":[' || leaves.all || ']', '') || ',"title":"' || c_name || '"}}') AS payload_hash,
+'dataset' AS entity_type, 'd' || c_custkey AS entity_key, 'd' || c_custkey AS entity_id, NULL AS parent_entity_type, NULL AS parent_entity_key, 'payload.result.datasets[' || i || ']' AS record_path, 0 AS level FROM ({_SETS}) LEFT JOIN leaves USING (c_custkey)
+UNION ALL SELECT c_nationkey, page, [{_STEP.format('i')}, {_STEP.format('j')}], sha256({_LEAF}), 'resource', 'r' || o_orderkey, 'r' || o_orderkey, 'dataset', 'd' || c_custkey, 'payload.result.datasets[' || i || '].resources[' || j || ']', 1 FROM r"""
 
 
 def entity_counts(spark, sf):
@@ -64,18 +78,18 @@ COUNTS_SQL = f"SELECT entity_type, count(*) AS n_entities FROM ({TREE_SQL}) GROU
 
 
 def catalog_edges(spark, sf):
-    return documents.edges(documents.entity_tree(catalogs(spark, sf), levels=2), ["c_nationkey"])
+    return documents.edges(documents.entity_tree(catalogs(spark, sf), levels=2), ["c_nationkey", "page"])
 
 
-EDGES_SQL = f"SELECT c_nationkey, parent_entity_key AS parent_node_key, entity_key AS child_node_key, 'contains' AS relationship_type FROM ({TREE_SQL}) WHERE level = 1"
+EDGES_SQL = f"SELECT c_nationkey, page, parent_entity_key AS parent_node_key, entity_key AS child_node_key, 'contains' AS relationship_type FROM ({TREE_SQL}) WHERE level = 1"
 
 
 def catalog_nodes(spark, sf):
-    found = documents.nodes(documents.entity_tree(catalogs(spark, sf), levels=2), ["c_nationkey"])
-    return found.select("c_nationkey", "entity_type", "node_key", "node_path", "parent_node_key", "parent_node_path")
+    found = documents.nodes(documents.entity_tree(catalogs(spark, sf), levels=2), ["c_nationkey", "page"])
+    return found.select("c_nationkey", "page", "entity_type", "node_key", "node_path", "parent_node_key", "parent_node_path")
 
 
-NODES_SQL = f"SELECT c_nationkey, entity_type, entity_key AS node_key, record_path AS node_path, parent_entity_key AS parent_node_key, CASE WHEN level = 1 THEN regexp_replace(record_path, '\\.resources.*$', '') END AS parent_node_path FROM ({TREE_SQL})"
+NODES_SQL = f"SELECT c_nationkey, page, entity_type, entity_key AS node_key, record_path AS node_path, parent_entity_key AS parent_node_key, CASE WHEN level = 1 THEN regexp_replace(record_path, '\\.resources.*$', '') END AS parent_node_path FROM ({TREE_SQL})"
 
 
 def trees(spark, sf):
@@ -84,12 +98,12 @@ def trees(spark, sf):
 
 
 def walk_nodes(spark, sf):
-    return documents.walk(trees(spark, sf), depth=4).select("c_nationkey", "path", "collection_path", "parent_path", "level")
+    return documents.walk(trees(spark, sf), depth=4).select("c_nationkey", "page", "path", "collection_path", "parent_path", "level")
 
 
-WALK_SQL = f"""SELECT DISTINCT c_nationkey, 'payload' AS path, 'payload' AS collection_path, NULL AS parent_path, 0 AS level FROM customer
-UNION ALL SELECT c_nationkey, 'payload.datasets[' || i || ']', 'payload.datasets', 'payload', 1 FROM ({_SETS})
-UNION ALL SELECT c_nationkey, 'payload.datasets[' || i || '].resources[' || j || ']', 'payload.datasets[' || i || '].resources', 'payload.datasets[' || i || ']', 2 FROM ({_RESOURCES})"""
+WALK_SQL = f"""SELECT DISTINCT c_nationkey, c_custkey // 1000 AS page, 'payload' AS path, 'payload' AS collection_path, NULL AS parent_path, 0 AS level FROM customer
+UNION ALL SELECT c_nationkey, page, 'payload.datasets[' || i || ']', 'payload.datasets', 'payload', 1 FROM ({_SETS})
+UNION ALL SELECT c_nationkey, page, 'payload.datasets[' || i || '].resources[' || j || ']', 'payload.datasets[' || i || '].resources', 'payload.datasets[' || i || ']', 2 FROM ({_RESOURCES})"""
 
 
 def classify_nodes(spark, sf):
@@ -97,18 +111,18 @@ def classify_nodes(spark, sf):
     return found.groupBy("level", "entity_type", "confidence", F.array_join("signals", ",").alias("signals")).agg(F.count(F.lit(1)).alias("n_nodes"))
 
 
-CLASSIFY_SQL = f"""SELECT 0 AS level, 'unknown' AS entity_type, 'low' AS confidence, '' AS signals, count(DISTINCT c_nationkey) AS n_nodes FROM customer
+CLASSIFY_SQL = f"""SELECT 0 AS level, 'unknown' AS entity_type, 'low' AS confidence, '' AS signals, count(DISTINCT (c_nationkey, c_custkey // 1000)) AS n_nodes FROM customer
 UNION ALL SELECT 1, CASE WHEN o THEN 'dataset' ELSE 'unknown' END, CASE WHEN o THEN 'heuristic' ELSE 'low' END, CASE WHEN o THEN 'resources' ELSE '' END, count(*) FROM (SELECT c_custkey IN (SELECT o_custkey FROM orders) AS o FROM customer) GROUP BY ALL
 UNION ALL SELECT 2, 'resource', 'high', 'format,url_type', count(*) FROM ({_RESOURCES})"""
 
 
 def parse_summary(spark, sf):
-    return documents.parse_summary(documents.classify(documents.walk(trees(spark, sf), depth=4)), ["c_nationkey"])
+    return documents.parse_summary(documents.classify(documents.walk(trees(spark, sf), depth=4)), ["c_nationkey", "page"])
 
 
-PARSE_SQL = f"""WITH n AS (SELECT DISTINCT c_nationkey, 0 AS level, FALSE AS known FROM customer UNION ALL SELECT c_nationkey, 1, c_custkey IN (SELECT o_custkey FROM orders) FROM customer UNION ALL SELECT c_nationkey, 2, TRUE FROM ({_RESOURCES}))
-SELECT c_nationkey, count(*) AS n_nodes, count(*) FILTER (level = 0) AS n_roots, count(*) FILTER (level > 0) AS n_edges, count(*) FILTER (known) AS n_classified, count(*) FILTER (NOT known) AS n_unknown,
-CASE WHEN count(*) FILTER (known) = 0 THEN 'ambiguous' ELSE 'parsed_with_warnings' END AS status FROM n GROUP BY 1"""
+PARSE_SQL = f"""WITH n AS (SELECT DISTINCT c_nationkey, c_custkey // 1000 AS page, 0 AS level, FALSE AS known FROM customer UNION ALL SELECT c_nationkey, c_custkey // 1000, 1, c_custkey IN (SELECT o_custkey FROM orders) FROM customer UNION ALL SELECT c_nationkey, page, 2, TRUE FROM ({_RESOURCES}))
+SELECT c_nationkey, page, count(*) AS n_nodes, count(*) FILTER (level = 0) AS n_roots, count(*) FILTER (level > 0) AS n_edges, count(*) FILTER (known) AS n_classified, count(*) FILTER (NOT known) AS n_unknown,
+CASE WHEN count(*) FILTER (known) = 0 THEN 'ambiguous' ELSE 'parsed_with_warnings' END AS status FROM n GROUP BY 1, 2"""
 
 
 def statistics(spark, sf):
@@ -189,20 +203,20 @@ UNION ALL SELECT c_custkey, 'strategy.api_key', '***' FROM customer"""
 
 
 def folded_labels(spark, sf):
-    """How many words of the French and Spanish documents change when accents are folded, by document."""
-    words = table(spark, sf, "documents").where("lang IN ('fr', 'es')").select("doc_id", F.explode(F.split("text", " ")).alias("w"))
+    """How many words of each document change when accents are folded."""
+    words = table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("w"))
     return words.groupBy("doc_id").agg(F.count_if(folded(F.col("w")) != F.lower("w")).alias("n_accented"))
 
 
-FOLDED_SQL = "SELECT doc_id, count(*) FILTER (regexp_matches(lower(w), '[áàâãäåéèêëíìîïóòôõöúùûüçñýÿ]')) AS n_accented FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents WHERE lang IN ('fr', 'es')) GROUP BY 1"
+FOLDED_SQL = "SELECT doc_id, count(*) FILTER (regexp_matches(lower(w), '[^\\x00-\\x7F]') OR w != trim(w)) AS n_accented FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY 1"
 
 QUERIES = {
-    "document_records": document_records, "first_non_blank": first_non_blank_query, "entity_tree": entity_tree, "entity_counts": entity_counts, "catalog_edges": catalog_edges, "catalog_nodes": catalog_nodes,
+    "transform_hooks": transform_hooks, "document_records": document_records, "first_non_blank": first_non_blank_query, "entity_tree": entity_tree, "entity_counts": entity_counts, "catalog_edges": catalog_edges, "catalog_nodes": catalog_nodes,
     "walk_nodes": walk_nodes, "classify_nodes": classify_nodes, "parse_summary": parse_summary, "flat_view": flat_view, "flat_description": flat_description, "cursors": cursors,
     "coerced_records": coerced_records, "canonical_payloads": canonical_payloads, "metadata_coerce": metadata_coerce, "folded_labels": folded_labels,
 }
 ORACLES = {
-    "document_records": RECORDS_SQL, "first_non_blank": NON_BLANK_SQL, "entity_tree": TREE_SQL, "entity_counts": COUNTS_SQL, "catalog_edges": EDGES_SQL, "catalog_nodes": NODES_SQL,
+    "transform_hooks": HOOKS_SQL, "document_records": RECORDS_SQL, "first_non_blank": NON_BLANK_SQL, "entity_tree": TREE_SQL, "entity_counts": COUNTS_SQL, "catalog_edges": EDGES_SQL, "catalog_nodes": NODES_SQL,
     "walk_nodes": WALK_SQL, "classify_nodes": CLASSIFY_SQL, "parse_summary": PARSE_SQL, "flat_view": FLAT_SQL, "flat_description": DESCRIBED_SQL, "cursors": CURSOR_SQL,
     "coerced_records": COERCED_SQL, "canonical_payloads": CANONICAL_SQL, "metadata_coerce": METADATA_SQL, "folded_labels": FOLDED_SQL,
 }

@@ -8,8 +8,9 @@ import zipfile
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.functions.values import file_format, identifier, is_direct_file, path_segment, redacted_url, url_filename
+from tidemark.functions.values import disposition_filename, file_format, identifier, is_direct_file, path_segment, redacted_url, type_format, url_filename
 from tidemark.operators import audit, increment, publish
 from tidemark.plans.common import scratch, table
 from tidemark.sources import archives, links, scan, schema
@@ -18,13 +19,43 @@ from tidemark.streaming.landing import load_available
 
 def page_links(spark, sf):
     found = links.page_links(table(spark, sf, "pages").select("page_id", "url", "html"))
-    return found.select("page_id", "href").groupBy("page_id", "href").agg(F.count(F.lit(1)).alias("n_links"))
+    return found.groupBy("page_id", "href", "target", "filename", "format").agg(F.count(F.lit(1)).alias("n_links"))
 
 
-LINKS_SQL = r"""SELECT page_id, href, count(*) AS n_links FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages)
+LINKS_SQL = r"""SELECT page_id, href, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href AS target, coalesce(nullif(regexp_extract(href, '([^/]*)/?$', 1), ''), 'download.bin') AS filename, 'text' AS format, count(*) AS n_links FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)) AS href FROM pages)
 WHERE href != '' AND NOT regexp_matches(lower(href), '^(#|javascript:|mailto:)') GROUP BY ALL"""
 
 
+def relative_links(spark, sf):
+    """Links with steps upwards and to the same folder, against each page's address."""
+    steps = F.element_at(F.array(*[F.lit(x) for x in ("../../x.csv", "p/./q", "/p/../q.json?a=../b", "../../../up/", "./..")]), (F.col("page_id") % 5 + 1).cast("int"))
+    base = F.concat(F.regexp_extract("url", "^([a-z]+://[^/?#]*)", 1), F.lit("/a/b/c.html?x=/y"))
+    return table(spark, sf, "pages").select("page_id", links.resolved(base, steps).alias("target"))
+
+
+RELATIVE_SQL = r"""SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || ['/x.csv', '/a/b/p/q', '/q.json?a=../b', '/up/', '/a/'][page_id % 5 + 1] AS target FROM pages"""
+
+
+def header_names(spark, sf):
+    """File names and formats of responses, by their headers."""
+    header = F.concat(F.lit("attachment; filename"), F.when(F.col("page_id") % 3 == 0, F.lit("*=UTF-8''dir%2Fa%20")).when(F.col("page_id") % 3 == 1, F.lit('="b')), F.col("page_id").cast("string"), F.lit(".csv"))
+    kind = F.element_at(F.array(*[F.lit(x) for x in ("text/csv; charset=utf-8", "Application/JSON", "image/png", "application/zip")]), (F.col("page_id") % 4 + 1).cast("int"))
+    return table(spark, sf, "pages").select("page_id", disposition_filename(F.coalesce(header, F.lit("inline"))).alias("filename"), type_format(kind).alias("format"))
+
+
+HEADER_SQL = """SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'a ' || page_id || '.csv' WHEN 1 THEN 'b' || page_id || '.csv' END AS filename, ['csv', 'json', NULL, 'binary'][page_id % 4 + 1] AS format FROM pages"""
+
+
+def resolved_versions(spark, sf):
+    """The version of each document as a downloaded file: by its name, its tag, its date, or its content."""
+    i = F.col("doc_id") % 4
+    files = table(spark, sf, "documents").select("doc_id", F.when(i == 0, F.concat(F.lit("data_2024_0"), F.col("doc_id") % 9 + 1, F.lit(".csv"))).otherwise("data.csv").alias("filename"), F.when(i == 1, F.concat(F.lit('"t'), "doc_id", F.lit('"'))).alias("etag"), F.when(i == 2, F.lit("Mon, 01 Jan 2024 00:00:00 GMT")).alias("last_modified"), F.col("text").alias("content"))
+    return increment.resolved_version(files).select("doc_id", "version")
+
+
+RESOLVED_SQL = "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '2024-0' || (doc_id % 9 + 1) WHEN 1 THEN 't' || doc_id WHEN 2 THEN 'Mon, 01 Jan 2024 00:00:00 GMT' ELSE sha256(text) END AS version FROM documents"
+
+
 def url_format(spark, sf):
     """The pages' URLs with file names added to them."""
     urls = table(spark, sf, "pages").select("page_id", F.concat(F.regexp_replace("url", "[?#].*$", ""), F.element_at(F.array(*[F.lit(x) for x in ("/a%20b.CSV?x=1", "/d.ndjson#f", "/e.tar.gz", "/f", "/g.xlsx")]), (F.col("page_id") % 5 + 1).cast("int"))).alias("url"))
@@ -125,7 +156,7 @@ CSV_SQL = "SELECT c_custkey, c_acctbal, c_name AS name, TRUE AS clean FROM custo
 
 
 def json_modes_read(spark, sf):
-    """Orders as JSON lines, and as one document for each status, whose records are read back."""
+    """Orders as JSON lines, read back."""
     df, at = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), scratch(spark)
     publish.write_path(df, f"{at}/lines", "jsonl")
     lines = scan.read_paths(spark, [f"{at}/lines"], "jsonl", df.schema)
@@ -136,6 +167,36 @@ def json_modes_read(spark, sf):
 JSON_SQL = "SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows, CAST(sum(count(*)) OVER (PARTITION BY o_orderstatus) AS BIGINT) AS n_lines FROM orders GROUP BY 1, 2"
 
 
+def json_documents_read(spark, sf):
+    """Orders as documents that span lines, a hundred records in each, read back whole and as tables of an inventory."""
+    df, at = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), scratch(spark)
+    page = F.col("o_orderkey") - F.col("o_orderkey") % 100
+    records = F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus")))
+    pages = df.groupBy(page.alias("page")).agg(F.to_json(F.struct(records.alias("records")), {"pretty": "true"}).alias("value"))
+    pages.select("page", "value").write.partitionBy("page").option("lineSep", "\n").text(f"{at}/pages")
+    kind = "records array<struct<o_orderkey:bigint,o_orderstatus:string>>"
+    whole = scan.read_documents(spark, [f"{at}/pages"]).select(F.explode(F.from_json("text", kind)["records"]).alias("r"))
+    typed = scan.read_paths(spark, [f"{at}/pages"], "json", StructType.fromDDL(kind)).select(F.explode("records").alias("r"))
+    count = lambda rows, name: rows.groupBy(F.col("r.o_orderstatus").alias("o_orderstatus")).agg(F.count(F.lit(1)).alias(name), F.sum("r.o_orderkey").alias(f"sum_{name}"))
+    return count(whole, "whole").join(count(typed, "typed"), "o_orderstatus")
+
+
+DOCUMENTS_SQL = "SELECT o_orderstatus, count(*) AS whole, CAST(sum(o_orderkey) AS BIGINT) AS sum_whole, count(*) AS typed, CAST(sum(o_orderkey) AS BIGINT) AS sum_typed FROM orders GROUP BY 1"
+
+
+def rehydrated(spark, sf):
+    """Customers' names as plain files and as members of archives, one inventory of both."""
+    texts = table(spark, sf, "customer").groupBy(F.expr("c_custkey DIV 100").alias("c_nationkey")).agg(F.array_join(F.array_sort(F.collect_list("c_name")), "\n").alias("text"))
+    made = texts.mapInPandas(_archived, "path string, content binary")
+    plain = texts.select(F.concat(F.lit("plain/"), "c_nationkey", F.lit(".csv")).alias("path"), F.col("text").cast("binary").alias("content"))
+    return archives.rehydrated(made.unionByName(plain), "*.csv").select("path", F.sha2("content", 256).alias("checksum"))
+
+
+REHYDRATED_SQL = """WITH t AS (SELECT c_custkey // 100 AS k, string_agg(c_name, chr(10) ORDER BY c_name) AS text FROM customer GROUP BY 1)
+SELECT 'plain/' || k || '.csv' AS path, sha256(text) AS checksum FROM t
+UNION ALL SELECT 'downloads/2024/' || k || CASE WHEN k % 2 = 1 THEN '.tar.gz' ELSE '.zip' END || '!nested/records.csv', sha256(text) FROM t WHERE k % 9 != 8"""
+
+
 def _archived(frames):
     """A zip or a tar archive for each row's text, with a note and, at times, an unsafe member; every ninth is broken."""
     for frame in frames:
@@ -159,13 +220,13 @@ def _archived(frames):
 
 
 def archive_members(spark, sf):
-    """An archive of each nation's customers, its CSV members found and hashed, and what went wrong."""
-    texts = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_list("c_name")), "\n").alias("text"))
+    """Archives of a hundred customers each, their CSV members found and hashed, and what went wrong."""
+    texts = table(spark, sf, "customer").groupBy(F.expr("c_custkey DIV 100").alias("c_nationkey")).agg(F.array_join(F.array_sort(F.collect_list("c_name")), "\n").alias("text"))
     made = texts.mapInPandas(_archived, "path string, content binary")
     return archives.members(made, "*.csv").select("archive", "member", "length", "checksum", "error")
 
 
-MEMBERS_SQL = """WITH t AS (SELECT c_nationkey AS k, string_agg(c_name, chr(10) ORDER BY c_name) AS text FROM customer GROUP BY 1),
+MEMBERS_SQL = """WITH t AS (SELECT c_custkey // 100 AS k, string_agg(c_name, chr(10) ORDER BY c_name) AS text FROM customer GROUP BY 1),
 a AS (SELECT *, 'downloads/2024/' || k || CASE WHEN k % 2 = 1 THEN '.tar.gz' ELSE '.zip' END AS archive FROM t)
 SELECT archive, 'nested/records.csv' AS member, CAST(strlen(text) AS BIGINT) AS length, sha256(text) AS checksum, NULL AS error FROM a WHERE k % 9 != 8
 UNION ALL SELECT archive, '../up.csv', NULL, NULL, 'unsafe path' FROM a WHERE k % 4 = 0 AND k % 9 != 8
@@ -221,12 +282,14 @@ def landed_inventory(spark, sf):
 INVENTORY_SQL = "SELECT o_orderstatus, 'parquet' AS format, TRUE AS has_bytes, count(*) AS n_rows FROM orders GROUP BY 1"
 
 QUERIES = {
+    "relative_links": relative_links, "header_names": header_names, "resolved_versions": resolved_versions, "json_documents_read": json_documents_read, "rehydrated": rehydrated,
     "page_links": page_links, "url_format": url_format, "redact_urls": redact_urls, "html_rejects": html_rejects, "content_hash": content_hash, "checksum_verify": checksum_verify,
     "extraction_summary": extraction_summary, "dead_letter_split": dead_letter_split, "dead_letters": dead_letters, "sanitize_ident": sanitize_ident, "csv_contract_read": csv_contract_read,
     "json_modes_read": json_modes_read, "archive_members": archive_members, "listing_files": listing_files, "available_now_load": available_now_load, "discovered_files": discovered_files,
     "landed_inventory": landed_inventory,
 }
 ORACLES = {
+    "relative_links": RELATIVE_SQL, "header_names": HEADER_SQL, "resolved_versions": RESOLVED_SQL, "json_documents_read": DOCUMENTS_SQL, "rehydrated": REHYDRATED_SQL,
     "page_links": LINKS_SQL, "url_format": FORMAT_SQL, "redact_urls": REDACT_SQL, "html_rejects": HTML_SQL, "content_hash": HASH_SQL, "checksum_verify": VERIFY_SQL,
     "extraction_summary": EXTRACTION_SQL, "dead_letter_split": DEAD_SQL, "dead_letters": LETTERS_SQL, "sanitize_ident": IDENT_SQL, "csv_contract_read": CSV_SQL,
     "json_modes_read": JSON_SQL, "archive_members": MEMBERS_SQL, "listing_files": LISTING_SQL, "available_now_load": LOAD_SQL, "discovered_files": DISCOVERED_SQL,

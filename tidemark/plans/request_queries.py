@@ -147,6 +147,28 @@ def stored_checkpoints(spark, sf):
 STORED_SQL = f"SELECT user_id, arg_max(candidate, recorded_at) AS checkpoint, max(recorded_at) AS advanced_at FROM ({DECISION_SQL}) WHERE decision = 'advanced' GROUP BY 1"
 
 
+def checkpoint_history(spark, sf):
+    """The candidates of the later days, added to a history of the earlier ones."""
+    daily = checkpoint_decisions(spark, sf).select("user_id", "recorded_at", "candidate")
+    early = F.dayofmonth("recorded_at") <= 15
+    return increment.appended(daily.where(early), daily.where(~early), ["user_id"], "candidate", "recorded_at").select("user_id", "recorded_at", "candidate", "previous_value", "decision")
+
+
+HISTORY_SQL = f"SELECT * FROM ({DECISION_SQL}) WHERE day(recorded_at) > 15"
+
+
+def resume_plan(spark, sf):
+    """Pages left of a plan over all lines by return flag, whose first half is done, one flag not begun."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
+    half = lines.where("l_orderkey % 2 = 0 AND l_returnflag != 'R' AND l_orderkey < 3000")
+    keys = ["l_returnflag", "l_orderkey", "l_linenumber"]
+    return requests.resumed(lines, requests.progress(half, *keys), *keys)
+
+
+RESUME_SQL = """WITH m AS (SELECT l_returnflag, max(l_orderkey * 100 + l_linenumber) AS mark FROM lineitem WHERE l_orderkey % 2 = 0 AND l_returnflag != 'R' AND l_orderkey < 3000 GROUP BY 1)
+SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem LEFT JOIN m USING (l_returnflag) WHERE mark IS NULL OR l_orderkey * 100 + l_linenumber > mark"""
+
+
 def first_wins(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
     return increment.upsert(docs, ["text"], [F.col("doc_id")]).select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_sha256"))
@@ -185,10 +207,10 @@ QUALIFY (d, p) = max((d, p)) OVER (PARTITION BY o_orderstatus)"""
 QUERIES = {
     "day_windows": day_windows, "month_windows": month_windows, "format_dates": format_dates, "request_rows": request_rows, "distinct_inputs": distinct_inputs, "request_plan": request_plan,
     "request_params": request_params, "pending_requests": pending_requests, "page_continuity": page_continuity, "max_checkpoint": max_checkpoint, "incremental_filter": incremental_filter,
-    "checkpoint_decisions": checkpoint_decisions, "stored_checkpoints": stored_checkpoints, "first_wins": first_wins, "latest_wins": latest_wins, "latest_version": latest_version, "latest_run": latest_run,
+    "checkpoint_history": checkpoint_history, "resume_plan": resume_plan, "checkpoint_decisions": checkpoint_decisions, "stored_checkpoints": stored_checkpoints, "first_wins": first_wins, "latest_wins": latest_wins, "latest_version": latest_version, "latest_run": latest_run,
 }
 ORACLES = {
     "day_windows": DAY_SQL, "month_windows": MONTH_SQL, "format_dates": FORMAT_SQL, "request_rows": ROWS_SQL, "distinct_inputs": ROWS_SQL.replace("SELECT", "SELECT DISTINCT"), "request_plan": PLAN_SQL,
     "request_params": PARAMS_SQL, "pending_requests": PENDING_SQL, "page_continuity": CONTINUITY_SQL, "max_checkpoint": MAX_SQL, "incremental_filter": FILTER_SQL,
-    "checkpoint_decisions": DECISION_SQL, "stored_checkpoints": STORED_SQL, "first_wins": FIRST_SQL, "latest_wins": LATEST_SQL, "latest_version": VERSION_SQL, "latest_run": LATEST_RUN_SQL,
+    "checkpoint_history": HISTORY_SQL, "resume_plan": RESUME_SQL, "checkpoint_decisions": DECISION_SQL, "stored_checkpoints": STORED_SQL, "first_wins": FIRST_SQL, "latest_wins": LATEST_SQL, "latest_version": VERSION_SQL, "latest_run": LATEST_RUN_SQL,
 }

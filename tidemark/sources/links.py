@@ -17,20 +17,30 @@ def hrefs(html: Column) -> Column:
     return F.transform(each, lambda m: F.trim(F.replace(F.coalesce(F.nullif(m["g1"], F.lit("")), F.nullif(m["g2"], F.lit("")), m["g3"]), F.lit("&amp;"), F.lit("&"))))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path with its steps to the same folder and upwards taken."""
+    parts = F.split(path, "/")
+    step = lambda s, x: F.when(x == "..", F.slice(s, F.lit(1), F.greatest(F.size(s) - 1, F.lit(1)))).when(x == ".", s).otherwise(F.concat(s, F.array(x)))
+    walked = F.aggregate(F.slice(parts, F.lit(2), F.size(parts)), F.slice(parts, 1, 1), step)
+    folder = F.element_at(parts, -1).isin(".", "..")  # what ends in such a step is a folder
+    return F.array_join(F.when(folder, F.concat(walked, F.array(F.lit("")))).otherwise(walked), "/")
+
+
 def resolved(base: Column, link: Column) -> Column:
-    """A link's URL against its page's; dot segments at the start of relative paths are followed once per step."""
+    """A link's URL against its page's."""
     root = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, "^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     plain = F.regexp_replace(base, "[?#].*$", "")
-    folder = F.when(plain.rlike("://[^/]*$"), F.concat(plain, F.lit("/"))).otherwise(F.regexp_replace(plain, "[^/]*$", ""))
-    up = F.regexp_replace(link, r"^\./", "")
-    climbed = F.regexp_replace(F.concat(folder, up), r"[^/:]+/\.\./", "")
+    own = F.substr(plain, F.length(root) + 1)
+    folder = F.when(own == "", F.lit("/")).otherwise(F.regexp_replace(own, "[^/]*$", ""))
+    path, rest = F.regexp_extract(link, "^([^?#]*)", 1), F.regexp_extract(link, "([?#].*)$", 1)
     return (
         F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, link))
-        .when(link.startswith("/"), F.concat(root, link))
         .when(link.startswith("?"), F.concat(plain, link))
-        .otherwise(climbed)
+        .when(link.startswith("#") | (link == ""), F.concat(F.regexp_replace(base, "#.*$", ""), link))
+        .when(link.startswith("/"), F.concat(root, _without_dots(path), rest))
+        .otherwise(F.concat(root, _without_dots(F.concat(folder, path)), rest))
     )
 
 

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+RETAINED = "spark.sql.streaming.numRecentProgressUpdates"
+
+
 def load_available(
     spark: SparkSession,
     source: str,
@@ -25,6 +28,12 @@ def load_available(
     each batch once, so a rerun or a lost executor loads nothing twice.
     """
     stream = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).options(**dict(options or {})).load(source)
+    # all batches' progress is kept while the stream runs: the default is the last hundred
+    kept = spark.conf.get(RETAINED)
+    spark.conf.set(RETAINED, 1_000_000)
     query = transform(stream).writeStream.format("parquet").option("path", target).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    try:
+        query.awaitTermination()
+        return sum(p["numInputRows"] for p in query.recentProgress)
+    finally:
+        spark.conf.set(RETAINED, kept)
