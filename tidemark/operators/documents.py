@@ -97,7 +97,7 @@ def coerced_records(v: Column) -> Column:
         named = F.parse_json(F.concat(F.lit('{"name":'), plain.substr(F.lit(6), F.length(plain) - 6), F.lit(',"value":'), F.to_json(x), F.lit("}")))
         return F.when(_is_object(x), x).otherwise(named)
 
-    return F.transform(F.filter(items, lambda x: x.isNotNull() & (F.to_json(x) != "null")), record)
+    return F.transform(F.filter(items, lambda x: x.isNotNull() & ~F.is_variant_null(x)), record)
 
 
 def expanded(nodes: DataFrame, carried: Sequence[str], level: int) -> DataFrame:
@@ -241,7 +241,7 @@ def batches(df: DataFrame, data: str, path: str, variant: str = "metadata_catalo
     priority.
     """
     v, order = F.col(data), PRIORITY[variant]
-    itself = F.filter(F.array(F.struct(F.lit(None).cast("string").alias("kind"), F.lit("").alias("at"), coerced_records(v).alias("items"))), lambda x: F.to_json(v) != "{}")
+    itself = F.filter(F.array(F.struct(F.lit(None).cast("string").alias("kind"), F.lit("").alias("at"), coerced_records(v).alias("items"))), lambda x: F.coalesce(F.size(F.try_variant_get(v, "$", "map<string,variant>")), F.lit(1)) > 0)
     chosen = _inside(v, order)
     if parent_type:
         chosen = _let(chosen, lambda c: F.when((F.size(c) > 0) | F.col(parent_type).isNotNull(), c).otherwise(itself))

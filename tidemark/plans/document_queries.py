@@ -48,8 +48,10 @@ NON_BLANK_SQL = "SELECT doc_id, CASE WHEN source != 'src0' THEN source WHEN doc_
 def catalogs(spark, sf):
     """Catalog pages, of at most a thousand customers of a nation as datasets, with their orders as resources, wrapped."""
     orders = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_orderpriority").alias("format"), F.col("o_orderstatus").alias("url_type")))).alias("resources"))
-    customers = table(spark, sf, "customer").join(orders, "c_custkey", "left")
-    sets = customers.groupBy("c_nationkey", F.expr("c_custkey DIV 1000").alias("page")).agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("d"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("title"), "resources"))).alias("datasets"))
+    customers = table(spark, sf, "customer").join(orders, "c_custkey", "left").withColumn("page", F.expr("c_custkey DIV 1000"))
+    # a number of its own keeps the partitions apart: pages are small, but it takes long to walk them
+    spread = customers.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_nationkey", "page")
+    sets = spread.groupBy("c_nationkey", "page").agg(F.array_sort(F.collect_list(F.struct(F.concat(F.lit("d"), F.col("c_custkey").cast("string")).alias("id"), F.col("c_name").alias("title"), "resources"))).alias("datasets"))
     body = F.struct(F.lit(True).alias("success"), F.struct(F.size("datasets").alias("count"), "datasets").alias("result"))
     return documents.parsed(sets.select("c_nationkey", "page", F.to_json(body).alias("text")), "text").drop("text")
 
