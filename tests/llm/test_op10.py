@@ -66,6 +66,13 @@ def test_templates_with_changes(spark):
     assert rows(op.scan(docs), *COLUMNS) == expect(docs.collect())
 
 
+def test_a_body_without_its_opening(spark):
+    grant, notice = op.TEMPLATES[12][0], op.TEMPLATES[13][0]
+    texts = [f"Some words before. {grant}: {notice}. And after.", "The above copyright is ours, and notices shall be included where copies of the software are sold."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.labels for r in op.scan(docs).orderBy("doc_id").collect()] == ["mit", ""]
+
+
 def test_odd_documents(spark):
     docs = odd(spark)
     assert rows(op.scan(docs), *COLUMNS) == expect(docs.collect())

@@ -37,7 +37,8 @@ BASE = [
     ("apache license version 2", "apache-2"),
     ("cc by nc", "cc-by-nc"),
 ]
-#: Openings of public licenses, and how works usually name them.
+#: Passages of public licenses (openings, grants, conditions and disclaimers, so that a part is
+#: found without the rest), and how works usually name them.
 TEMPLATES = [
     ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "mit"),
     ("Released under the MIT License", "mit"),
@@ -51,6 +52,20 @@ TEMPLATES = [
     ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
     ("Licensed under CC BY-NC 4.0", "cc-by-nc"),
     ("This is free and unencumbered software released into the public domain", "unlicense"),
+    ("to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions", "mit"),
+    ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software", "mit"),
+    ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied", "apache-2"),
+    ("Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form", "apache-2"),
+    ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details", "gpl"),
+    ("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer", "bsd"),
+    ("Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution", "bsd"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "bsd"),
+    ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED", "bsd"),
+    ("provided that the above copyright notice and this permission notice appear in all copies", "isc"),
+    ("THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS", "isc"),
+    ("Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means", "unlicense"),
+    ("The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required", "zlib"),
+    ("If a copy of the MPL was not distributed with this file, You can obtain one at", "mpl-2"),
 ]
 
 
@@ -60,10 +75,11 @@ def template_words(text: str) -> list[str]:
 
 def grams(spark: SparkSession) -> DataFrame:
     """(gram_hash, entries): the windows of all templates, one row for each hash."""
-    split = enumerate((template_words(text), label) for text, label in BASE + TEMPLATES)
-    rows = [(t, at, " ".join(words[at : at + K]), label, len(words) - K + 1, t < len(BASE)) for t, (words, label) in split for at in range(len(words) - K + 1)]
-    names = ("template", "at", "gram", "label", "n_grams", "is_base")
-    made = spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(names, row)]) for row in rows])))
+    split = [(template_words(text), label) for text, label in BASE + TEMPLATES]
+    rows = [F.struct(F.lit(t).alias("template"), F.split(F.lit(" ".join(words)), " ").alias("words"), F.lit(label).alias("label"), F.lit(t < len(BASE)).alias("is_base")) for t, (words, label) in enumerate(split)]
+    whole = spark.range(1).select(F.inline(F.array(*rows))).withColumn("n_grams", F.size("words") - K + 1)
+    windows = F.transform(F.sequence(F.lit(1), F.col("n_grams")), lambda i: F.array_join(F.slice("words", i, K), " "))
+    made = whole.select("template", "label", "n_grams", "is_base", F.posexplode(windows).alias("at", "gram"))
     parts = F.split("gram", " ")
     return made.groupBy(F.xxhash64(*[parts[i] for i in range(K)]).alias("gram_hash")).agg(F.collect_list(F.struct("gram", "template", "at", "label", "n_grams", "is_base")).alias("entries"))
 
