@@ -44,6 +44,8 @@ GENERIC = ("results", "items")
 #: Keys of an entity's id and name.
 ID_KEYS = ("id", "identifier", "name", "slug", "guid", "uri", "url")
 NAME_KEYS = ("name", "display_name", "label", "title")
+#: Fixed value: the records of a collection that tell its type.
+FIRST_RECORDS = 5
 DEPTH = 8
 #: Wrappers within each other that are looked through.
 WRAPPED = 3
@@ -169,6 +171,14 @@ def classify(nodes: DataFrame, variant: str = "metadata_catalog", parent_type: s
     return with_all.select(*nodes.columns, kind.alias("entity_type"), sure.alias("confidence"), shown.alias("signals"))
 
 
+def batch_kind(items: Column, order: Sequence[str], parent: Column) -> Column:
+    """K4 for a collection of no kind: by its parent's type, else the type with most hints in its first records, ties by priority; without any hint the first."""
+    first = F.slice(items, 1, FIRST_RECORDS)
+    score = lambda kind: F.aggregate(F.transform(first, lambda x: F.size(signals(x, kind))), F.lit(0), lambda n, x: n + x)
+    best = F.array_max(F.array(*[F.named_struct(F.lit("n"), score(k), F.lit("rank"), F.lit(-i), F.lit("kind"), F.lit(k)) for i, k in enumerate(order)]))
+    return F.when(parent == "dataset", "resource").when(parent.isin("organization", "group"), "dataset").otherwise(best["kind"])
+
+
 def identity(df: DataFrame, data: str = "record", path: str = "path") -> DataFrame:
     """``entity_id``, ``entity_name`` and ``entity_key`` (id, else name, else path)."""
     v = F.col(data)
@@ -236,9 +246,8 @@ def batches(df: DataFrame, data: str, path: str, variant: str = "metadata_catalo
     """K2, K3: the typed records in an object's collections; an object in place of a list is one record, scalars are named.
 
     A record's wrappers are looked into, one deep.  Without a parent, an object
-    that has no collection, or a list, stands for its own records.  Those of a
-    generic collection get the type that ``classify`` gives them, or the first by
-    priority.
+    that has no collection, or a list, stands for its own records.  A generic
+    collection has one type, that of ``batch_kind``.
     """
     v, order = F.col(data), PRIORITY[variant]
     itself = F.filter(F.array(F.struct(F.lit(None).cast("string").alias("kind"), F.lit("").alias("at"), coerced_records(v).alias("items"))), lambda x: F.coalesce(F.size(F.try_variant_get(v, "$", "map<string,variant>")), F.lit(1)) > 0)
@@ -247,11 +256,10 @@ def batches(df: DataFrame, data: str, path: str, variant: str = "metadata_catalo
         chosen = _let(chosen, lambda c: F.when((F.size(c) > 0) | F.col(parent_type).isNotNull(), c).otherwise(itself))
     others = [c for c in df.columns if c not in (data, path)]
     each = df.select(*others, F.col(path).alias("parent_path"), F.posexplode(chosen).alias("batch", "b"))
-    items = each.select(*others, "parent_path", "batch", F.col("b.kind").alias("batch_type"), F.concat("parent_path", "b.at").alias("collection_path"), F.posexplode("b.items").alias("at", "data"))
-    placed = items.select(*others, "parent_path", "collection_path", "batch_type", "batch", "at", F.concat("collection_path", F.lit("["), F.col("at").cast("string"), F.lit("]")).alias("path"), "data")
-    told = classify(placed, variant, parent_type)
-    guess = F.when(F.col("entity_type") == "unknown", F.lit(order[0])).otherwise(F.col("entity_type"))
-    return told.select(*placed.columns, F.coalesce("batch_type", guess).alias("entity_type"))
+    parent = F.col(parent_type) if parent_type else F.lit(None).cast("string")
+    kind = F.coalesce("b.kind", batch_kind(F.col("b.items"), order, parent))
+    items = each.select(*others, "parent_path", "batch", kind.alias("entity_type"), F.concat("parent_path", "b.at").alias("collection_path"), F.posexplode("b.items").alias("at", "data"))
+    return items.select(*others, "parent_path", "collection_path", "batch", "at", F.concat("collection_path", F.lit("["), F.col("at").cast("string"), F.lit("]")).alias("path"), "data", "entity_type")
 
 
 def entity_tree(df: DataFrame, document: str = "document", variant: str = "metadata_catalog", levels: int | None = None, transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
@@ -262,11 +270,11 @@ def entity_tree(df: DataFrame, document: str = "document", variant: str = "metad
     written to the checkpoint folder, as the next one is made of it.
 
     Carries the other columns, with entity_type, entity_key, entity_id,
-    parent_entity_type, parent_entity_key, collection_path, record_path, level,
-    position and payload (canonical JSON).
+    parent_entity_type, parent_entity_key, parent_entity_id, collection_path,
+    record_path, level, position and payload (canonical JSON).
     """
     carried = [c for c in df.columns if c != document]
-    top = df.select(*carried, F.lit(None).cast("string").alias("parent_entity_type"), F.lit(None).cast("string").alias("parent_entity_key"), F.array().cast("array<string>").alias("before"), unwrapped(F.col(document), variant).alias("root"))
+    top = df.select(*carried, F.lit(None).cast("string").alias("parent_entity_type"), F.lit(None).cast("string").alias("parent_entity_key"), F.lit(None).cast("string").alias("parent_entity_id"), F.array().cast("array<string>").alias("before"), unwrapped(F.col(document), variant).alias("root"))
     top = top.select(*[c for c in top.columns if c != "root"], "root.data", "root.path")
     out, above, level = [], top, 0
     while levels is None or level < levels:
@@ -277,12 +285,38 @@ def entity_tree(df: DataFrame, document: str = "document", variant: str = "metad
             named = named.checkpoint()
             if out and named.isEmpty():
                 break
-        out.append(named.select(*carried, "entity_type", "entity_key", "entity_id", "parent_entity_type", "parent_entity_key", "collection_path", F.col("path").alias("record_path"), F.lit(level).alias("level"), "position", F.to_json("data").alias("payload")))
+        out.append(named.select(*carried, "entity_type", "entity_key", "entity_id", "parent_entity_type", "parent_entity_key", "parent_entity_id", "collection_path", F.col("path").alias("record_path"), F.lit(level).alias("level"), "position", F.to_json("data").alias("payload")))
         level += 1
-        above = named.select(*carried, F.col("entity_type").alias("parent_entity_type"), F.col("entity_key").alias("parent_entity_key"), F.col("position").alias("before"), "data", "path")
+        above = named.select(*carried, F.col("entity_type").alias("parent_entity_type"), F.col("entity_key").alias("parent_entity_key"), F.col("entity_id").alias("parent_entity_id"), F.col("position").alias("before"), "data", "path")
     return reduce(DataFrame.unionByName, out)
 
 
+#: The columns of a catalog row, in order.
+CATALOG_ROW = (
+    "entity_type", "entity_key", "entity_id", "parent_entity_type", "parent_entity_key", "parent_entity_id", "catalog_collection_path", "catalog_record_path",
+    "catalog_request_url", "catalog_request_index", "catalog_page_number", "catalog_offset", "catalog_cursor", "catalog_received_at", "catalog_raw_artifact_path", "payload",
+)
+
+
+def catalog_rows(entities: DataFrame) -> DataFrame:
+    """``entity_tree``'s entities as catalog rows of 16 columns.
+
+    What tells of the request (request_url, request_index, page_number, offset,
+    cursor, received_at, raw_artifact_path) is taken from the columns that the tree carried; NULL where it
+    has none.  A received instant is ISO text.
+    """
+    kinds = {"request_index": "bigint", "page_number": "bigint", "offset": "bigint"}
+    here = set(entities.columns)
+
+    def value(name: str) -> Column:
+        plain = name.removeprefix("catalog_")
+        if plain == "received_at" and plain in here:
+            return F.date_format(F.to_utc_timestamp(plain, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+        return F.col(plain).cast(kinds.get(plain, "string")) if plain in here else F.lit(None).cast(kinds.get(plain, "string"))
+
+    return entities.select(*[value(name).alias(name) for name in CATALOG_ROW])
+
+
 def edges(entities: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """K6: what contains what, each pair once."""
     return entities.where("parent_entity_key IS NOT NULL").select(*carried, F.col("parent_entity_key").alias("parent_node_key"), F.col("entity_key").alias("child_node_key"), F.lit("contains").alias("relationship_type")).distinct()

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.values import checkpoint_key, checkpoint_kind, col, typed_order, version_token
+from tidemark.functions.values import aware_timestamp, checkpoint_key, checkpoint_kind, col, decimal_value, typed_order, version_token
 
 
 def newer(df: DataFrame, name: str, stored: str | None, kind: str) -> DataFrame:
@@ -58,6 +59,41 @@ def latest_version(files: DataFrame, by: Sequence[str], version: str = "version"
     return picked.select(*keys, "n_files", ambiguous.alias("ambiguous"), *[F.col("__best").getField(c).alias(c) for c in rest])
 
 
+#: The order of the kinds that versions are of.
+VERSION_KINDS = ("datetime", "decimal", "missing", "text")
+
+
+def version_order(version: Column, location: Column) -> Column:
+    """H2: a key that orders files by the kind of their versions, then by the version, files without one by location."""
+    at, number = aware_timestamp(version), decimal_value(version)
+    kind = F.when(version.isNull(), "missing").when(at.isNotNull(), "datetime").when(number.isNotNull(), "decimal").otherwise("text")
+    rank = F.array_position(F.array(*map(F.lit, VERSION_KINDS)), kind)
+    text = F.when(kind == "missing", location).when(kind == "text", F.trim(version))
+    return F.struct(rank.alias("kind"), at.alias("at"), F.when(at.isNull(), number).alias("number"), text.alias("text"))
+
+
+def selected_files(files: DataFrame, by: Sequence[str], mode: str = "latest", stored: str | None = None, kind: str = "text", static: bool = False) -> DataFrame:
+    """The files of each group that a run takes, with ``ambiguous``.
+
+    Static files are taken whole, whatever the checkpoint.  Else files whose
+    version is after the stored one, or that have none, are candidates:
+    ``incremental`` takes all of them, ``latest`` the last by ``version_order``.
+    A group of several files of which one has no version is ambiguous, and all
+    its files are returned so marked, for the dead letters.
+    """
+    if mode not in ("latest", "incremental"):
+        raise ValueError("mode must be 'latest' or 'incremental'")
+    if static:
+        return files.withColumn("ambiguous", F.lit(False))
+    told = files.groupBy(*[col(b).alias(f"__k{i}") for i, b in enumerate(by)]).agg(((F.count(F.lit(1)) > 1) & (F.count_if(col("version").isNull()) > 0)).alias("ambiguous"))
+    same = reduce(Column.__and__, [col(b).eqNullSafe(F.col(f"__k{i}")) for i, b in enumerate(by)])
+    marked = files.join(told, same).select(*[col(c) for c in files.columns], "ambiguous")
+    fresh = newer(marked.where("NOT ambiguous"), "version", stored, kind)
+    if mode == "latest":
+        fresh = upsert(fresh, by, [version_order(F.col("version"), F.col("path"))], keep="latest")
+    return fresh.unionByName(marked.where("ambiguous"))
+
+
 def with_version(files: DataFrame) -> DataFrame:
     """The version from the file's name, else from its modification time."""
     named = version_token(F.col("filename"))

@@ -71,6 +71,34 @@ SELECT c_nationkey, page, [{_STEP.format('i')}] AS position, sha256('{{"id":"d'
 UNION ALL SELECT c_nationkey, page, [{_STEP.format('i')}, {_STEP.format('j')}], sha256({_LEAF}), 'resource', 'r' || o_orderkey, 'r' || o_orderkey, 'dataset', 'd' || c_custkey, 'payload.result.datasets[' || i || '].resources[' || j || ']', 1 FROM r"""
 
 
+def catalog_rows(spark, sf):
+    """The catalogs' entities as rows of a catalog table, with the request of each page."""
+    pages = catalogs(spark, sf).withColumns({"request_url": F.concat(F.lit("https://data.example.org/api?nation="), "c_nationkey"), "request_index": F.col("page") + 1, "page_number": F.col("page"), "offset": F.col("page") * 1000, "received_at": F.timestamp_seconds(1704067200 + F.col("page"))})
+    rows = documents.catalog_rows(documents.entity_tree(pages, levels=2))
+    return rows.withColumn("payload", F.sha2("payload", 256))
+
+
+ROWS_SQL = f"""SELECT entity_type, entity_key, entity_id, parent_entity_type, parent_entity_key, parent_entity_key AS parent_entity_id, regexp_replace(record_path, '\\[[0-9]+\\]$', '') AS catalog_collection_path, record_path AS catalog_record_path,
+'https://data.example.org/api?nation=' || c_nationkey AS catalog_request_url, CAST(page + 1 AS BIGINT) AS catalog_request_index, CAST(page AS BIGINT) AS catalog_page_number, CAST(page * 1000 AS BIGINT) AS catalog_offset, NULL AS catalog_cursor,
+strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page), '%Y-%m-%dT%H:%M:%S+00:00') AS catalog_received_at, NULL AS catalog_raw_artifact_path, payload_hash AS payload FROM ({TREE_SQL})"""
+
+
+def generic_batches(spark, sf):
+    """Collections of no kind, one for each user: their type is that of the first five records; events without a second property give no hint."""
+    events = table(spark, sf, "events")
+    mime = F.when(F.col("event_type") == "click", ',"mimetype":"a/b","format":"csv"').when(F.col("event_type") == "view", ',"notes":"n"').otherwise("")
+    item = F.struct("event_id", F.concat(F.lit('{"id":"e'), F.col("event_id").cast("string"), F.lit('"'), mime, F.lit("}")).alias("text"))
+    made = events.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda e: e["text"]), ",").alias("items"))
+    pages = documents.parsed(made.select("user_id", F.concat(F.lit('{"results":['), "items", F.lit("]}")).alias("text")), "text").drop("text")
+    tree = documents.entity_tree(pages, levels=1)
+    return tree.groupBy("user_id", "entity_type").agg(F.count(F.lit(1)).alias("n_entities"))
+
+
+GENERIC_SQL = """WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
+s AS (SELECT user_id, count(*) AS n_entities, coalesce(sum(2) FILTER (event_type = 'click' AND i <= 5), 0) AS resource, coalesce(sum(1) FILTER (event_type = 'view' AND i <= 5), 0) AS dataset FROM e GROUP BY 1)
+SELECT user_id, CASE WHEN resource > dataset THEN 'resource' ELSE 'dataset' END AS entity_type, n_entities FROM s"""
+
+
 def entity_counts(spark, sf):
     tree = documents.entity_tree(catalogs(spark, sf), levels=2)
     return tree.groupBy("entity_type").agg(F.count(F.lit(1)).alias("n_entities"))
@@ -213,11 +241,13 @@ def folded_labels(spark, sf):
 FOLDED_SQL = "SELECT doc_id, count(*) FILTER (regexp_matches(lower(w), '[^\\x00-\\x7F]') OR w != trim(w)) AS n_accented FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY 1"
 
 QUERIES = {
+    "catalog_rows": catalog_rows, "generic_batches": generic_batches,
     "transform_hooks": transform_hooks, "document_records": document_records, "first_non_blank": first_non_blank_query, "entity_tree": entity_tree, "entity_counts": entity_counts, "catalog_edges": catalog_edges, "catalog_nodes": catalog_nodes,
     "walk_nodes": walk_nodes, "classify_nodes": classify_nodes, "parse_summary": parse_summary, "flat_view": flat_view, "flat_description": flat_description, "cursors": cursors,
     "coerced_records": coerced_records, "canonical_payloads": canonical_payloads, "metadata_coerce": metadata_coerce, "folded_labels": folded_labels,
 }
 ORACLES = {
+    "catalog_rows": ROWS_SQL, "generic_batches": GENERIC_SQL,
     "transform_hooks": HOOKS_SQL, "document_records": RECORDS_SQL, "first_non_blank": NON_BLANK_SQL, "entity_tree": TREE_SQL, "entity_counts": COUNTS_SQL, "catalog_edges": EDGES_SQL, "catalog_nodes": NODES_SQL,
     "walk_nodes": WALK_SQL, "classify_nodes": CLASSIFY_SQL, "parse_summary": PARSE_SQL, "flat_view": FLAT_SQL, "flat_description": DESCRIBED_SQL, "cursors": CURSOR_SQL,
     "coerced_records": COERCED_SQL, "canonical_payloads": CANONICAL_SQL, "metadata_coerce": METADATA_SQL, "folded_labels": FOLDED_SQL,

@@ -75,12 +75,15 @@ REDACT_SQL = """SELECT page_id, regexp_replace(url, '[?#].*$', '') || CASE WHEN
 
 
 def html_rejects(spark, sf):
-    bodies = table(spark, sf, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("path"), F.col("html").alias("body")).unionByName(table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("path"), F.when(F.col("doc_id") % 50 != 0, F.col("text")).otherwise(F.lit("")).alias("body")))
-    return bodies.select("path", links.looks_like_page(F.col("body")).alias("rejected"))
+    """Bodies that are pages or empty: by their media type where the response names one, else by how they begin."""
+    kind = F.when(F.col("page_id") % 3 == 0, "Text/HTML; charset=utf-8").when(F.col("page_id") % 3 == 1, "application/octet-stream")
+    pages = table(spark, sf, "pages").select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("path"), F.col("html").alias("body"), kind.alias("kind"))
+    docs = table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("path"), F.when(F.col("doc_id") % 50 != 0, F.col("text")).otherwise(F.lit("")).alias("body"), F.lit(None).cast("string").alias("kind"))
+    return pages.unionByName(docs).select("path", links.looks_like_page(F.col("body"), F.col("kind")).alias("rejected"))
 
 
-HTML_SQL = """SELECT path, body = '' OR regexp_matches(lower(ltrim(substr(body, 1, 512))), '^(<!doctype html|<html|<head|<body)') AS rejected FROM
-(SELECT 'p' || page_id AS path, html AS body FROM pages UNION ALL SELECT 'd' || doc_id, CASE WHEN doc_id % 50 != 0 THEN text ELSE '' END FROM documents)"""
+HTML_SQL = """SELECT path, body = '' OR CASE kind WHEN 0 THEN TRUE WHEN 1 THEN FALSE ELSE regexp_matches(lower(ltrim(body)), '^(<!doctype html|<html|<head|<body)') END AS rejected FROM
+(SELECT 'p' || page_id AS path, html AS body, page_id % 3 AS kind FROM pages UNION ALL SELECT 'd' || doc_id, CASE WHEN doc_id % 50 != 0 THEN text ELSE '' END, 2 FROM documents)"""
 
 
 def content_hash(spark, sf):
@@ -234,13 +237,30 @@ UNION ALL SELECT archive, NULL, NULL, NULL, CASE WHEN k % 2 = 1 THEN 'unreadable
 
 
 def listing_files(spark, sf):
-    """Folder listings in XML, one for each region, that name the nations' files."""
-    entry = F.concat(F.lit("<d:response><d:href>/dav/"), "n_name", F.when(F.col("n_nationkey") % 5 == 0, F.lit("/")).otherwise(F.lit(".csv")), F.lit("</d:href><d:propstat><d:prop><d:getcontentlength>"), F.col("n_nationkey").cast("string"), F.lit('</d:getcontentlength><d:getetag>"e'), F.col("n_nationkey").cast("string"), F.lit('"</d:getetag></d:prop></d:propstat></d:response>'))
-    xml = table(spark, sf, "nation").groupBy("n_regionkey").agg(F.concat(F.lit("<d:multistatus>"), F.array_join(F.array_sort(F.collect_list(entry)), ""), F.lit("</d:multistatus>")).alias("listing"))
-    return links.listing_files(xml).select("n_regionkey", "filename", "length", "etag", "format")
+    """Folder listings in XML, of a hundred suppliers each: their CSV files, with dates and public addresses."""
+    key = F.col("s_suppkey").cast("string")
+    suffix = F.when(F.col("s_suppkey") % 5 == 0, "/").when(F.col("s_suppkey") % 5 == 1, ".json").otherwise(".csv")
+    entry = F.concat(F.lit("<d:response><d:href>/dav/s"), key, suffix, F.lit("</d:href><d:propstat><d:prop><d:getcontentlength>"), key, F.lit("</d:getcontentlength><d:getlastmodified>Mon, 01 Jan 2024 0"), (F.col("s_suppkey") % 9).cast("string"), F.lit(':00:00 GMT</d:getlastmodified><d:getetag>"e'), key, F.lit('"</d:getetag></d:prop></d:propstat></d:response>'))
+    xml = table(spark, sf, "supplier").groupBy(F.expr("s_suppkey DIV 100").alias("folder")).agg(F.concat(F.lit("<d:multistatus>"), F.array_join(F.array_sort(F.collect_list(entry)), ""), F.lit("</d:multistatus>")).alias("listing"))
+    found = links.listing_files(xml, formats=["csv"], public_root="https://files.example.org/share/")
+    return found.select("folder", "filename", "length", F.unix_seconds("modified_at").alias("modified_seconds"), "etag", "format", "url")
 
 
-LISTING_SQL = "SELECT n_regionkey, n_name || '.csv' AS filename, CAST(n_nationkey AS BIGINT) AS length, 'e' || n_nationkey AS etag, 'csv' AS format FROM nation WHERE n_nationkey % 5 != 0"
+LISTING_SQL = """SELECT CAST(s_suppkey // 100 AS BIGINT) AS folder, 's' || s_suppkey || '.csv' AS filename, CAST(s_suppkey AS BIGINT) AS length, CAST(1704067200 + 3600 * (s_suppkey % 9) AS BIGINT) AS modified_seconds, 'e' || s_suppkey AS etag, 'csv' AS format,
+'https://files.example.org/share/s' || s_suppkey || '.csv' AS url FROM supplier WHERE s_suppkey % 5 > 1"""
+
+
+def artifact_rows(spark, sf):
+    """Suppliers' names landed as text, a hundred in a file: what is recorded of each file, and the lines that a re-read of the zone finds."""
+    at = scratch(spark)
+    pages = table(spark, sf, "supplier").groupBy(F.expr("s_suppkey DIV 100").alias("page")).agg(F.array_join(F.array_sort(F.collect_list("s_name")), "\n").alias("value"))
+    pages.select("page", "value").write.partitionBy("page").text(f"{at}/raw")
+    made = scan.artifacts(scan.handoff(scan.inventory(spark, f"{at}/raw", content=True), "text"))
+    lines = scan.read_zone(spark, f"{at}/raw", "text").groupBy(F.col("page").cast("long").alias("page")).agg(F.count(F.lit(1)).alias("n_lines"))
+    return made.withColumn("page", F.regexp_extract("path", "page=([0-9]+)", 1).cast("long")).drop("path").join(lines, "page")
+
+
+ARTIFACTS_SQL = """SELECT CAST(s_suppkey // 100 AS BIGINT) AS page, 'text' AS format, 'overwrite' AS mode, CAST(1 AS BIGINT) AS records_written, sha256(string_agg(s_name, chr(10) ORDER BY s_name) || chr(10)) AS checksum, count(*) AS n_lines FROM supplier GROUP BY s_suppkey // 100"""
 
 
 def available_now_load(spark, sf):
@@ -282,6 +302,7 @@ def landed_inventory(spark, sf):
 INVENTORY_SQL = "SELECT o_orderstatus, 'parquet' AS format, TRUE AS has_bytes, count(*) AS n_rows FROM orders GROUP BY 1"
 
 QUERIES = {
+    "artifact_rows": artifact_rows,
     "relative_links": relative_links, "header_names": header_names, "resolved_versions": resolved_versions, "json_documents_read": json_documents_read, "rehydrated": rehydrated,
     "page_links": page_links, "url_format": url_format, "redact_urls": redact_urls, "html_rejects": html_rejects, "content_hash": content_hash, "checksum_verify": checksum_verify,
     "extraction_summary": extraction_summary, "dead_letter_split": dead_letter_split, "dead_letters": dead_letters, "sanitize_ident": sanitize_ident, "csv_contract_read": csv_contract_read,
@@ -289,6 +310,7 @@ QUERIES = {
     "landed_inventory": landed_inventory,
 }
 ORACLES = {
+    "artifact_rows": ARTIFACTS_SQL,
     "relative_links": RELATIVE_SQL, "header_names": HEADER_SQL, "resolved_versions": RESOLVED_SQL, "json_documents_read": DOCUMENTS_SQL, "rehydrated": REHYDRATED_SQL,
     "page_links": LINKS_SQL, "url_format": FORMAT_SQL, "redact_urls": REDACT_SQL, "html_rejects": HTML_SQL, "content_hash": HASH_SQL, "checksum_verify": VERIFY_SQL,
     "extraction_summary": EXTRACTION_SQL, "dead_letter_split": DEAD_SQL, "dead_letters": LETTERS_SQL, "sanitize_ident": IDENT_SQL, "csv_contract_read": CSV_SQL,

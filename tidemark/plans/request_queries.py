@@ -196,6 +196,25 @@ VERSION_SQL = """WITH f AS (SELECT DISTINCT o_orderstatus, strftime(o_orderdate,
 SELECT o_orderstatus, count(*) AS n_files, o_orderstatus = 'P' AND count(*) > 1 AS ambiguous, CASE WHEN NOT (o_orderstatus = 'P' AND count(*) > 1) THEN CASE WHEN o_orderstatus = 'P' THEN 'orders_x.csv' ELSE 'orders_' || max(m) || '.csv' END END AS filename, CASE WHEN o_orderstatus != 'P' THEN replace(max(m), '_', '-') END AS version FROM f GROUP BY 1"""
 
 
+def selected_files(spark, sf):
+    """Files of five groups, with versions of text, numbers, instants, two kinds, and one missing: the latest of each, and the first group's new ones."""
+    months = table(spark, sf, "orders").select(F.substring("o_orderpriority", 1, 1).alias("g"), F.date_format("o_orderdate", "yyyy-MM").alias("m")).distinct()
+    g, number = F.col("g"), F.replace("m", F.lit("-"), F.lit(""))
+    even = F.substring("m", 6, 2).cast("int") % 2 == 0
+    version = F.when(g == "1", F.col("m")).when(g == "2", number).when(g == "3", F.concat("m", F.lit("-01T00:00:00Z"))).when(g == "4", F.when(even, number).otherwise(F.concat(F.lit("v"), "m"))).otherwise(F.when(F.col("m") != "1996-01", F.col("m")))
+    files = months.select("g", F.concat("g", F.lit("/"), "m").alias("path"), version.alias("version"))
+    latest = increment.selected_files(files, ["g"]).withColumn("mode", F.lit("latest"))
+    fresh = increment.selected_files(files.where("g = '1'"), ["g"], "incremental", "1996-06").withColumn("mode", F.lit("incremental"))
+    return latest.unionByName(fresh)
+
+
+SELECTED_SQL = """WITH m AS (SELECT DISTINCT o_orderpriority[1] AS g, strftime(o_orderdate, '%Y-%m') AS m FROM orders),
+f AS (SELECT g, g || '/' || m AS path, CASE g WHEN '1' THEN m WHEN '2' THEN replace(m, '-', '') WHEN '3' THEN m || '-01T00:00:00Z' WHEN '4' THEN CASE WHEN CAST(m[6:7] AS INTEGER) % 2 = 0 THEN replace(m, '-', '') ELSE 'v' || m END ELSE CASE WHEN m != '1996-01' THEN m END END AS version FROM m),
+a AS (SELECT *, count(*) OVER (PARTITION BY g) > 1 AND count(*) FILTER (version IS NULL) OVER (PARTITION BY g) > 0 AS ambiguous FROM f),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY version IS NOT NULL AND starts_with(version, 'v') DESC, version DESC) AS i FROM a)
+SELECT g, path, version, ambiguous, 'latest' AS mode FROM r WHERE ambiguous OR i = 1 UNION ALL SELECT g, path, version, ambiguous, 'incremental' FROM r WHERE g = '1' AND version > '1996-06'"""
+
+
 def latest_run(spark, sf):
     runs = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("ingestion_date"), F.col("o_orderpriority").alias("run_id"))
     return increment.latest_run(runs, ["o_orderstatus"])
@@ -205,11 +224,13 @@ LATEST_RUN_SQL = """SELECT o_orderstatus, d AS ingestion_date, p AS run_id, o_or
 QUALIFY (d, p) = max((d, p)) OVER (PARTITION BY o_orderstatus)"""
 
 QUERIES = {
+    "selected_files": selected_files,
     "day_windows": day_windows, "month_windows": month_windows, "format_dates": format_dates, "request_rows": request_rows, "distinct_inputs": distinct_inputs, "request_plan": request_plan,
     "request_params": request_params, "pending_requests": pending_requests, "page_continuity": page_continuity, "max_checkpoint": max_checkpoint, "incremental_filter": incremental_filter,
     "checkpoint_history": checkpoint_history, "resume_plan": resume_plan, "checkpoint_decisions": checkpoint_decisions, "stored_checkpoints": stored_checkpoints, "first_wins": first_wins, "latest_wins": latest_wins, "latest_version": latest_version, "latest_run": latest_run,
 }
 ORACLES = {
+    "selected_files": SELECTED_SQL,
     "day_windows": DAY_SQL, "month_windows": MONTH_SQL, "format_dates": FORMAT_SQL, "request_rows": ROWS_SQL, "distinct_inputs": ROWS_SQL.replace("SELECT", "SELECT DISTINCT"), "request_plan": PLAN_SQL,
     "request_params": PARAMS_SQL, "pending_requests": PENDING_SQL, "page_continuity": CONTINUITY_SQL, "max_checkpoint": MAX_SQL, "incremental_filter": FILTER_SQL,
     "checkpoint_history": HISTORY_SQL, "resume_plan": RESUME_SQL, "checkpoint_decisions": DECISION_SQL, "stored_checkpoints": STORED_SQL, "first_wins": FIRST_SQL, "latest_wins": LATEST_SQL, "latest_version": VERSION_SQL, "latest_run": LATEST_RUN_SQL,

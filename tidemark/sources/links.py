@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,18 +58,36 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 LISTING = "response array<struct<href:string,propstat:struct<prop:struct<getcontentlength:bigint,getlastmodified:string,getetag:string,resourcetype:struct<collection:string>>>>>"
 
 
-def listing_files(listings: DataFrame, xml: str = "listing") -> DataFrame:
-    """The files of folder listings in XML, collections aside, with length, date, tag and format."""
+def listing_files(listings: DataFrame, xml: str = "listing", formats: Sequence[str] = (), public_root: str | None = None) -> DataFrame:
+    """The files of folder listings in XML, collections aside, with length, date, tag and format.
+
+    Of some formats only, if these are named; ``public_root`` adds ``url``, where the file can be had.
+    """
     plain = F.regexp_replace(F.col(xml), r"(</?)[A-Za-z]\w*:", "$1")
     others = [c for c in listings.columns if c != xml]
     each = listings.select(*others, F.explode(F.from_xml(plain, LISTING)["response"]).alias("r"))
     prop = F.col("r.propstat.prop")
     files = each.where(~F.col("r.href").endswith("/"))
-    return files.select(*others, F.col("r.href").alias("href"), url_filename(F.concat(F.lit("dav://x"), F.col("r.href"))).alias("filename"), prop["getcontentlength"].alias("length"), prop["getlastmodified"].alias("last_modified"), F.replace(prop["getetag"], F.lit('"'), F.lit("")).alias("etag")).withColumn("format", file_format(F.col("filename")))
+    stamp = F.regexp_extract(prop["getlastmodified"], r"(\d{1,2} \w{3} \d{4} \d\d:\d\d:\d\d)", 1)
+    modified = F.try_to_timestamp(F.concat(stamp, F.lit(" +0000")), F.lit("d MMM yyyy HH:mm:ss Z"))
+    found = files.select(*others, F.col("r.href").alias("href"), url_filename(F.concat(F.lit("dav://x"), F.col("r.href"))).alias("filename"), prop["getcontentlength"].alias("length"), prop["getlastmodified"].alias("last_modified"), modified.alias("modified_at"), F.replace(prop["getetag"], F.lit('"'), F.lit("")).alias("etag")).withColumn("format", file_format(F.col("filename")))
+    chosen = found.where(F.col("format").isin(*formats)) if formats else found
+    return chosen.withColumn("url", F.concat(F.lit(public_root.rstrip("/") + "/"), F.element_at(F.split("href", "/"), -1))) if public_root else chosen
+
+
+#: Media types of pages.
+PAGE_TYPES = ("text/html", "application/xhtml+xml")
+
 
+def looks_like_page(body: Column, content_type: Column | None = None, told_length: Column | None = None) -> Column:
+    """A page, or nothing, where a file was expected.
 
-def looks_like_page(body: Column, content_type: Column | None = None) -> Column:
-    """An empty body, or HTML, where a file was expected."""
-    html = F.lower(F.ltrim(F.substring(body, 1, 512))).rlike("^(<!doctype html|<html|<head|<body)")
-    typed = F.lower(content_type).startswith("text/html") if content_type is not None else F.lit(False)
-    return F.coalesce(body.isNull() | (F.length(body) == 0) | html | typed, F.lit(True))
+    A response that names its media type is judged by that alone, and is empty
+    amiss only if a length above zero was told.  One that doesn't is a page if it
+    begins like one, and is amiss if it is empty.
+    """
+    sniffed = F.lower(F.substring(F.ltrim(body), 1, 16)).rlike("^(<!doctype html|<html|<head|<body)")
+    kind = F.lower(F.trim(F.substring_index(content_type, ";", 1))) if content_type is not None else F.lit(None).cast("string")
+    empty = F.coalesce(F.length(body) == 0, F.lit(True))
+    missing = empty & ((told_length > 0) if told_length is not None else F.lit(True))
+    return F.coalesce(F.coalesce(kind.isin(*PAGE_TYPES), sniffed, F.lit(False)) | F.coalesce(missing, F.lit(False)), F.lit(True))
