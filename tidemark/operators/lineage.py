@@ -45,9 +45,15 @@ def run_states(log: DataFrame) -> DataFrame:
     return seen.select("run_id", "started_at", "ended_at", "n_events", F.col("last.status").alias("status"), F.col("last.reason").alias("reason"), seconds_between(F.col("started_at"), F.col("ended_at")).alias("duration_seconds"))
 
 
-def lineage_rows(outputs: DataFrame, run: Run, config: str) -> DataFrame:
-    """M7: one row for a run: the hash of its configuration, its outputs as an ordered array, and their row count."""
-    listed = F.array_sort(F.collect_list(F.struct("path", "format", "records")))
-    return outputs.agg(listed.alias("outputs"), F.coalesce(F.sum("records"), F.lit(0)).alias("records")).select(
-        F.lit(run.run_id).alias("run_id"), F.lit(run.source_id).alias("source_id"), F.sha2(F.lit(config), 256).alias("config_hash"), "outputs", "records"
+def lineage_rows(outputs: DataFrame, run: Run, config: str, artifacts: DataFrame | None = None, checkpoint: str | None = None) -> DataFrame:
+    """M7: one row for a run: the hash of its configuration, its landed artifacts and its outputs as ordered arrays, the outputs' row count and the checkpoint reached.
+
+    Outputs have (path, format, records), artifacts (path, format, checksum): a run's files, not their rows.
+    """
+    files = outputs.select("path", "format", "records", F.lit(None).cast("string").alias("checksum"), F.lit(True).alias("is_output"))
+    if artifacts is not None:
+        files = files.unionByName(artifacts.select("path", "format", F.lit(None).cast("long").alias("records"), "checksum", F.lit(False).alias("is_output")))
+    listed = lambda cond, *names: F.array_sort(F.collect_list(F.when(cond, F.struct(*names))))
+    return files.agg(listed(~F.col("is_output"), "path", "format", "checksum").alias("artifacts"), listed(F.col("is_output"), "path", "format", "records").alias("outputs"), F.coalesce(F.sum("records"), F.lit(0)).alias("records")).select(
+        F.lit(run.run_id).alias("run_id"), F.lit(run.source_id).alias("source_id"), F.sha2(F.lit(config), 256).alias("config_hash"), "artifacts", "outputs", "records", F.lit(checkpoint).cast("string").alias("checkpoint")
     )

@@ -152,11 +152,13 @@ MASKED_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN c_mkts
 def lineage_record(spark, sf):
     """What each market segment's output adds to the run's lineage row, unnested."""
     outputs = table(spark, sf, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("records")).select(F.concat(F.lit("bronze/"), "c_mktsegment").alias("path"), F.lit("parquet").alias("format"), "records")
-    rows = lineage.lineage_rows(outputs, RUN, "config")
-    return rows.select("run_id", "config_hash", F.col("records").alias("total"), F.inline("outputs"))
+    landed = outputs.select(F.concat(F.lit("raw/"), "path").alias("path"), F.lit("csv").alias("format"), F.sha2("path", 256).alias("checksum"))
+    rows = lineage.lineage_rows(outputs, RUN, "config", landed, "2026-01-01")
+    return rows.select("run_id", "config_hash", "checkpoint", F.col("records").alias("total"), F.inline(F.transform("outputs", lambda o, i: F.struct(o["path"].alias("path"), o["format"].alias("format"), o["records"].alias("records"), F.get("artifacts", i)["path"].alias("artifact"), F.get("artifacts", i)["checksum"].alias("checksum")))))
 
 
-RECORD_SQL = f"""SELECT '{RUN.run_id}' AS run_id, sha256('config') AS config_hash, (SELECT count(*) FROM customer) AS total, 'bronze/' || c_mktsegment AS path, 'parquet' AS format, count(*) AS records FROM customer GROUP BY c_mktsegment"""
+RECORD_SQL = f"""SELECT '{RUN.run_id}' AS run_id, sha256('config') AS config_hash, '2026-01-01' AS checkpoint, (SELECT count(*) FROM customer) AS total, 'bronze/' || c_mktsegment AS path, 'parquet' AS format, count(*) AS records,
+'raw/bronze/' || c_mktsegment AS artifact, sha256('bronze/' || c_mktsegment) AS checksum FROM customer GROUP BY c_mktsegment"""
 
 QUERIES = {
     "lineage_columns": lineage_columns, "required_violations": required_violations, "duplicate_keys": duplicate_keys, "duplicate_key_groups": duplicate_key_groups,
