@@ -4,6 +4,7 @@ import math
 import random
 import re
 from collections import defaultdict
+from itertools import product
 
 import pytest
 
@@ -17,28 +18,35 @@ def words(text):
     return re.findall(ALNUM, "".join(c.lower() if c.isascii() else c for c in text or ""))
 
 
+def places(words, mask, only=None):
+    """{masked window: {the words around it: (first, last) place}}; places with the same surroundings are one."""
+    around, at = range(-op.AROUND, op.SPAN + op.AROUND), [i for i, bit in enumerate(mask) if bit == "1"]
+    found = defaultdict(dict)
+    for p in range(len(words) - len(mask) + 1):
+        window = tuple(words[p + i] for i in at)
+        if only is None or window in only:
+            near = tuple(words[p + i] if 0 <= p + i < len(words) else None for i in around)
+            found[window][near] = found[window].get(near, (p, p))[0], p
+    return found
+
+
 def brute(docs, benchmark):
     """Every pair of places that share a masked window, compared word by word."""
-    found = {}
-    for d in docs:
-        w = words(d.text)
-        for item in benchmark:
-            v = words(item.text)
-            if len(v) < op.FEWEST:
-                continue
-            for mask in op.MASKS if len(v) >= op.SPAN else ["1" * len(v)]:
-                at = [i for i, bit in enumerate(mask) if bit == "1"]
-                places = defaultdict(list)
-                for q in range(len(v) - len(mask) + 1):
-                    places[tuple(v[q + i] for i in at)].append(q)
-                for p in range(len(w) - len(mask) + 1):
-                    for q in places.get(tuple(w[p + i] for i in at), ()):
-                        near = range(-op.AROUND, op.SPAN + op.AROUND)
-                        matched = sum(0 <= p + i < len(w) and 0 <= q + i < len(v) and w[p + i] == v[q + i] for i in near)
-                        if matched >= min(op.LEAST, math.ceil(op.SHARE * len(v))):
-                            key = (d.doc_id, item.item_id)
-                            least, most = found.get(key, (p - q, 0))
-                            found[key] = min(least, p - q), max(most, matched)
+    found, items = {}, [(item.item_id, words(item.text)) for item in benchmark]
+    for mask in [*op.MASKS, *("1" * n for n in range(op.FEWEST, op.SPAN))]:
+        sought = defaultdict(list)
+        for item_id, v in items:
+            if len(v) == len(mask) or len(v) > len(mask) == op.SPAN:
+                for window, stretches in places(v, mask).items():
+                    sought[window] += [(item_id, len(v), near, last) for near, (_, last) in stretches.items()]
+        for d in docs:
+            for window, stretches in places(words(d.text), mask, sought).items():
+                for (near, (first, _)), (item_id, n, other, last) in product(stretches.items(), sought[window]):
+                    matched = sum(x is not None and x == y for x, y in zip(near, other))
+                    if matched >= min(op.LEAST, math.ceil(op.SHARE * n)):
+                        key = (d.doc_id, item_id)
+                        least, most = found.get(key, (first - last, 0))
+                        found[key] = min(least, first - last), max(most, matched)
     return sorted(((*k, *v) for k, v in found.items()), key=repr)
 
 
