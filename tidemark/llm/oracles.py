@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from tidemark.llm import op06_spaced as op06
 from tidemark.llm import op10_diagonal as op10
+from tidemark.llm import op11_multiindex as op11
+from tidemark.llm import op12_centroids as op12
 
 #: The lower-cased alphanumeric words of ``text``, as in ``common.alnum_words``.
 WORDS = r"regexp_extract_all(lower(replace(replace(coalesce(text, ''), chr(8490), 'µ'), 'İ', 'µ')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -48,4 +50,35 @@ def diagonal_voting() -> str:
     FROM docs LEFT JOIN found USING (r)"""
 
 
-ORACLES = {"op6_spaced_seeds": spaced_seeds(), "op10_diagonal": diagonal_voting()}
+#: A-Z lower-cased, and nothing else.
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def shingle_links() -> str:
+    k = op11.WORDS
+    return rf"""WITH RECURSIVE docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '[^ 	-]+') AS w FROM documents),
+    sets AS MATERIALIZED (SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i : i + {k - 1}], ' ')) END)) AS s FROM docs),
+    classes AS MATERIALIZED (SELECT min(r) AS c, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+    each AS MATERIALIZED (SELECT c, n, unnest(s) AS shingle FROM classes),
+    links AS MATERIALIZED (SELECT x.c AS a, y.c AS b FROM each x JOIN each y ON x.shingle = y.shingle AND x.c <> y.c GROUP BY x.c, y.c, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+    reached(c, other) AS (SELECT c, c FROM classes UNION SELECT c, b FROM reached JOIN links ON a = other),
+    least AS (SELECT c.s, min(o.doc_id) AS component_id FROM reached JOIN classes c ON c.c = reached.c JOIN classes d ON d.c = reached.other JOIN sets o ON o.s = d.s GROUP BY c.s)
+    SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, CASE WHEN len(s) = 0 THEN doc_id ELSE component_id END AS component_id, doc_id IS NOT DISTINCT FROM CASE WHEN len(s) = 0 THEN doc_id ELSE component_id END AS kept
+    FROM sets LEFT JOIN least USING (s)"""
+
+
+def centroids() -> str:
+    """Each round's assignment, then its means; sums and products stay below 2 ** 53, so that doubles are exact."""
+    d, steps = op12.DIMS, []
+    for r in range(op12.ROUNDS + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, v, min_by(c, (distance, c)) AS cluster, min(distance) AS distance FROM (SELECT x.*, c, CAST(vv - 2 * list_dot_product(v, m) + list_dot_product(m, m) AS BIGINT) AS distance FROM vectors x, c{r}) GROUP BY n, vec_id, v)""")
+        if r < op12.ROUNDS:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (SELECT c, coalesce(new.m, old.m) AS m FROM c{r} old LEFT JOIN (SELECT cluster AS c, list(mean ORDER BY i) AS m FROM (SELECT cluster, i, floor(sum(v[i]) / count(*)) AS mean FROM a{r}, range(1, {d + 1}) t(i) GROUP BY ALL) GROUP BY cluster) new USING (c))""")
+    return f"""WITH vectors AS MATERIALIZED (SELECT row_number() OVER () AS n, vec_id, v, list_dot_product(v, v) AS vv FROM (SELECT vec_id, list_transform(embedding, lambda x: floor({op12.SCALE} * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE len(embedding) = {d} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+    c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (SELECT v, sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), 'null')) AS h FROM vectors ORDER BY h, v LIMIT {op12.K})),
+    {', '.join(steps)}
+    SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(list_transform(m, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256 FROM a{op12.ROUNDS} JOIN c{op12.ROUNDS} ON c = cluster"""
+
+
+ORACLES = {"op6_spaced_seeds": spaced_seeds(), "op10_diagonal": diagonal_voting(), "op11_multiindex": shingle_links(), "op12_centroids": centroids()}

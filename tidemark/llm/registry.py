@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op01_divergence, op02_skipchain, op03_slack, op04_unigram, op05_nnpu, op06_spaced, op07_randomness, op08_simhash, op09_ring, op10_diagonal
+from tidemark.llm import op01_divergence, op02_skipchain, op03_slack, op04_unigram, op05_nnpu, op06_spaced, op07_randomness, op08_simhash, op09_ring, op10_diagonal, op11_multiindex, op12_centroids
 from tidemark.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -18,4 +18,6 @@ QUERIES = {
     "op8_simhash": op08_simhash.query,
     "op9_ring": op09_ring.query,
     "op10_diagonal": op10_diagonal.query,
+    "op11_multiindex": op11_multiindex.query,
+    "op12_centroids": op12_centroids.query,
 }
