@@ -6,6 +6,7 @@ from tidemark.llm import op06_spaced as op06
 from tidemark.llm import op10_diagonal as op10
 from tidemark.llm import op11_multiindex as op11
 from tidemark.llm import op12_centroids as op12
+from tidemark.llm import op13_bitsliced as op13
 
 #: The lower-cased alphanumeric words of ``text``, as in ``common.alnum_words``.
 WORDS = r"regexp_extract_all(lower(replace(replace(coalesce(text, ''), chr(8490), 'µ'), 'İ', 'µ')), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -56,7 +57,8 @@ LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefgh
 
 def shingle_links() -> str:
     k = op11.WORDS
-    return rf"""WITH RECURSIVE docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '[^ 	-]+') AS w FROM documents),
+    return rf"""WITH RECURSIVE docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWERED}, '[^ 	-
+]+') AS w FROM documents),
     sets AS MATERIALIZED (SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i : i + {k - 1}], ' ')) END)) AS s FROM docs),
     classes AS MATERIALIZED (SELECT min(r) AS c, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
     each AS MATERIALIZED (SELECT c, n, unnest(s) AS shingle FROM classes),
@@ -81,4 +83,15 @@ def centroids() -> str:
     sha256(array_to_string(list_transform(m, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256 FROM a{op12.ROUNDS} JOIN c{op12.ROUNDS} ON c = cluster"""
 
 
-ORACLES = {"op6_spaced_seeds": spaced_seeds(), "op10_diagonal": diagonal_voting(), "op11_multiindex": shingle_links(), "op12_centroids": centroids()}
+def ranking() -> str:
+    found = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""WITH docs AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {found} AS w FROM documents),
+    totals AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM docs WHERE len(w) > 0),
+    tf AS MATERIALIZED (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS term FROM docs) GROUP BY ALL),
+    weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM tf, totals GROUP BY term, docs),
+    asked AS (SELECT DISTINCT item_id, unnest({found}) AS term FROM benchmark),
+    scores AS (SELECT item_id, r, doc_id, CAST(sum(weight * (1000000000 * tf // (1000 * tf + 20 * (50 + 50 * n * docs // terms)))) AS BIGINT) AS score FROM asked JOIN weights USING (term) JOIN tf USING (term), totals GROUP BY item_id, r, doc_id)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= {op13.TOP}"""
+
+
+ORACLES = {"op6_spaced_seeds": spaced_seeds(), "op10_diagonal": diagonal_voting(), "op11_multiindex": shingle_links(), "op12_centroids": centroids(), "op13_bitsliced": ranking()}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import op01_divergence, op02_skipchain, op03_slack, op04_unigram, op05_nnpu, op06_spaced, op07_randomness, op08_simhash, op09_ring, op10_diagonal, op11_multiindex, op12_centroids
+from tidemark.llm import op01_divergence, op02_skipchain, op03_slack, op04_unigram, op05_nnpu, op06_spaced, op07_randomness, op08_simhash, op09_ring, op10_diagonal, op11_multiindex, op12_centroids, op13_bitsliced
 from tidemark.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -20,4 +20,5 @@ QUERIES = {
     "op10_diagonal": op10_diagonal.query,
     "op11_multiindex": op11_multiindex.query,
     "op12_centroids": op12_centroids.query,
+    "op13_bitsliced": op13_bitsliced.query,
 }
