@@ -17,8 +17,9 @@ Only distinct sets are compared.  Keys of up to ``PAIRED`` sets are joined pairw
 The sets of a larger group are first compared with its hub, the set in most such
 groups; what is then in one component needs no more comparing.  The rest, sets
 outside the largest component of their group, are compared with all of the group,
-in blocks of some ``BLOCK`` sets by ``BLOCK``, so that no link between components is
-lost and a group is never one task's, nor all its pairs written out.
+in blocks of some ``BLOCK`` sets by ``BLOCK``, by an upper bound of what two sets can share,
+by signatures, and then in full, so that no link between components is lost and a
+group is never one task's, nor all its pairs written out.
 
 Defined cases: a text that is null or without words has an empty set and is linked
 with nothing; equal texts and repeated rows share a component; a very long
@@ -44,6 +45,8 @@ CHUNKS, WIDTH, BITS = 8, 5, 16
 FAR = 24
 #: Sets up to which a group of one key is joined pairwise; sets of a block in larger groups, about.
 PAIRED, BLOCK = 48, 256
+#: Sets of large groups that share a shingle, up to which they are paired up on it.
+RARE = 128
 _MINIMA, _PART, _REMEMBERED = CHUNKS * WIDTH, 1 << 13, 400_000
 _RNG = np.random.default_rng(11)
 _FLIPS = _RNG.integers(0, 1 << 64, _MINIMA, np.uint64)
@@ -131,19 +134,29 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def verified(docs: DataFrame, rows: DataFrame, prints: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(a, b): the pairs that are linked; signatures and sizes first, then the full sets, each from one row's text."""
-    of = lambda side: prints.select(F.col("fingerprint").alias(side), F.col("size").alias(f"size_{side}"), F.col("signature").alias(f"sig_{side}"))
-    near = cut(_near(pairs.join(of("a"), "a").join(of("b"), "b").where("5 * least(size_a, size_b) >= 4 * greatest(size_a, size_b)")))
+def near(prints: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes allow a link and whose signatures differ in at most ``FAR`` minima."""
 
-    def sets(batches):
+    def of(batches):
+        for batch in batches:
+            a, b = (_as_signatures(batch.column(i).to_pylist()) for i in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array((a != b).sum(1) <= FAR))
+
+    told = lambda side: prints.select(F.col("fingerprint").alias(side), F.col("size").alias(f"size_{side}"), F.col("signature").alias(f"sig_{side}"))
+    sized = pairs.join(told("a"), "a").join(told("b"), "b").where("5 * least(size_a, size_b) >= 4 * greatest(size_a, size_b)")
+    return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(of, "a long, b long")
+
+
+def full_sets(docs: DataFrame, rows: DataFrame, needed: DataFrame, words: int) -> DataFrame:
+    """(fingerprint, shingles) for the fingerprints ``needed``, each from one row's text."""
+
+    def of(batches):
         hashes = Hashes()
         for batch in batches:
             found = [shingles(t, hashes, words) for t in batch.column(0).to_pylist()]
             named = [xxhash.xxh64_intdigest(s.tobytes()) for s in found]
             yield pa.RecordBatch.from_arrays([pa.array(np.array(named, np.uint64).view(np.int64)), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["fingerprint", "shingles"])
 
-    needed = near.select(F.col("a").alias("fingerprint")).union(near.select("b")).distinct()
     # two hashes name a row, so that many copies of a text are not sent to one task
     one = F.min(F.struct(F.xxhash64("doc_id").alias("id_hash"), "text_hash")).alias("one")
     wanted = cut(rows.groupBy("fingerprint").agg(one).join(needed, "fingerprint", "left_semi").select("one.*"))
@@ -151,82 +164,95 @@ def verified(docs: DataFrame, rows: DataFrame, prints: DataFrame, pairs: DataFra
     whole = docs.select(F.xxhash64(F.col("doc_id").cast("long")).alias("id_hash"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")).withColumn("row_hash", row_hash)
     # most texts have no candidate and are not shuffled
     whole = maybe_among(whole, "row_hash", wanted.select(row_hash.alias("key"))).where("maybe")
-    held = cut(whole.join(wanted, ["id_hash", "text_hash"], "left_semi").dropDuplicates(["id_hash", "text_hash"]).select("text").mapInArrow(sets, "fingerprint long, shingles array<long>"))
+    return whole.join(wanted, ["id_hash", "text_hash"], "left_semi").dropDuplicates(["id_hash", "text_hash"]).select("text").mapInArrow(of, "fingerprint long, shingles array<long>")
+
+
+def verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets have a similarity of 0.8 or more."""
     listed = lambda side: held.select(F.col("fingerprint").alias(side), F.col("shingles").alias(f"of_{side}"))
-    both = near.join(listed("a"), "a").join(listed("b"), "b").withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
+    both = pairs.join(listed("a"), "a").join(listed("b"), "b").withColumn("shared", F.size(F.array_intersect("of_a", "of_b")))
     # shared / (sum of sizes - shared) >= 4 / 5
     return cut(both.where("9L * shared >= 4L * (size(of_a) + size(of_b))").select("a", "b"))
 
 
-def _near(pairs: DataFrame) -> DataFrame:
-    """The pairs of signatures that differ in at most ``FAR`` minima."""
-
-    def of(batches):
-        for batch in batches:
-            a, b = (_as_signatures(batch.column(i).to_pylist()) for i in (2, 3))
-            yield batch.select(["a", "b"]).filter(pa.array((a != b).sum(1) <= FAR))
-
-    return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(of, "a long, b long")
-
+def between_components(members: DataFrame, prints: DataFrame, held: DataFrame) -> DataFrame:
+    """(a, b) candidates of large groups: ``members`` (key, fingerprint, label) of one key whose labels differ.
 
-def between_components(members: DataFrame) -> DataFrame:
-    """(a, b) candidates of the large groups (key, fingerprint, size, signature, label) whose labels differ."""
+    Pairs that share a rare shingle, one of at most ``RARE`` of these sets, meet on it.  What
+    others share is bounded by the rest of either set, which in a family of copies
+    excludes most pairs without a look at them.
+    """
     counts = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("n_labels"), F.max("n").alias("n_main")).where("n_labels > 1")
     each = cut(members.join(mixed, "key"))
-    block = lambda n: F.pmod(F.xxhash64("fingerprint"), F.ceil(n / BLOCK)).alias("block")
-    columns = ("fingerprint", "label", "size", "signature")
+    those = each.select("fingerprint", "label").distinct()
+    owned = held.join(those, "fingerprint").select("fingerprint", "label", F.explode("shingles").alias("shingle"))
+    owners = owned.groupBy("shingle").agg(F.count(F.lit(1)).alias("owners")).where(F.col("owners") <= RARE)
+    rare = cut(owned.join(owners, "shingle"))
+    shared = rare.where("owners > 1")
+    left, right = (shared.select("shingle", F.col("fingerprint").alias(side), F.col("label").alias(f"label_{side}")) for side in "ab")
+    meeting = left.join(right, "shingle").where("a < b AND label_a != label_b").select("a", "b").distinct()
+    common = (F.col("size") - F.coalesce("n_rare", F.lit(0))).alias("common")
+    told = cut(prints.join(those.select("fingerprint"), "fingerprint", "left_semi").join(rare.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_rare")), "fingerprint", "left").select("fingerprint", "size", "signature", common))
+    each = each.join(told, "fingerprint")
+    columns = ("fingerprint", "label", "size", "common", "signature")
 
     def gathered(df: DataFrame, n, side: str) -> DataFrame:
-        listed = df.groupBy("key", block(n)).agg(F.collect_list(F.struct(*columns)).alias(side))
-        return listed.select("key", side)
+        block = F.pmod(F.xxhash64("fingerprint"), F.ceil(n / BLOCK)).alias("block")
+        return df.groupBy("key", block).agg(F.collect_list(F.struct(*columns)).alias(side)).select("key", side)
 
-    outside = gathered(each.where("label != main"), F.col("n_all") - F.col("n_main"), "outside")
-    everyone = gathered(each, F.col("n_all"), "everyone")
+    # a set of which even a subset of the least size that links shares too little is left out
+    able = each.where("5 * common >= 4 * size")
+    outside = gathered(able.where("label != main"), F.col("n_all") - F.col("n_main"), "outside")
+    everyone = gathered(able, F.col("n_all"), "everyone")
 
     def arrays(rows):
-        numbers = [np.array([r[c] for r in rows], np.int64) for c in columns[:3]]
+        numbers = [np.array([r[c] for r in rows], np.int64) for c in columns[:4]]
         return *numbers, _as_signatures([r["signature"] for r in rows])
 
     def of(batches):
         for batch in batches:
-            for left, right in zip(batch.column(0), batch.column(1)):
-                prints, labels, sizes, signatures = arrays(left.as_py())
-                others, other_labels, other_sizes, other_signatures = arrays(right.as_py())
-                found = []
+            for key, left, right in zip(*(batch.column(i) for i in range(3))):
+                prints, labels, sizes, shared, signatures = arrays(left.as_py())
+                others, other_labels, other_sizes, other_shared, other_signatures = arrays(right.as_py())
+                found, keys, other_keys, this = [], chunk_keys(signatures), chunk_keys(other_signatures), np.int64(key.as_py()).view(np.uint64)
                 for i in range(len(prints)):
-                    ok = (other_labels != labels[i]) & (5 * np.minimum(other_sizes, sizes[i]) >= 4 * np.maximum(other_sizes, sizes[i]))
-                    at = np.flatnonzero(ok)
+                    most = np.minimum(np.minimum(shared[i], other_shared), np.minimum(sizes[i], other_sizes))
+                    at = np.flatnonzero((other_labels != labels[i]) & (9 * most >= 4 * (sizes[i] + other_sizes)))
                     at = at[(other_signatures[at] != signatures[i]).sum(1) <= FAR]
-                    found += [(int(prints[i]), int(b)) for b in others[at]]
+                    # two sets meet at each key that they share, and are told at the first
+                    first = (other_keys[at] == keys[i]).argmax(1)
+                    found += [(int(prints[i]), int(b)) for b in others[at[keys[i][first] == this]]]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return _ordered(outside.join(everyone, "key").select("outside", "everyone").mapInArrow(of, "a long, b long"))
+    unlike = outside.join(everyone, "key").select("key", "outside", "everyone").mapInArrow(of, "a long, b long")
+    return _ordered(near(prints, meeting).union(unlike))
 
 
 def links(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
     """(a, b) pairs of distinct sets that connect all that are linked."""
     prints = cut(rows.where("size > 0").select("fingerprint", "size", "signature").dropDuplicates(["fingerprint"]))
-    keys = cut(keyed(prints))
+    keys = keyed(prints)
     groups = cut(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fingerprint").alias("a"), F.max("fingerprint").alias("b")).where("n > 1"))
     more = groups.where("n > 2").select("key", "n")
     # keys of one or two sets are not shuffled again
-    members = cut(maybe_among(keys.select("fingerprint", "key"), "key", more.select("key")).where("maybe").drop("maybe").join(more, "key"))
+    members = cut(maybe_among(keys, "key", more.select("key")).where("maybe").drop("maybe").join(more, "key"))
     few = members.where(F.col("n") <= PAIRED)
     paired = few.select("key", F.col("fingerprint").alias("a")).join(few.select("key", F.col("fingerprint").alias("b")), "key").where("a < b")
     many = members.where(F.col("n") > PAIRED).select("key", "fingerprint")
     met = many.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("met"))
     hubs = many.join(met, "fingerprint").groupBy("key").agg(F.max(F.struct("met", F.xxhash64("fingerprint").alias("h"), F.col("fingerprint").alias("b"))).alias("hub")).select("key", "hub.b")
     with_hub = many.join(hubs, "key").select(F.col("fingerprint").alias("a"), "b")
-    pairs = cut(_ordered(groups.where("n = 2").select("a", "b").union(paired.select("a", "b")).union(with_hub)))
-    linked = verified(docs, rows, prints, pairs, words)
+    pairs = cut(near(prints, _ordered(groups.where("n = 2").select("a", "b").union(paired.select("a", "b")).union(with_hub))))
+    needed = pairs.select(F.col("a").alias("fingerprint")).union(pairs.select("b")).union(met.select("fingerprint")).distinct()
+    held = cut(full_sets(docs, rows, needed, words))
+    linked = verified(pairs, held)
     if many.isEmpty():
         return linked
-    labels = components(linked).withColumnRenamed("node", "fingerprint")
-    told = prints.join(many.select("fingerprint").distinct(), "fingerprint", "left_semi").join(labels, "fingerprint", "left").withColumn("label", F.coalesce("label", "fingerprint"))
-    rest = cut(between_components(many.join(told, "fingerprint")).join(pairs, ["a", "b"], "left_anti"))
-    return linked if rest.isEmpty() else linked.union(verified(docs, rows, prints, rest, words))
+    labels = met.select("fingerprint").join(components(linked).withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", F.coalesce("label", "fingerprint").alias("label"))
+    rest = cut(between_components(many.join(labels, "fingerprint"), prints, held).join(pairs, ["a", "b"], "left_anti"))
+    return linked if rest.isEmpty() else linked.union(verified(rest, held))
 
 
 def link(docs: DataFrame, words: int = WORDS) -> DataFrame:
