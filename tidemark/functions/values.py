@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 #: File suffixes and the read formats they stand for.
 FORMAT_BY_SUFFIX = {
@@ -41,8 +42,19 @@ def decimal_value(text: Column) -> Column:
     return F.trim(text).try_cast("decimal(38,10)")
 
 
+def pattern_time(text: Column, pattern: str) -> Column:
+    """R-8: the time that a text spells in a strftime pattern, such as ``%m/%Y``; NULL for other texts.
+
+    Parts that the pattern lacks are the first of their kind: no day is the first of the month.
+    """
+    spark_pattern = date_pattern(pattern)
+    return F.try_to_timestamp(F.trim(text), F.lit(spark_pattern))
+
+
 def checkpoint_key(text: Column, kind: str) -> Column:
-    """An ordered key.  ``kind`` (datetime, decimal or text) is decided for a whole column: see ``checkpoint_kind``."""
+    """An ordered key.  ``kind`` (datetime, decimal, text, or ``pattern:`` and a strftime pattern) is decided for a whole column: see ``checkpoint_kind``."""
+    if kind.startswith("pattern:"):
+        return pattern_time(text, kind.removeprefix("pattern:"))
     if kind == "datetime":
         return aware_timestamp(text)
     if kind == "decimal":
@@ -52,19 +64,22 @@ def checkpoint_key(text: Column, kind: str) -> Column:
     raise ValueError(f"unknown checkpoint kind {kind!r}")
 
 
-def checkpoint_kind(text: Column) -> Column:
-    """J4, an aggregate: datetime if all non-blank values are, else decimal if all are, else text."""
+def checkpoint_kind(text: Column, pattern: str | None = None) -> Column:
+    """J4, an aggregate: with a pattern, ``pattern`` if all non-blank values are spelt in it; else datetime if all are, else decimal if all are, else text."""
     given = F.trim(text) != ""
+    spelt = F.count_if(given & pattern_time(text, pattern).isNull()) == 0 if pattern else F.lit(False)
     return (
-        F.when(F.count_if(given & aware_timestamp(text).isNull()) == 0, F.lit("datetime"))
+        F.when(spelt, F.lit("pattern"))
+        .when(F.count_if(given & aware_timestamp(text).isNull()) == 0, F.lit("datetime"))
         .when(F.count_if(given & decimal_value(text).isNull()) == 0, F.lit("decimal"))
         .otherwise(F.lit("text"))
     )
 
 
-def typed_order(text: Column, kind: Column) -> Column:
+def typed_order(text: Column, kind: Column, pattern: str | None = None) -> Column:
     """J4 for a kind that is itself a column: a struct of which only the kind's field is set."""
     return F.struct(
+        *([F.when(kind == "pattern", pattern_time(text, pattern)).alias("spelt")] if pattern else []),
         F.when(kind == "datetime", aware_timestamp(text)).alias("at"),
         F.when(kind == "decimal", decimal_value(text)).alias("number"),
         F.when(kind == "text", F.trim(text)).alias("text"),
@@ -223,9 +238,40 @@ def metadata(pairs: Mapping[str, Column], prefix: str = "strategy.") -> Column:
     return F.transform_keys(masked, lambda k, v: F.concat(F.lit(prefix), F.trim(k)))
 
 
-def masked_fields(columns: Iterable[str]) -> list[Column]:
-    """The columns of a table, those with sensitive names masked where they are not null."""
-    return [F.when(col(c).isNotNull(), F.lit(REDACTED)).alias(c) if is_sensitive(c) else col(c) for c in columns]
+def _holds_sensitive(kind: DataType) -> bool:
+    """Does a value of this type hold fields with sensitive names, or keys that may be?"""
+    if isinstance(kind, StructType):
+        return any(is_sensitive(f.name) or _holds_sensitive(f.dataType) for f in kind)
+    if isinstance(kind, ArrayType):
+        return _holds_sensitive(kind.elementType)
+    return isinstance(kind, MapType)
+
+
+def masked_value(value: Column, kind: DataType) -> Column:
+    """A value with what goes by a sensitive name in it masked, at any depth.
+
+    Struct fields and map entries are masked whole, as text, where they are not null; an entry whose
+    value cannot be text becomes null.  What holds nothing sensitive stays as it is.
+    """
+    if not _holds_sensitive(kind):
+        return value
+    if isinstance(kind, StructType):
+        fields = F.struct(*[_masked_field(value.getField(f.name), f.name, f.dataType).alias(f.name) for f in kind])
+        return F.when(value.isNotNull(), fields)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: masked_value(x, kind.elementType))
+    inner, text = kind.valueType, isinstance(kind.valueType, StringType)
+    hidden = lambda v: F.when(v.isNotNull(), F.lit(REDACTED)) if text else F.lit(None)
+    return F.transform_values(value, lambda k, v: F.when(sensitive(k.cast("string")), hidden(v)).otherwise(masked_value(v, inner)))
+
+
+def _masked_field(value: Column, name: str, kind: DataType) -> Column:
+    return F.when(value.isNotNull(), REDACTED) if is_sensitive(name) else masked_value(value, kind)
+
+
+def masked_fields(schema: StructType) -> list[Column]:
+    """The columns of a table of this schema, masked by their names and by those within structs, lists and maps."""
+    return [_masked_field(col(f.name), f.name, f.dataType).alias(f.name) for f in schema]
 
 
 # -- variants (C4, D9, J18) ------------------------------------------------------------------

@@ -1,10 +1,9 @@
 """Records, nodes and entities of landed JSON documents.
 
-Documents are VARIANT columns.  A walk expands one level after the other within
-the row, up to a bounded depth; what lies deeper is listed by ``overflow``, so
-that it can be dead-lettered.  Order is kept in ``position``, the
-array of list positions on the way to a node, which sorts parents before their
-children.
+Documents are VARIANT columns.  A walk expands some levels after each other within
+the row, and goes on from the last of them while there is more below.  Order is
+kept in ``position``, the array of list positions on the way to a node, which
+sorts parents before their children.
 """
 
 from __future__ import annotations
@@ -16,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import field, first_non_blank, meaningful
+from tidemark.sources.shared import cut
 
 #: The keys under which a response holds its records.
 RECORD_KEYS = ("records", "items", "results", "data", "value")
-#: Entity types, and the keys that hold a collection of each.
+#: Entity types, and the keys that hold a collection of each; the types' order has no meaning.
 COLLECTIONS = {
     "dataset": ("datasets", "dataset", "packages", "package"),
     "organization": ("organizations", "organization", "organization_list"),
@@ -46,6 +46,7 @@ ID_KEYS = ("id", "identifier", "name", "slug", "guid", "uri", "url")
 NAME_KEYS = ("name", "display_name", "label", "title")
 #: Fixed value: the records of a collection that tell its type.
 FIRST_RECORDS = 5
+#: Levels that a walk expands in one pass.
 DEPTH = 8
 #: Wrappers within each other that are looked through.
 WRAPPED = 3
@@ -127,21 +128,26 @@ def walk(df: DataFrame, document: str = "document", depth: int = DEPTH) -> DataF
 
     Carries the other columns, with ``parent_path`` (NULL for a root),
     ``collection_path``, ``path``, ``position``, ``level`` and ``data``.
+
+    ``depth`` levels are expanded in one pass over the documents, within the row.  The nodes
+    below these, if any, are written to the checkpoint folder and walked on from there, so that
+    all are found, however deep; documents that are no deeper cost one look for more.
     """
     carried = [c for c in df.columns if c != document]
     v = F.col(document)
     roots = df.where(kind_of(v) == "object").select(*carried, F.lit(None).cast("string").alias("parent_path"), F.lit("payload").alias("collection_path"), F.lit("payload").alias("path"), F.array().cast("array<string>").alias("position"), v.alias("data"))
     tops = df.where(kind_of(v) == "array").select(*carried, F.posexplode(F.try_variant_get(v, "$", "array<variant>")).alias("at", "data")).where(kind_of(F.col("data")) == "object")
     roots = roots.unionByName(tops.select(*carried, F.lit(None).cast("string").alias("parent_path"), F.lit("payload").alias("collection_path"), F.concat(F.lit("payload["), F.col("at").cast("string"), F.lit("]")).alias("path"), F.array(F.lpad(F.col("at").cast("string"), 9, "0")).alias("position"), "data"))
-    nodes = roots.withColumn("level", F.lit(0))
-    for level in range(1, depth):
-        nodes = expanded(nodes, carried, level)
-    return nodes
-
-
-def overflow(df: DataFrame, document: str = "document", depth: int = DEPTH) -> DataFrame:
-    """Nodes that ``walk`` with this depth leaves out: the first level beyond it."""
-    return walk(df, document, depth + 1).where(F.col("level") == depth)
+    nodes, found, top = roots.withColumn("level", F.lit(0)), [], 0
+    while True:
+        for level in range(top + 1, top + depth):
+            nodes = expanded(nodes, carried, level)
+        found.append(nodes)
+        top += depth
+        below = cut(expanded(nodes.where(F.col("level") == top - 1), carried, top).where(F.col("level") == top))
+        if below.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        nodes = below
 
 
 def signals(data: Column, kind: str) -> Column:
@@ -282,7 +288,7 @@ def entity_tree(df: DataFrame, document: str = "document", variant: str = "metad
         step = F.concat(F.col("batch").cast("string"), F.lit("/"), F.lpad(F.col("at").cast("string"), 9, "0"))
         named = identity(found.withColumn("position", F.concat("before", F.array(step))), "data", "path")
         if levels is None:
-            named = named.checkpoint()
+            named = cut(named)
             if out and named.isEmpty():
                 break
         out.append(named.select(*carried, "entity_type", "entity_key", "entity_id", "parent_entity_type", "parent_entity_key", "parent_entity_id", "collection_path", F.col("path").alias("record_path"), F.lit(level).alias("level"), "position", F.to_json("data").alias("payload")))
@@ -329,8 +335,17 @@ def nodes(entities: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     return first.join(parents, [*carried, "parent_type", "parent_node_key"], "left")
 
 
-def parse_summary(classified: DataFrame, by: Sequence[str]) -> DataFrame:
-    """nodes, roots, classified and unknown nodes, and the status of each document's parse."""
+def parse_summary(classified: DataFrame, by: Sequence[str], parsed_documents: DataFrame | None = None) -> DataFrame:
+    """nodes, roots, classified and unknown nodes, warnings (one for each unknown node) and the status of each document's parse.
+
+    Documents without a node, of those given, are ``empty``.
+    """
     counts = classified.groupBy(*by).agg(F.count(F.lit(1)).alias("n_nodes"), F.count_if(F.col("parent_path").isNull()).alias("n_roots"), F.count_if(F.col("parent_path").isNotNull()).alias("n_edges"), F.count_if(F.col("entity_type") != "unknown").alias("n_classified"), F.count_if(F.col("entity_type") == "unknown").alias("n_unknown"))
+    counts = counts.withColumn("n_warnings", F.col("n_unknown"))
+    if parsed_documents is not None:
+        every = parsed_documents.select(*[F.col(b).alias(f"__{b}") for b in by]).distinct()
+        same = reduce(Column.__and__, [F.col(b).eqNullSafe(F.col(f"__{b}")) for b in by])
+        numbers = [c for c in counts.columns if c not in by]
+        counts = every.join(counts, same, "left").select(*[F.col(f"__{b}").alias(b) for b in by], *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in numbers])
     status = F.when(F.col("n_nodes") == 0, "empty").when(F.col("n_classified") == 0, "ambiguous").when(F.col("n_unknown") > 0, "parsed_with_warnings").otherwise("parsed")
     return counts.withColumn("status", status)

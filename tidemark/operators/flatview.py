@@ -64,6 +64,7 @@ def flat_view(df: DataFrame, document: str = "document") -> DataFrame:
 
 def described(flat: DataFrame, by: Sequence[str]) -> DataFrame:
     """F8: the attribute keys, by name, and the dimension ids, by number, that occur, comma-joined."""
-    keys = flat.select(*by, F.explode_outer("attributes.key").alias("k")).groupBy(*by).agg(F.array_join(F.array_sort(F.collect_set("k")), ",").alias("attribute_keys"))
-    ids = flat.select(*by, F.explode_outer("dimensions.position").alias("p")).groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_set("p")), lambda p: F.concat(F.lit("D"), p.cast("string"))), ",").alias("dimension_ids"))
-    return keys.join(ids, list(by))
+    # few ids in a group, however many rows; one aggregation, so that groups of NULL keys stay
+    each = flat.select(*by, F.explode(F.concat(F.transform("attributes", lambda a: F.struct(a["key"].alias("k"), F.lit(None).cast("int").alias("p"))), F.transform("dimensions", lambda d: F.struct(F.lit(None).cast("string").alias("k"), d["position"].cast("int").alias("p"))), F.array(F.struct(F.lit(None).cast("string").alias("k"), F.lit(None).cast("int").alias("p"))))).alias("e"))
+    ids = F.transform(F.array_sort(F.collect_set("e.p")), lambda p: F.concat(F.lit("D"), p.cast("string")))
+    return each.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_set("e.k")), ",").alias("attribute_keys"), F.array_join(ids, ",").alias("dimension_ids"))

@@ -12,6 +12,16 @@ from pyspark.sql import functions as F
 from tidemark.functions.values import aware_timestamp, checkpoint_key, checkpoint_kind, col, decimal_value, typed_order, version_token
 
 
+def _keys(by: Sequence[str]) -> list[Column]:
+    """Group keys under names of their own, for a join back by ``_same``."""
+    return [col(b).alias(f"__k{i}") for i, b in enumerate(by)]
+
+
+def _same(by: Sequence[str]) -> Column:
+    """Equal keys, NULL being equal to NULL."""
+    return reduce(Column.__and__, [col(b).eqNullSafe(F.col(f"__k{i}")) for i, b in enumerate(by)], F.lit(True))
+
+
 def newer(df: DataFrame, name: str, stored: str | None, kind: str) -> DataFrame:
     """Rows whose value is after the stored checkpoint; rows without a value stay, as do all without a checkpoint."""
     if stored is None:
@@ -20,15 +30,17 @@ def newer(df: DataFrame, name: str, stored: str | None, kind: str) -> DataFrame:
     return df.where(F.coalesce(key > checkpoint_key(F.lit(stored), kind), F.lit(True)))
 
 
-def max_checkpoint(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
-    """the greatest non-blank value of each group, compared by the kind that all values of the group have, with the kind."""
+def max_checkpoint(df: DataFrame, name: str, by: Sequence[str] = (), pattern: str | None = None) -> DataFrame:
+    """the greatest non-blank value of each group, compared by the kind that all values of the group have, with the kind; ``pattern`` as in ``checkpoint_kind``."""
     value = F.trim(col(name).cast("string"))
     given = df.where(value != "").select(*[col(b) for b in by], value.alias("__v"))
+    keys = {k: k for k in ("datetime", "decimal", "text")} | ({"pattern": f"pattern:{pattern}"} if pattern else {})
     kinds = given.groupBy(*[col(b) for b in by]).agg(
-        checkpoint_kind(F.col("__v")).alias("kind"),
-        *[F.max_by("__v", F.struct(checkpoint_key(F.col("__v"), k).alias("k"), F.col("__v"))).alias(k) for k in ("datetime", "decimal", "text")],
+        checkpoint_kind(F.col("__v"), pattern).alias("kind"),
+        *[F.max_by("__v", F.struct(checkpoint_key(F.col("__v"), k).alias("k"), F.col("__v"))).alias(n) for n, k in keys.items()],
     )
-    return kinds.select(*[col(b) for b in by], "kind", F.when(F.col("kind") == "datetime", F.col("datetime")).when(F.col("kind") == "decimal", F.col("decimal")).otherwise(F.col("text")).alias("value"))
+    spelt = F.when(F.col("kind") == "pattern", F.col("pattern")) if pattern else F
+    return kinds.select(*[col(b) for b in by], "kind", spelt.when(F.col("kind") == "datetime", F.col("datetime")).when(F.col("kind") == "decimal", F.col("decimal")).otherwise(F.col("text")).alias("value"))
 
 
 def upsert(df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: str = "first") -> DataFrame:
@@ -85,9 +97,8 @@ def selected_files(files: DataFrame, by: Sequence[str], mode: str = "latest", st
         raise ValueError("mode must be 'latest' or 'incremental'")
     if static:
         return files.withColumn("ambiguous", F.lit(False))
-    told = files.groupBy(*[col(b).alias(f"__k{i}") for i, b in enumerate(by)]).agg(((F.count(F.lit(1)) > 1) & (F.count_if(col("version").isNull()) > 0)).alias("ambiguous"))
-    same = reduce(Column.__and__, [col(b).eqNullSafe(F.col(f"__k{i}")) for i, b in enumerate(by)])
-    marked = files.join(told, same).select(*[col(c) for c in files.columns], "ambiguous")
+    told = files.groupBy(*_keys(by)).agg(((F.count(F.lit(1)) > 1) & (F.count_if(col("version").isNull()) > 0)).alias("ambiguous"))
+    marked = files.join(told, _same(by)).select(*[col(c) for c in files.columns], "ambiguous")
     fresh = newer(marked.where("NOT ambiguous"), "version", stored, kind)
     if mode == "latest":
         fresh = upsert(fresh, by, [version_order(F.col("version"), F.col("path"))], keep="latest")
@@ -122,12 +133,12 @@ def appended(history: DataFrame, candidates: DataFrame, by: Sequence[str], value
 
 def latest_run(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The rows of the latest (ingestion_date, run_id), in each group; run keys are few, so the join is small."""
-    last = df.groupBy(*[col(b) for b in by]).agg(F.max(F.struct("ingestion_date", "run_id")).alias("last")).select(*[col(b) for b in by], "last.*")
-    return df.join(last, [*by, "ingestion_date", "run_id"], "left_semi")
+    last = df.groupBy(*_keys(by)).agg(F.max(F.struct("ingestion_date", "run_id")).alias("__last"))
+    return df.join(last, _same(by) & F.struct("ingestion_date", "run_id").eqNullSafe(F.col("__last")), "left_semi")
 
 
-def decisions(candidates: DataFrame, by: Sequence[str], value: str, recorded_at: str) -> DataFrame:
-    """What each recorded candidate does to the checkpoint of its source.
+def decisions(candidates: DataFrame, by: Sequence[str], value: str, recorded_at: str, pattern: str | None = None) -> DataFrame:
+    """What each recorded candidate does to the checkpoint of its source; a NULL source is one as any other.
 
     ``advanced``: the first, or greater than all before; ``reused``: equal to the
     greatest; ``retained``: lower; ``skipped``: none given.
@@ -135,8 +146,8 @@ def decisions(candidates: DataFrame, by: Sequence[str], value: str, recorded_at:
     window = W.partitionBy(*[col(b) for b in by])
     before = window.orderBy(recorded_at).rowsBetween(W.unboundedPreceding, -1)
     text = F.nullif(F.trim(col(value).cast("string")), F.lit(""))
-    kinds = candidates.groupBy(*[col(b) for b in by]).agg(checkpoint_kind(col(value).cast("string")).alias("__kind"))
-    keyed = candidates.join(kinds, list(by)).withColumn("__key", F.when(text.isNotNull(), typed_order(text, F.col("__kind"))))
+    kinds = candidates.groupBy(*_keys(by)).agg(checkpoint_kind(col(value).cast("string"), pattern).alias("__kind"))
+    keyed = candidates.join(kinds, _same(by)).select(*[col(c) for c in candidates.columns], "__kind").withColumn("__key", F.when(text.isNotNull(), typed_order(text, F.col("__kind"), pattern)))
     compared = keyed.withColumn("__before", F.max("__key").over(before)).withColumn("previous_value", F.max_by(text, "__key").over(before))
     key, top = F.col("__key"), F.col("__before")
     decision = F.when(key.isNull(), "skipped").when(top.isNull() | (key > top), "advanced").when(key == top, "reused").otherwise("retained")

@@ -94,25 +94,27 @@ def pending(plan: DataFrame, done: DataFrame, dead: DataFrame | None = None, key
     return left if dead is None else left.join(dead.select(key), key, "left_anti")
 
 
-def page_continuity(pages: DataFrame, request: str, page: str, records: str, page_size: int) -> DataFrame:
+def page_continuity(pages: DataFrame, request: str, page: str, records: str, page_size: int, step: int = 1, start: int = 0) -> DataFrame:
     """A row per request of landed pages: how many, how many are missing before the last, whether it stopped, and the next page.
 
+    Pages are ``step`` apart: 1 for page numbers, the page size for offsets; the first is ``start``.
+
     A page with fewer records than ``page_size`` is final.  ``premature``: a page
     follows a final one.  ``complete``: no page is missing and the last is final.
     """
     along = W.partitionBy(request).orderBy(page)
     final = F.col(records) < page_size
     each = pages.select(request, page, records).withColumn("final", final).withColumn("before", F.lag(page).over(along)).withColumn("after", F.lead(page).over(along))
-    gap = F.col(page) - F.coalesce("before", F.lit(-1)) - 1
+    gap = F.floor((F.col(page) - F.coalesce("before", F.lit(start - step))) / step) - 1
     seen = each.groupBy(request).agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.max(page).alias("last_page"),
-        F.sum(F.greatest(gap, F.lit(0))).alias("n_missing"),
+        F.sum(F.greatest(gap, F.lit(0))).cast("long").alias("n_missing"),
         F.count_if(F.col("final") & F.col("after").isNotNull()).alias("n_premature"),
         F.max_by("final", page).alias("stopped"),
     )
     complete = F.col("stopped") & (F.col("n_missing") == 0)
-    return seen.withColumn("complete", complete).withColumn("next_page", F.when(~F.col("stopped"), F.col("last_page") + 1))
+    return seen.withColumn("complete", complete).withColumn("next_page", F.when(~F.col("stopped"), F.col("last_page") + step))
 
 
 def next_cursor(payload: Column) -> Column:

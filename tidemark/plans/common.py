@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.lineage import Run
+from tidemark.sources.shared import new_folder
 
 RUN = Run("run-20260101T000000Z", "orders_daily", "Orders", "test", "file", "static_file", "2026-01-01T00:00:00Z")
 
@@ -17,11 +15,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under the shared checkpoint folder; a local one only where all of Spark is in this process."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        master = spark.sparkContext.master
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="spark-")
-    return f"{shared.rstrip('/')}/landing-{uuid.uuid4().hex}"
+    """A new folder under the shared checkpoint folder."""
+    return new_folder(spark)

@@ -128,12 +128,25 @@ def trees(spark, sf):
 
 
 def walk_nodes(spark, sf):
-    return documents.walk(trees(spark, sf), depth=4).select("c_nationkey", "page", "path", "collection_path", "parent_path", "level")
+    return documents.walk(trees(spark, sf), depth=4).select("c_nationkey", "page", "path", "collection_path", "parent_path", "level", "position")
 
 
-WALK_SQL = f"""SELECT DISTINCT c_nationkey, c_custkey // 1000 AS page, 'payload' AS path, 'payload' AS collection_path, NULL AS parent_path, 0 AS level FROM customer
-UNION ALL SELECT c_nationkey, page, 'payload.datasets[' || i || ']', 'payload.datasets', 'payload', 1 FROM ({_SETS})
-UNION ALL SELECT c_nationkey, page, 'payload.datasets[' || i || '].resources[' || j || ']', 'payload.datasets[' || i || '].resources', 'payload.datasets[' || i || ']', 2 FROM ({_RESOURCES})"""
+_AT = "'{:06d}{}/' || lpad(CAST({} AS VARCHAR), 9, '0')"
+WALK_SQL = f"""SELECT DISTINCT c_nationkey, c_custkey // 1000 AS page, 'payload' AS path, 'payload' AS collection_path, NULL AS parent_path, 0 AS level, CAST([] AS VARCHAR[]) AS position FROM customer
+UNION ALL SELECT c_nationkey, page, 'payload.datasets[' || i || ']', 'payload.datasets', 'payload', 1, [{_AT.format(8, 'datasets', 'i')}] FROM ({_SETS})
+UNION ALL SELECT c_nationkey, page, 'payload.datasets[' || i || '].resources[' || j || ']', 'payload.datasets[' || i || '].resources', 'payload.datasets[' || i || ']', 2, [{_AT.format(8, 'datasets', 'i')}, {_AT.format(9, 'resources', 'j')}] FROM ({_RESOURCES})"""
+
+
+def deep_nodes(spark, sf):
+    """Parts within parts, up to thirty levels, in passes of eight: every level is found, with its place."""
+    parts = table(spark, sf, "part").select("p_partkey", (F.col("p_partkey") % 30 + 1).cast("int").alias("n"))
+    text = F.aggregate(F.sequence(F.lit(1), "n"), F.lit("{}"), lambda inner, i: F.concat(F.lit('{"n":'), i.cast("string"), F.lit(',"parts":[7,'), inner, F.lit("]}")))
+    found = documents.walk(documents.parsed(parts.select("p_partkey", text.alias("text")), "text").drop("text"))
+    return found.select("p_partkey", "level", F.sha2("path", 256).alias("path_hash"), F.col("parent_path").isNull().alias("is_root"), F.size("position").alias("n_steps"), field(F.col("data"), "n", "int").alias("n"))
+
+
+DEEP_SQL = """SELECT p_partkey, CAST(level AS INTEGER) AS level, sha256('payload' || repeat('.parts[1]', level)) AS path_hash, level = 0 AS is_root, CAST(level AS INTEGER) AS n_steps, CAST(nullif(p_partkey % 30 + 1 - level, 0) AS INTEGER) AS n
+FROM (SELECT p_partkey, unnest(range(CAST(p_partkey % 30 + 2 AS INTEGER))) AS level FROM part)"""
 
 
 def classify_nodes(spark, sf):
@@ -147,12 +160,15 @@ UNION ALL SELECT 2, 'resource', 'high', 'format,url_type', count(*) FROM ({_RESO
 
 
 def parse_summary(spark, sf):
-    return documents.parse_summary(documents.classify(documents.walk(trees(spark, sf), depth=4)), ["c_nationkey", "page"])
+    """Of the catalogs' pages, and of a page without an object for each nation."""
+    none = table(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.lit(-1).cast("long").alias("page"), F.parse_json(F.lit("[5]")).alias("document"))
+    pages = trees(spark, sf).unionByName(none)
+    return documents.parse_summary(documents.classify(documents.walk(pages, depth=4)), ["c_nationkey", "page"], pages)
 
 
 PARSE_SQL = f"""WITH n AS (SELECT DISTINCT c_nationkey, c_custkey // 1000 AS page, 0 AS level, FALSE AS known FROM customer UNION ALL SELECT c_nationkey, c_custkey // 1000, 1, c_custkey IN (SELECT o_custkey FROM orders) FROM customer UNION ALL SELECT c_nationkey, page, 2, TRUE FROM ({_RESOURCES}))
-SELECT c_nationkey, page, count(*) AS n_nodes, count(*) FILTER (level = 0) AS n_roots, count(*) FILTER (level > 0) AS n_edges, count(*) FILTER (known) AS n_classified, count(*) FILTER (NOT known) AS n_unknown,
-CASE WHEN count(*) FILTER (known) = 0 THEN 'ambiguous' ELSE 'parsed_with_warnings' END AS status FROM n GROUP BY 1, 2"""
+SELECT c_nationkey, page, count(*) AS n_nodes, count(*) FILTER (level = 0) AS n_roots, count(*) FILTER (level > 0) AS n_edges, count(*) FILTER (known) AS n_classified, count(*) FILTER (NOT known) AS n_unknown, count(*) FILTER (NOT known) AS n_warnings,
+CASE WHEN count(*) FILTER (known) = 0 THEN 'ambiguous' ELSE 'parsed_with_warnings' END AS status FROM n GROUP BY 1, 2 UNION ALL SELECT n_nationkey, -1, 0, 0, 0, 0, 0, 0, 'empty' FROM nation"""
 
 
 def statistics(spark, sf):
@@ -243,12 +259,12 @@ FOLDED_SQL = "SELECT doc_id, count(*) FILTER (regexp_matches(lower(w), '[^\\x00-
 QUERIES = {
     "catalog_rows": catalog_rows, "generic_batches": generic_batches,
     "transform_hooks": transform_hooks, "document_records": document_records, "first_non_blank": first_non_blank_query, "entity_tree": entity_tree, "entity_counts": entity_counts, "catalog_edges": catalog_edges, "catalog_nodes": catalog_nodes,
-    "walk_nodes": walk_nodes, "classify_nodes": classify_nodes, "parse_summary": parse_summary, "flat_view": flat_view, "flat_description": flat_description, "cursors": cursors,
+    "walk_nodes": walk_nodes, "deep_nodes": deep_nodes, "classify_nodes": classify_nodes, "parse_summary": parse_summary, "flat_view": flat_view, "flat_description": flat_description, "cursors": cursors,
     "coerced_records": coerced_records, "canonical_payloads": canonical_payloads, "metadata_coerce": metadata_coerce, "folded_labels": folded_labels,
 }
 ORACLES = {
     "catalog_rows": ROWS_SQL, "generic_batches": GENERIC_SQL,
     "transform_hooks": HOOKS_SQL, "document_records": RECORDS_SQL, "first_non_blank": NON_BLANK_SQL, "entity_tree": TREE_SQL, "entity_counts": COUNTS_SQL, "catalog_edges": EDGES_SQL, "catalog_nodes": NODES_SQL,
-    "walk_nodes": WALK_SQL, "classify_nodes": CLASSIFY_SQL, "parse_summary": PARSE_SQL, "flat_view": FLAT_SQL, "flat_description": DESCRIBED_SQL, "cursors": CURSOR_SQL,
+    "walk_nodes": WALK_SQL, "deep_nodes": DEEP_SQL, "classify_nodes": CLASSIFY_SQL, "parse_summary": PARSE_SQL, "flat_view": FLAT_SQL, "flat_description": DESCRIBED_SQL, "cursors": CURSOR_SQL,
     "coerced_records": COERCED_SQL, "canonical_payloads": CANONICAL_SQL, "metadata_coerce": METADATA_SQL, "folded_labels": FOLDED_SQL,
 }

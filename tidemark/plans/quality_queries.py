@@ -53,19 +53,23 @@ def report(spark, sf):
 
 
 def quality_report(spark, sf):
-    return report(spark, sf).select("phase", "name", "outcome", "n_failures")
+    return report(spark, sf)
 
 
 REPORT_SQL = """WITH e AS (SELECT event_id, user_id, nullif(event_type, 'error') AS event_type, CASE WHEN user_id % 10 = 0 THEN '  ' ELSE props END AS props FROM events),
 req AS (SELECT CAST(count(*) FILTER (event_id IS NULL) + count(*) FILTER (event_type IS NULL) + count(*) FILTER (trim(props) = '' OR props IS NULL) AS BIGINT) AS n FROM e),
-u1 AS (SELECT count(*) AS n FROM (SELECT event_id FROM e GROUP BY 1 HAVING count(*) > 1)),
-u2 AS (SELECT count(*) AS n FROM (SELECT user_id, event_type FROM e GROUP BY 1, 2 HAVING count(*) > 1))
-SELECT 'data' AS phase, 'required_fields' AS name, CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END AS outcome, n AS n_failures FROM req
-UNION ALL SELECT 'data', 'unique_fields', CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END, n FROM u1
-UNION ALL SELECT 'data', 'unique_fields', CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END, n FROM u2
-UNION ALL SELECT 'data', 'unique_fields', 'failed', 1
-UNION ALL SELECT 'data', 'schema_expectations', 'failed', 5
-UNION ALL SELECT 'output', 'output_columns', 'failed', 8"""
+told AS (SELECT nullif(array_to_string([x FOR x IN [CASE WHEN count(*) FILTER (event_id IS NULL) > 0 THEN 'event_id=' || count(*) FILTER (event_id IS NULL) END, CASE WHEN count(*) FILTER (event_type IS NULL) > 0 THEN 'event_type=' || count(*) FILTER (event_type IS NULL) END,
+ CASE WHEN count(*) FILTER (trim(props) = '' OR props IS NULL) > 0 THEN 'props=' || count(*) FILTER (trim(props) = '' OR props IS NULL) END] IF x IS NOT NULL], ', '), '') AS d FROM e),
+k1 AS (SELECT '{"event_id":' || event_id || '}' AS k FROM e GROUP BY event_id HAVING count(*) > 1),
+k2 AS (SELECT '{"user_id":' || user_id || coalesce(',"event_type":"' || event_type || '"', '') || '}' AS k FROM e GROUP BY user_id, event_type HAVING count(*) > 1),
+u1 AS (SELECT count(*) AS n, (SELECT string_agg(k, ', ' ORDER BY k) FROM (FROM k1 ORDER BY k LIMIT 5)) AS d FROM k1),
+u2 AS (SELECT count(*) AS n, (SELECT string_agg(k, ', ' ORDER BY k) FROM (FROM k2 ORDER BY k LIMIT 5)) AS d FROM k2)
+SELECT 'data' AS phase, 'required_fields' AS name, CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END AS outcome, n AS n_failures, d AS details FROM req, told
+UNION ALL SELECT 'data', 'unique_fields', CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END, n, d FROM u1
+UNION ALL SELECT 'data', 'unique_fields', CASE WHEN n > 0 THEN 'failed' ELSE 'passed' END, n, d FROM u2
+UNION ALL SELECT 'data', 'unique_fields', 'failed', 1, 'missing: absent'
+UNION ALL SELECT 'data', 'schema_expectations', 'failed', 5, 'missing: kind; unexpected: user_id, event_type, value, props'
+UNION ALL SELECT 'output', 'output_columns', 'failed', 8, 'missing: run_id, source_id, source_name, environment, strategy_family, strategy_variant, ingestion_timestamp, ingestion_date'"""
 
 
 def quality_summary(spark, sf):
@@ -141,12 +145,22 @@ SELECT run_id, min(ts) AS started_at, max(ts) AS ended_at, count(*) AS n_events,
 
 
 def masked_columns(spark, sf):
-    """Customers whose segment goes by a sensitive name."""
-    df = table(spark, sf, "customer").withColumnRenamed("c_mktsegment", "session_token")
-    return df.select(*masked_fields(df.columns))
-
-
-MASKED_SQL = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, CASE WHEN c_mktsegment IS NOT NULL THEN '***' END AS session_token FROM customer"
+    """Customers with sensitive names: of a column, in a struct, in a list of structs, in a map and in a map of structs."""
+    df = table(spark, sf, "customer").select(
+        "c_custkey",
+        F.col("c_mktsegment").alias("session_token"),
+        F.when(F.col("c_custkey") % 3 != 0, F.struct("c_name", F.struct(F.col("c_name").alias("api_token"), F.col("c_nationkey").alias("nation")).alias("inner"))).alias("auth_info"),
+        F.array(F.struct(F.col("c_nationkey").alias("k"), F.nullif("c_mktsegment", F.lit("BUILDING")).alias("Client-Secret"))).alias("items"),
+        F.create_map(F.lit("X_API_KEY"), "c_name", F.lit("plain"), "c_name").alias("headers"),
+        F.create_map(F.lit("a"), F.struct(F.col("c_name").alias("password"), "c_custkey"), F.lit("cookie"), F.struct(F.col("c_name").alias("password"), "c_custkey")).alias("nested"),
+    )
+    at = lambda key: F.element_at("nested", key)
+    out = df.select(*masked_fields(df.schema))
+    return out.select("c_custkey", "session_token", F.col("auth_info.c_name").alias("name"), F.col("auth_info.inner.api_token").alias("inner_token"), F.col("auth_info.inner.nation").alias("inner_nation"), F.element_at("items", 1)["Client-Secret"].alias("item_secret"), F.element_at("items", 1)["k"].alias("item_k"), F.element_at("headers", "X_API_KEY").alias("header_key"), F.element_at("headers", "plain").alias("header_plain"), at("a")["password"].alias("map_password"), at("a")["c_custkey"].alias("map_key"), at("cookie").isNull().alias("map_hidden"))
+
+
+MASKED_SQL = """SELECT c_custkey, CASE WHEN c_mktsegment IS NOT NULL THEN '***' END AS session_token, CASE WHEN c_custkey % 3 != 0 THEN c_name END AS name, CASE WHEN c_custkey % 3 != 0 THEN '***' END AS inner_token, CASE WHEN c_custkey % 3 != 0 THEN c_nationkey END AS inner_nation,
+CASE WHEN c_mktsegment != 'BUILDING' THEN '***' END AS item_secret, c_nationkey AS item_k, '***' AS header_key, c_name AS header_plain, '***' AS map_password, c_custkey AS map_key, TRUE AS map_hidden FROM customer"""
 
 
 def lineage_record(spark, sf):

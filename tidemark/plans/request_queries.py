@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import lookback, strftime
@@ -98,6 +99,38 @@ s AS (SELECT conv_id, count(*) AS n_pages, max(turn) AS last_page, CAST(sum(grea
 SELECT *, stopped AND n_missing = 0 AS complete, CASE WHEN NOT stopped THEN last_page + 1 END AS next_page FROM s"""
 
 
+def offset_continuity(spark, sf):
+    """Customers' orders read by offsets of 4, the page of every eleventh order lost: gaps and the next offset."""
+    orders = table(spark, sf, "orders").select("o_custkey", "o_orderkey", (F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")) - 1).alias("i"))
+    pages = orders.groupBy("o_custkey", F.expr("i DIV 4 * 4").alias("offset")).agg(F.count(F.lit(1)).alias("records"), F.min("o_orderkey").alias("first")).where("first % 11 != 0")
+    return requests.page_continuity(pages, "o_custkey", "offset", "records", 4, step=4)
+
+
+OFFSET_SQL = """WITH o AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 4 * 4 AS "offset" FROM orders),
+p AS (SELECT o_custkey, "offset", count(*) AS records FROM o GROUP BY ALL HAVING min(o_orderkey) % 11 != 0),
+w AS (SELECT *, records < 4 AS final, lag("offset") OVER o AS b, lead("offset") OVER o AS a FROM p WINDOW o AS (PARTITION BY o_custkey ORDER BY "offset")),
+s AS (SELECT o_custkey, count(*) AS n_pages, max("offset") AS last_page, CAST(sum(("offset" - coalesce(b, -4)) // 4 - 1) AS BIGINT) AS n_missing, count(*) FILTER (final AND a IS NOT NULL) AS n_premature, arg_max(final, "offset") AS stopped FROM w GROUP BY 1)
+SELECT *, stopped AND n_missing = 0 AS complete, CASE WHEN NOT stopped THEN last_page + 4 END AS next_page FROM s"""
+
+
+def pattern_checkpoints(spark, sf):
+    """Months of the orders as checkpoints spelt month first: 01/1997 comes after 12/1996; one status has texts of another kind."""
+    month = F.date_format("o_orderdate", "MM/yyyy")
+    months = table(spark, sf, "orders").select("o_orderstatus", F.to_date(F.trunc("o_orderdate", "MM")).alias("recorded_at"), F.when((F.col("o_orderstatus") != "P") | (F.month("o_orderdate") != 4), month).otherwise(F.lit("later")).alias("mark")).distinct()
+    found = increment.decisions(months, ["o_orderstatus"], "mark", "recorded_at", pattern="%m/%Y")
+    fresh = increment.newer(months, "mark", "11/1996", "pattern:%m/%Y").select("o_orderstatus", "recorded_at", "mark", F.lit(True).alias("is_new"))
+    top = increment.max_checkpoint(months, "mark", ["o_orderstatus"], "%m/%Y").select("o_orderstatus", "kind", F.col("value").alias("greatest"))
+    return found.join(fresh, ["o_orderstatus", "recorded_at", "mark"], "left").join(top, "o_orderstatus").withColumn("is_new", F.coalesce("is_new", F.lit(False)))
+
+
+PATTERN_SQL = """WITH m AS (SELECT DISTINCT o_orderstatus, CAST(date_trunc('month', o_orderdate) AS DATE) AS recorded_at, CASE WHEN o_orderstatus != 'P' OR month(o_orderdate) != 4 THEN strftime(o_orderdate, '%m/%Y') ELSE 'later' END AS mark FROM orders),
+k AS (SELECT *, bool_or(mark = 'later') OVER (PARTITION BY o_orderstatus) AS is_text FROM m),
+t AS (SELECT *, CASE WHEN is_text THEN mark ELSE strftime(recorded_at, '%Y-%m') END AS key FROM k),
+w AS (SELECT *, max(key) OVER o AS top, arg_max(mark, key) OVER o AS previous_value FROM t WINDOW o AS (PARTITION BY o_orderstatus ORDER BY recorded_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT o_orderstatus, recorded_at, mark, previous_value, CASE WHEN top IS NULL OR key > top THEN 'advanced' WHEN key = top THEN 'reused' ELSE 'retained' END AS decision, mark = 'later' OR recorded_at > DATE '1996-11-01' AS is_new,
+CASE WHEN is_text THEN 'text' ELSE 'pattern' END AS kind, arg_max(mark, key) OVER (PARTITION BY o_orderstatus) AS greatest FROM w"""
+
+
 def marked_events(spark, sf):
     """Events with a checkpoint value as text: an instant for most types, a number for views, plain text for clicks."""
     events = table(spark, sf, "events")
@@ -128,13 +161,14 @@ FILTER_SQL = "SELECT event_id, CASE WHEN event_id % 50 != 0 THEN strftime(ts, '%
 
 
 def checkpoint_decisions(spark, sf):
-    """A user's daily maximum of the event value, as candidates for a checkpoint."""
-    daily = table(spark, sf, "events").groupBy("user_id", F.to_date("ts").alias("recorded_at")).agg(F.floor(F.max("value")).cast("long").alias("candidate"))
+    """A user's daily maximum of the event value, as candidates for a checkpoint; every thirteenth user is unknown."""
+    known = table(spark, sf, "events").withColumn("user_id", F.when(F.col("user_id") % 13 != 0, F.col("user_id")))
+    daily = known.groupBy("user_id", F.to_date("ts").alias("recorded_at")).agg(F.floor(F.max("value")).cast("long").alias("candidate"))
     given = daily.withColumn("candidate", F.when(F.col("candidate") % 11 != 0, F.col("candidate")).cast("string"))
     return increment.decisions(given, ["user_id"], "candidate", "recorded_at").select("user_id", "recorded_at", "candidate", "previous_value", "decision")
 
 
-DECISION_SQL = """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS recorded_at, CAST(floor(max(value)) AS BIGINT) AS c FROM events GROUP BY 1, 2),
+DECISION_SQL = """WITH d AS (SELECT CASE WHEN user_id % 13 != 0 THEN user_id END AS user_id, CAST(ts AS DATE) AS recorded_at, CAST(floor(max(value)) AS BIGINT) AS c FROM events GROUP BY 1, 2),
 g AS (SELECT user_id, recorded_at, CASE WHEN c % 11 != 0 THEN c END AS c FROM d),
 w AS (SELECT *, max(c) OVER (PARTITION BY user_id ORDER BY recorded_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM g)
 SELECT user_id, recorded_at, CAST(c AS VARCHAR) AS candidate, CAST(p AS VARCHAR) AS previous_value, CASE WHEN c IS NULL THEN 'skipped' WHEN p IS NULL OR c > p THEN 'advanced' WHEN c = p THEN 'reused' ELSE 'retained' END AS decision FROM w"""
@@ -216,21 +250,21 @@ SELECT g, path, version, ambiguous, 'latest' AS mode FROM r WHERE ambiguous OR i
 
 
 def latest_run(spark, sf):
-    runs = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.to_date("o_orderdate").alias("ingestion_date"), F.col("o_orderpriority").alias("run_id"))
+    runs = table(spark, sf, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("F")).alias("o_orderstatus"), F.to_date("o_orderdate").alias("ingestion_date"), F.col("o_orderpriority").alias("run_id"))
     return increment.latest_run(runs, ["o_orderstatus"])
 
 
-LATEST_RUN_SQL = """SELECT o_orderstatus, d AS ingestion_date, p AS run_id, o_orderkey FROM (SELECT o_orderkey, o_orderstatus, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS p FROM orders)
+LATEST_RUN_SQL = """SELECT o_orderstatus, d AS ingestion_date, p AS run_id, o_orderkey FROM (SELECT o_orderkey, nullif(o_orderstatus, 'F') AS o_orderstatus, CAST(o_orderdate AS DATE) AS d, o_orderpriority AS p FROM orders)
 QUALIFY (d, p) = max((d, p)) OVER (PARTITION BY o_orderstatus)"""
 
 QUERIES = {
-    "selected_files": selected_files,
+    "selected_files": selected_files, "offset_continuity": offset_continuity, "pattern_checkpoints": pattern_checkpoints,
     "day_windows": day_windows, "month_windows": month_windows, "format_dates": format_dates, "request_rows": request_rows, "distinct_inputs": distinct_inputs, "request_plan": request_plan,
     "request_params": request_params, "pending_requests": pending_requests, "page_continuity": page_continuity, "max_checkpoint": max_checkpoint, "incremental_filter": incremental_filter,
     "checkpoint_history": checkpoint_history, "resume_plan": resume_plan, "checkpoint_decisions": checkpoint_decisions, "stored_checkpoints": stored_checkpoints, "first_wins": first_wins, "latest_wins": latest_wins, "latest_version": latest_version, "latest_run": latest_run,
 }
 ORACLES = {
-    "selected_files": SELECTED_SQL,
+    "selected_files": SELECTED_SQL, "offset_continuity": OFFSET_SQL, "pattern_checkpoints": PATTERN_SQL,
     "day_windows": DAY_SQL, "month_windows": MONTH_SQL, "format_dates": FORMAT_SQL, "request_rows": ROWS_SQL, "distinct_inputs": ROWS_SQL.replace("SELECT", "SELECT DISTINCT"), "request_plan": PLAN_SQL,
     "request_params": PARAMS_SQL, "pending_requests": PENDING_SQL, "page_continuity": CONTINUITY_SQL, "max_checkpoint": MAX_SQL, "incremental_filter": FILTER_SQL,
     "checkpoint_history": HISTORY_SQL, "resume_plan": RESUME_SQL, "checkpoint_decisions": DECISION_SQL, "stored_checkpoints": STORED_SQL, "first_wins": FIRST_SQL, "latest_wins": LATEST_SQL, "latest_version": VERSION_SQL, "latest_run": LATEST_RUN_SQL,
