@@ -178,8 +178,8 @@ def verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
 def between_components(members: DataFrame, prints: DataFrame, held: DataFrame) -> DataFrame:
     """(a, b) candidates of large groups: ``members`` (key, fingerprint, label) of one key whose labels differ.
 
-    Pairs that share a rare shingle, one of at most ``RARE`` of these sets, meet on it.  What
-    others share is bounded by the rest of either set, which in a family of copies
+    Pairs that share rare shingles, of at most ``RARE`` of these sets, meet on them.  What
+    two sets share is bounded by these and the rest of either set, which in a family of copies
     excludes most pairs without a look at them.
     """
     counts = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -191,7 +191,7 @@ def between_components(members: DataFrame, prints: DataFrame, held: DataFrame) -
     rare = cut(owned.join(owners, "shingle"))
     shared = rare.where("owners > 1")
     left, right = (shared.select("shingle", F.col("fingerprint").alias(side), F.col("label").alias(f"label_{side}")) for side in "ab")
-    meeting = left.join(right, "shingle").where("a < b AND label_a != label_b").select("a", "b").distinct()
+    meeting = left.join(right, "shingle").where("a < b AND label_a != label_b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_rare"))
     common = (F.col("size") - F.coalesce("n_rare", F.lit(0))).alias("common")
     told = cut(prints.join(those.select("fingerprint"), "fingerprint", "left_semi").join(rare.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_rare")), "fingerprint", "left").select("fingerprint", "size", "signature", common))
     each = each.join(told, "fingerprint")
@@ -226,8 +226,11 @@ def between_components(members: DataFrame, prints: DataFrame, held: DataFrame) -
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
 
+    # rare shingles that both have, and the rest of either, are the most that two sets can share
+    of_side = lambda side: told.select(F.col("fingerprint").alias(side), F.col("size").alias(f"all_{side}"), F.col("common").alias(f"common_{side}"))
+    able_to = meeting.join(of_side("a"), "a").join(of_side("b"), "b").where("9L * least(n_rare + least(common_a, common_b), all_a, all_b) >= 4L * (all_a + all_b)").select("a", "b")
     unlike = outside.join(everyone, "key").select("key", "outside", "everyone").mapInArrow(of, "a long, b long")
-    return _ordered(near(prints, meeting).union(unlike))
+    return _ordered(near(prints, able_to).union(unlike))
 
 
 def links(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
