@@ -7,7 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import audit, documents, flatview, increment, lineage, publish, quality, requests
+from tidemark.operators import audit, documents, flatview, increment, lineage, publish, quality, requests, versioned
 from tidemark.plans.common import RUN
 from tidemark.sources import archives, links, scan, schema
 from tidemark.streaming.landing import load_available
@@ -55,13 +55,33 @@ def test_strict_schema_exempts_lineage():
 def test_publish_leaves_the_target_alone_when_the_gate_fails(spark, tmp_path):
     good, bad = spark.createDataFrame([(1,), (2,)], "id long"), spark.createDataFrame([(3,), (3,)], "id long")
     check = lambda df: quality.checks(df, ["id"], [["id"]])
-    at, staged = str(tmp_path / "t"), str(tmp_path / "s")
-    publish.publish(good, at, staged, check)
+    at = str(tmp_path / "t")
+    publish.publish(good, at, check)
+    first = versioned.current(spark, at)
     with pytest.raises(quality.QualityError):
-        publish.publish(bad, at, staged, check)
-    assert rows(spark.read.parquet(at)) == [(1,), (2,)]
-    written, report = publish.publish(bad, at, staged, check, warn_only=True)
-    assert written.records == 2 and spark.read.parquet(at).count() == 4 and quality.summary(report).first()["failed"] == 1
+        publish.publish(bad, at, check)
+    assert versioned.current(spark, at) == first and rows(versioned.read(spark, at)) == [(1,), (2,)]
+    assert not any("data-" in p.name and p.name not in first.folders for p in (tmp_path / "t").iterdir())
+    written, report = publish.publish(bad, at, check, warn_only=True)
+    assert written.records == 2 and versioned.read(spark, at).count() == 4 and quality.summary(report).first()["failed"] == 1
+    assert rows(versioned.read(spark, at, first)) == [(1,), (2,)]
+    assert publish.publish(good, at, check, name="n")[0].records == 2 and publish.publish(good, at, check, name="n")[0].records == 0
+    assert publish.reports(spark, at).where("outcome = 'failed'").count() == 2
+
+
+def test_two_writers_cannot_follow_the_same_version(spark, tmp_path):
+    at = str(tmp_path / "state")
+    runs = spark.createDataFrame([("a", "5", "2024-01-01", True), ("a", "9", "2024-01-02", False), (None, "3", "2024-01-01", True), ("b", None, "2024-01-01", True)], "source string, v string, at string, ok boolean")
+    made = increment.advance(spark, at, runs, ["source"], "v", "at", "ok")
+    state = lambda: rows(versioned.read(spark, at).select("source", "checkpoint"))
+    assert made.number == 1 and state() == [("a", "5"), (None, "3")]
+    later = spark.createDataFrame([("a", "7", "2023-01-01", True)], runs.schema)
+    increment.advance(spark, at, later, ["source"], "v", "at", "ok", after=made)
+    with pytest.raises(versioned.Conflict):
+        increment.advance(spark, at, later.withColumn("v", F.lit("99")), ["source"], "v", "at", "ok", after=made)
+    assert state() == [("a", "7"), (None, "3")]
+    increment.advance(spark, at, later.withColumn("v", F.lit("6")), ["source"], "v", "at", "ok")
+    assert state() == [("a", "7"), (None, "3")] and versioned.current(spark, at).number == 3
 
 
 def test_table_modes(spark):
@@ -347,4 +367,81 @@ def test_available_now_loads_each_file_once(spark, tmp_path):
     spark.range(5).write.parquet(at["landed"])
     assert load() == 5 and load() == 0
     spark.range(5, 8).write.mode("append").parquet(at["landed"])
-    assert load() == 3 and spark.read.parquet(at["loaded"]).distinct().count() == 8
+    assert load() == 3 and versioned.read(spark, at["loaded"]).distinct().count() == 8
+
+
+# -- payloads, hooks and archives of any size ------------------------------------------------
+
+
+def test_decoding_tells_what_is_broken(spark):
+    cases = [
+        ("text", "utf-8", "é".encode()), ("text", "utf-8", b"\xc3"), ("text", "us-ascii", b"ok"), ("text", "ascii", b"\x80"), ("text", "Latin-1 ", b"\xe9"), ("text", "utf-16le", "é\U0001f600".encode("utf-16-le")), ("text", "utf-16le", b"\x00\xd8"), ("text", "utf-16", b"\xff\xfe" + "a".encode("utf-16-le")),
+        ("text", "utf-16be", b"\x00"), ("text", None, b"x"), ("text", "utf-8", None), ("binary", "none", b"\x80"), ("odd", "utf-8", b"x"), ("json", "utf-8", b"\xef\xbb\xbf{\"a\":1}"), ("json", "utf-8", b'{"a":1} x'), ("json", "utf-8", b"1],[2"), ("json", "utf-8", b"1},{"), ("json", "utf-8", b""), ("jsonl", "utf-8", b"1\r\n\n{x\n[2]"), ("jsonl", "utf-8", b""),
+    ]
+    from tidemark.operators import payloads
+
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, kind string, charset string, content binary")
+    got = rows(payloads.decoded(df).select("i", "position", "text", F.to_json("document"), "error"))
+    assert got == sorted([
+        (0, 0, "é", None, None), (1, 0, None, None, "encoding"), (2, 0, "ok", None, None), (3, 0, None, None, "encoding"), (4, 0, "é", None, None), (5, 0, "é\U0001f600", None, None), (6, 0, None, None, "encoding"), (7, 0, "a", None, None),
+        (8, 0, None, None, "encoding"), (9, 0, None, None, "charset"), (10, 0, None, None, "encoding"), (11, 0, None, None, None), (12, 0, "x", None, "kind"), (13, 0, '{"a":1}', '{"a":1}', None), (14, 0, '{"a":1} x', None, "json"), (15, 0, "1],[2", None, "json"), (16, 0, "1},{", None, "json"), (17, 0, "", None, "json"),
+        (18, 1, "1", "1", None), (18, 3, "{x", None, "json"), (18, 4, "[2]", "[2]", None),
+    ], key=repr)
+
+
+def test_hooks_keep_what_their_family_keeps(spark):
+    from tidemark.operators.hooks import Hooks
+
+    known, df = Hooks(), spark.createDataFrame([(1, "u"), (2, "v")], "request_key int, url string")
+    known.register("request", "same")(lambda d: d)
+    known.register("request", "dropping")(lambda d: d.drop("url"))
+    known.register("request", "emptying")(lambda d: d.withColumn("request_key", F.nullif("request_key", F.lit(2))))
+    known.register("request", "halving")(lambda d: d.where("request_key = 1"))
+    known.register("plan", "halving")(lambda d: d.where("request_key = 1"))
+    stamped = lineage.stamp(df, RUN)
+    known.register("plan", "unstamping")(lambda d: d.drop("run_id"))
+    assert known.apply(df, "request", ["same"]).count() == 2 and known.apply(df, "plan", ["halving"]).count() == 1
+    for family, name, frame in (("request", "dropping", df), ("request", "absent", df), ("plan", "unstamping", stamped), ("request", "same", df.drop("url"))):
+        with pytest.raises(ValueError):
+            known.apply(frame, family, [name])
+    with pytest.raises(Exception, match="leaves request_key empty"):
+        known.apply(df, "request", ["emptying"]).collect()
+    with pytest.raises(ValueError, match="change the rows"):
+        known.checked(df, "request", ["halving"], ["request_key"])
+    with pytest.raises(ValueError, match="known already"):
+        known.register("plan", "halving")(lambda d: d)
+
+
+def test_archives_beyond_a_cell_are_read_in_several_tasks(spark, tmp_path):
+    import hashlib
+    import os
+
+    from tidemark.sources import archive_source
+
+    bodies = {f"m{i}.bin": os.urandom(3000) for i in range(40)} | {"empty": b"", "../up": b"x"}
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z, tarfile.open(tmp_path / "b.tar", "w") as t, tarfile.open(tmp_path / "c.tar.gz", "w:gz") as g:
+        for name, body in bodies.items():
+            z.writestr(name, body)
+            for out in (t, g):
+                info = tarfile.TarInfo(name)
+                info.size = len(body)
+                out.addfile(info, io.BytesIO(body))
+    (tmp_path / "d.zip").write_bytes((tmp_path / "a.zip").read_bytes()[:5000])
+    (tmp_path / "a.zip.sha256").write_text("x")
+    parts = archive_source.streamed_members(spark, str(tmp_path), cell=1000, span=10_000).withColumn("task", F.spark_partition_id()).collect()
+    for archive in ("a.zip", "b.tar", "c.tar.gz"):
+        mine = [p for p in parts if p.archive == archive]
+        for name, body in bodies.items():
+            each = sorted((p for p in mine if p.member == name), key=lambda p: p.part)
+            if name == "../up":
+                assert [p.error for p in each] == ["unsafe path"]
+                continue
+            assert b"".join(p.payload for p in each) == body and [p.part for p in each] == list(range(max(1, -(-len(body) // 1000))))
+            assert all(len(p.payload) <= 1000 and p.length == len(body) for p in each)
+            assert [p.checksum for p in each] == [None] * (len(each) - 1) + [hashlib.sha256(body).hexdigest()]
+        assert (len({p.task for p in mine}) > 5) == (archive != "c.tar.gz")
+    assert [(p.member, p.error) for p in parts if p.archive == "d.zip"] == [(None, "unreadable: BadZipFile")]
+    same = archives.members(spark.read.format("binaryFile").load(str(tmp_path / "b.tar")).select("path", "content"))
+    assert sorted((r.member, r.checksum) for r in same.where("error IS NULL").collect()) == sorted((p.member, p.checksum) for p in parts if p.archive == "b.tar" and p.checksum)
+    assert rows(archive_source.file_digests(spark, str(tmp_path)).select("length", "checksum")) == sorted(((p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in tmp_path.iterdir() if p.suffix != ".sha256"), key=repr)
+    assert archive_source.streamed_members(spark, str(tmp_path / "none"), 5, 5).count() == 0 if (tmp_path / "none").mkdir() is None else None

@@ -288,6 +288,17 @@ def meaningful(v: Column) -> Column:
     return v.isNotNull() & ~F.to_json(v).isin("null", '""', "[]", "{}")
 
 
+def strict_json(text: Column) -> Column:
+    """The VARIANT of a text that is one JSON value and nothing else; NULL for other texts.
+
+    Spark's parser stops after the first value, whatever follows.  A text that closes a list
+    around itself early breaks an object around itself, and the other way round, so that both must hold.
+    """
+    listed = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when((F.size(listed) == 1) & named.isNotNull(), F.try_parse_json(text))
+
+
 def canonical_json(text: Column) -> Column:
     """JSON text with sorted keys; NULL where it is malformed."""
     return F.to_json(F.try_parse_json(text))

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import field, first_non_blank, meaningful
+from tidemark.operators.increment import upsert
+from tidemark.sources.scan import page_number
 from tidemark.sources.shared import cut
 
 #: The keys under which a response holds its records.
@@ -323,6 +325,21 @@ def catalog_rows(entities: DataFrame) -> DataFrame:
     return entities.select(*[value(name).alias(name) for name in CATALOG_ROW])
 
 
+def merged(entities: DataFrame, order: Sequence[str], keys: Sequence[str] = ("entity_type", "entity_key")) -> DataFrame:
+    """Of entities that several pages have, the first in ``order`` (request, page, position).
+
+    An aggregation by key that carries the order's columns along, so that pages can
+    come in any sequence and nothing is sorted as a whole.
+    """
+    return upsert(entities, keys, [F.col(o) for o in order])
+
+
+def replayed(landed: DataFrame, variant: str = "metadata_catalog", levels: int | None = 1) -> DataFrame:
+    """The entities of landed pages (request_index, artifact, text), as the run that landed them had them: merged by request, page number and position."""
+    pages = parsed(landed.withColumn("page_number", page_number(F.col("artifact"))), "text").drop("text", "artifact")
+    return merged(entity_tree(pages, variant=variant, levels=levels), ["request_index", "page_number", "position"])
+
+
 def edges(entities: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """K6: what contains what, each pair once."""
     return entities.where("parent_entity_key IS NOT NULL").select(*carried, F.col("parent_entity_key").alias("parent_node_key"), F.col("entity_key").alias("child_node_key"), F.lit("contains").alias("relationship_type")).distinct()

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.values import aware_timestamp, checkpoint_key, checkpoint_kind, col, decimal_value, typed_order, version_token
+from tidemark.operators import versioned
 
 
 def _keys(by: Sequence[str]) -> list[Column]:
@@ -162,3 +165,26 @@ def current_checkpoints(history: DataFrame, by: Sequence[str], value: str) -> Da
 def last_discovered(files: DataFrame, keys: Sequence[str] = ("kind", "location"), order: str = "seq") -> DataFrame:
     """Of files found more than once, the last."""
     return upsert(files, keys, [col(order)], keep="latest")
+
+
+STATE = "checkpoint string, advanced_at timestamp"
+
+
+def next_state(state: DataFrame, candidates: DataFrame, by: Sequence[str], value: str, recorded_at: str, succeeded: str, pattern: str | None = None) -> DataFrame:
+    """M2: the checkpoints (``by``, checkpoint, advanced_at) after the runs of ``candidates``: only those that succeeded count."""
+    before = state.select(*[col(b) for b in by], F.col("checkpoint").alias("__value"), F.col("advanced_at").alias("__at"), F.lit(0).alias("__new"))
+    ended = candidates.where(F.coalesce(col(succeeded), F.lit(False)))
+    runs = ended.select(*[col(b) for b in by], col(value).cast("string").alias("__value"), col(recorded_at).cast("timestamp").alias("__at"), F.lit(1).alias("__new"))
+    # the stored value comes before all runs, whenever these are recorded
+    ordered = before.unionByName(runs).withColumn("recorded_at", F.struct("__new", "__at"))
+    return current_checkpoints(decisions(ordered, by, "__value", "recorded_at", pattern), by, "__value").select(*[col(b) for b in by], "checkpoint", F.col("advanced_at.__at").alias("advanced_at"))
+
+
+def advance(spark: SparkSession, root: str, candidates: DataFrame, by: Sequence[str], value: str, recorded_at: str, succeeded: str, pattern: str | None = None, after: versioned.Version | None = None) -> versioned.Version:
+    """M2: the next version of the state table at ``root``; ``versioned.Conflict`` if another writer has advanced it since ``after`` was read."""
+    base = after or versioned.current(spark, root)
+    kinds = StructType([candidates.schema[b] for b in by] + StructType.fromDDL(STATE).fields)
+    made = next_state(versioned.read(spark, root, base, kinds), candidates, by, value, recorded_at, succeeded, pattern)
+    folder = f"state-{base.number + 1}-{uuid.uuid4().hex}"
+    made.write.parquet(f"{root}/{folder}")
+    return versioned.commit(spark, root, base, [folder])

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.operators import lineage, publish, quality
-from tidemark.plans import document_queries, file_queries, quality_queries, request_queries
+from tidemark.operators import lineage, publish, quality, versioned
+from tidemark.plans import document_queries, file_queries, quality_queries, request_queries, state_queries
 from tidemark.plans.common import RUN, scratch, table
 
-MODULES = (quality_queries, request_queries, document_queries, file_queries)
+MODULES = (quality_queries, request_queries, document_queries, file_queries, state_queries)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
 
@@ -18,5 +18,5 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = scratch(spark)
     stamped = lineage.stamp(table(spark, sf_dir, "orders"), RUN)
     required = ["o_orderkey", "o_custkey", "o_orderdate"]
-    publish.publish(stamped, f"{at}/orders", f"{at}/staged", lambda df: quality.checks(df, required, [["o_orderkey"]], outputs=True), mode="overwrite", partition_by=["ingestion_date"])
-    return spark.read.parquet(f"{at}/orders")
+    publish.publish(stamped, f"{at}/orders", lambda df: quality.checks(df, required, [["o_orderkey"]], outputs=True), mode="overwrite", partition_by=["ingestion_date"])
+    return versioned.read(spark, f"{at}/orders")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.values import disposition_filename, file_format, identifier, is_direct_file, path_segment, redacted_url, type_format, url_filename
-from tidemark.operators import audit, increment, publish
+from tidemark.operators import audit, increment, publish, versioned
 from tidemark.plans.common import scratch, table
 from tidemark.sources import archives, links, scan, schema
 from tidemark.streaming.landing import load_available
@@ -272,7 +272,7 @@ def available_now_load(spark, sf):
         if part:
             publish.write_path(events.where(part), f"{at}/landed", mode="append")
         counts.append(load())
-    loaded = spark.read.parquet(f"{at}/loaded")
+    loaded = versioned.read(spark, f"{at}/loaded")
     return loaded.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("event_id").alias("n_ids")).select("*", *[F.lit(n).cast("long").alias(f"load_{i}") for i, n in enumerate(counts, 1)])
 
 
@@ -292,7 +292,7 @@ WHERE href != '' AND NOT regexp_matches(lower(href), '^(#|javascript:|mailto:)')
 def landed_inventory(spark, sf):
     """The files of a partitioned write, by format, with their bytes read back: rows of each partition."""
     at = scratch(spark)
-    publish.write_path(table(spark, sf, "orders").repartition("o_orderstatus"), f"{at}/orders", partition_by=["o_orderstatus"])
+    publish.write_path(table(spark, sf, "orders"), f"{at}/orders", partition_by=["o_orderstatus"])
     files = scan.inventory(spark, f"{at}/orders", "*.parquet")
     status = F.regexp_extract("path", "o_orderstatus=([A-Z])", 1)
     held = spark.read.parquet(f"{at}/orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
