@@ -133,3 +133,10 @@ def test_references_count_everything(spark):
         words = [w for t in texts[lang] for w in op.plain_words(t)]
         assert found.counts[row].sum() == len(words)
         assert all(found.counts[row, i] == words.count(w) for w, i in found.bins.items())
+
+
+def test_partitions_do_not_matter(spark):
+    """One and sixteen parts of the input give equal rows."""
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    one, many = (rows(op.judge(docs.repartition(n)), "doc_id", "kept", "js_classes", "js_words") for n in (1, 16))
+    assert one == many

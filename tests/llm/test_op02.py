@@ -93,3 +93,17 @@ def test_whole_table(spark):
     masked = op.mask(table(spark, SF, "documents"))
     assert not any(brute(r.text) for r in masked.collect())
     assert masked.where("n_chars != length(text)").count() == 0
+
+
+def test_many_spans_take_time_in_proportion():
+    import time
+
+    text = " ".join(f"a{i}@b.example or a{i} at b dot example or +1 555 01{i:06d} or 555-01{i:06d}" for i in range(50_000))
+    base = op.base_spans(text)
+    assert len(base) >= 100_000
+    began = time.time()
+    found = op.candidates(text, base)
+    assert len(found) >= 150_000 and time.time() - began < 10
+    # a long span that starts well before keeps what lies in it from being a candidate
+    covered = op.candidates("x" * 10 + " 12 34 56 78 90 12 34 56", [(0, 0, 34), (1, 2, 3), (1, 4, 5), (1, 6, 7)])
+    assert [n for n in covered if n[0] == op.NONE] == []

@@ -4,6 +4,7 @@ import base64
 import functools
 import itertools
 import math
+import random
 import re
 import zlib
 
@@ -139,3 +140,30 @@ def test_the_held_out_fold_and_other_columns_teach_nothing(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     changed = docs.selectExpr("doc_id", "text", "IF(crc32(CAST(doc_id AS string)) % 4 = 2, 'xx', lang) AS lang", "'z' AS source", "0L AS n_chars")
     assert rows(op.predict(changed), *COLUMNS) == rows(op.predict(docs), *COLUMNS)
+
+
+def long_words():
+    rng = random.Random(6)
+    letters = [chr(c) for c in rng.sample(range(0x4E00, 0x9FA5), 300)]
+    return [w.encode() for w in ("".join(rng.choices(letters, k=500)), "".join(rng.choices("abcdefghij", k=3000)), "the" * 200 + "".join(rng.choices(letters, k=200)), "x" * 2500, "".join(rng.choices(letters + list("aeiou"), k=900)))]
+
+
+def test_long_words_score_as_they_do_whole():
+    trie, rng = op.trie_of(op.vocabulary_path()), np.random.default_rng(2)
+    logs = np.log(rng.dirichlet(np.ones(trie.size), 4)).T
+    words = long_words()
+    whole = np.stack([op._alone(trie, logs, w) for w in words])
+    assert np.allclose(op.word_scores(trie, logs, [b"short", *words, b"words"])[1:-1], whole, rtol=1e-9)
+
+
+def test_a_megabyte_without_spaces_takes_seconds():
+    import time
+
+    trie, rng = op.trie_of(op.vocabulary_path()), random.Random(3)
+    logs = np.log(np.random.default_rng(2).dirichlet(np.ones(trie.size), 4)).T
+    word = "".join(rng.choices([chr(c) for c in range(0x4E00, 0x5E00)], k=350_000)).encode()
+    began = time.time()
+    assert np.isfinite(op.word_scores(trie, logs, [word])).all()
+    took = time.time() - began
+    print(len(word), took)
+    assert took < 6

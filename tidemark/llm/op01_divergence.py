@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm.common import cut, table
 
 MIN_WORDS, MAX_REPEATED = 50, 0.5
 LEAST_WORDS = 50
@@ -46,6 +46,8 @@ FAR_CLASSES, FAR_WORDS = 0.28, 0.28
 UNKNOWN = 0.9
 LEAST_DOCS = 20
 MOST_LANGS = 1_000
+#: Words that reach ``HEAVY`` in some part of the corpus, at most; counted exactly in every task.
+MOST_CANDIDATES = 2_000_000
 #: Words of a part of the corpus that are counted before it is written out.
 _PART = 200_000
 
@@ -186,8 +188,27 @@ def references(docs: DataFrame) -> References:
                     yield part()
         yield part()
 
-    # a part has at most 1 / HEAVY words for each language
-    candidates = named.where(F.col("lang").isin(langs)).mapInArrow(heavy, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    # a part has at most 1 / HEAVY words for each language; a word that is so frequent over all is so in some part
+    partial = named.where(F.col("lang").isin(langs)).mapInArrow(heavy, "lang string, word binary, n long").select("word").distinct()
+    found = [bytes(r["word"]) for r in partial.take(MOST_CANDIDATES + 1)]
+    if len(found) > MOST_CANDIDATES:
+        raise ValueError(f"more than {MOST_CANDIDATES} words are frequent in a part of the corpus")
+    sought = docs.sparkSession.sparkContext.broadcast(frozenset(found))
+
+    def exact(batches):
+        counts, sizes = {}, Counter()
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = plain_words(text)
+                counts.setdefault(lang, Counter()).update(filter(sought.value.__contains__, words))
+                sizes[lang] += len(words)
+        rows = [(lang, w, n) for lang, words in counts.items() for w, n in words.items()] + [(lang, None, n) for lang, n in sizes.items()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, (pa.string(), pa.binary(), pa.int64()))], ["lang", "word", "n"])
+
+    # what is chosen rests on these counts alone, however the input is split
+    counted = cut(named.where(F.col("lang").isin(langs)).mapInArrow(exact, "lang string, word binary, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    all_words = counted.where("word IS NULL").select("lang", F.col("n").alias("n_all"))
+    candidates = counted.where("word IS NOT NULL").join(F.broadcast(all_words), "lang").where(F.col("n") >= HEAVY * F.col("n_all"))  # a row for each language
     # first the most frequent of each of 64 parts of the words, then of these
     best = lambda df, *by: df.withColumn("rank", F.row_number().over(W.partitionBy(*by).orderBy(F.desc("n"), "word"))).where(F.col("rank") <= COMMON)
     chosen = best(best(candidates.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(64))), "lang", "part"), "lang").select("word").distinct()

@@ -30,7 +30,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -92,13 +94,15 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     """(label, start, end) in order: base spans with their kind, and what looks alike outside them with ``NONE``."""
     nodes = [(k, a, b) for k, a, b in base]
     taken = sorted((a, b) for _, a, b in base)
+    starts, furthest = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     numbers, spelt = re.search(r"[0-9]{2}|[0-9][\x20().-]{1,2}[0-9]", text), "dot" in text or "DOT" in text
     for pattern, worthwhile in zip(CANDIDATES, (numbers, spelt)):
         if worthwhile:
             for m in pattern.finditer(text):
                 a, b = m.span()
-                i = np.searchsorted([t[0] for t in taken], b) if taken else 0
-                if not any(x < b and a < y for x, y in taken[max(0, i - 2) : i]):
+                # of the spans that start before its end, does the furthest reach into it?
+                i = bisect_left(starts, b)
+                if not i or furthest[i - 1] <= a:
                     nodes.append((NONE, a, b))
     return sorted(nodes, key=lambda n: (n[1], n[2], n[0]))
 

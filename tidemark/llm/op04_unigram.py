@@ -42,7 +42,8 @@ from tidemark.llm.wordcounts import Numbered, letter_words, sum_by_doc
 DOCS_PER_LANG, CHARS_PER_LANG, CHARS_PER_DOC = 2_000, 8_000_000, 1_000_000
 MOST_LANGS = 1_000
 ROUNDS = 4
-#: Bytes of words of about one length that go through the forward pass together; longer words go alone, byte by byte.
+#: Bytes of words of about one length that go through the forward pass together; from how many bytes words are cut into
+#: segments, and a segment that cannot be cut goes alone, byte by byte.
 _MATRIX, _ALONE = 400_000, 400
 FOLD = (4, 2)
 _SMOOTHING = 0.05
@@ -121,10 +122,35 @@ def spans(trie: Trie, codes: np.ndarray):
                 yield start, end, rows[there], piece[there]
 
 
-def _alone(trie: Trie, logs: np.ndarray, word: bytes) -> np.ndarray:
-    """log P(word) by language of one long word; only the sums that a piece can still reach are kept."""
-    codes, depth = trie.code[np.frombuffer(b" " + word, np.uint8)], trie.depth
-    step, pieces, inner = trie.step, trie.piece, trie.inner
+def _forward(trie: Trie, logs: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """log P by language of each row of codes, padded with 0."""
+    alpha = np.full((codes.shape[1] + 1, len(codes), logs.shape[1]), -np.inf)
+    alpha[0] = 0
+    for start, end, at, piece in spans(trie, codes):
+        alpha[end, at] = np.logaddexp(alpha[end, at], alpha[start, at] + logs[piece])
+    return alpha[(codes > 0).sum(1), np.arange(len(codes))]
+
+
+def segments(trie: Trie, codes: np.ndarray) -> list[np.ndarray]:
+    """A long word cut wherever no piece lies across, so that log P of the word is the sum of its segments'."""
+    n, rows, node = len(codes), np.arange(len(codes)), np.ones(len(codes), np.int32)
+    across = np.zeros(n + 1, np.int64)
+    for length in range(1, trie.depth + 1):
+        inside = rows + length <= n
+        rows, node = rows[inside], node[inside]
+        node = trie.walk(node, codes[rows + length - 1])
+        rows, node = rows[node > 0], node[node > 0]
+        if not len(rows):
+            break
+        starts = rows[trie.piece[node] < trie.size]
+        across += np.bincount(starts + 1, minlength=n + 1)[: n + 1] - np.bincount(starts + length, minlength=n + 1)
+    return np.split(codes, np.flatnonzero(np.cumsum(across)[1:n] == 0) + 1)
+
+
+def _alone(trie: Trie, logs: np.ndarray, word: bytes = b"", codes: np.ndarray | None = None) -> np.ndarray:
+    """log P by language of one word, or of the codes of a segment; only the sums that a piece can still reach are kept."""
+    codes = trie.code[np.frombuffer(b" " + word, np.uint8)] if codes is None else codes
+    depth, step, pieces, inner = trie.depth, trie.step, trie.piece, trie.inner
     ahead = np.full((depth + 1, logs.shape[1]), -np.inf)
     ahead[0] = 0
     for start in range(len(codes)):
@@ -140,18 +166,35 @@ def _alone(trie: Trie, logs: np.ndarray, word: bytes) -> np.ndarray:
     return ahead[len(codes) % (depth + 1)]
 
 
+def long_scores(trie: Trie, logs: np.ndarray, words: list[bytes]) -> np.ndarray:
+    """log P by language of long words: by their segments, equal ones once, short ones together."""
+    numbers: dict[bytes, int] = {}
+    made = [[numbers.setdefault(s.tobytes(), len(numbers)) for s in segments(trie, trie.code[np.frombuffer(b" " + w, np.uint8)])] for w in words]
+    each, scores = [*numbers], np.zeros((len(numbers), logs.shape[1]))
+    by_length: dict[int, list[int]] = {}
+    for i, s in enumerate(each):
+        by_length.setdefault(-(-len(s) // 4) * 4, []).append(i)
+    for length, members in by_length.items():
+        if length >= _ALONE:
+            for i in members:
+                scores[i] = _alone(trie, logs, codes=np.frombuffer(each[i], np.uint8))
+            continue
+        for at in range(0, len(members), -(-_MATRIX // length)):
+            part = members[at : at + -(-_MATRIX // length)]
+            flat = b"".join(each[i].ljust(length, b"\0") for i in part)
+            scores[part] = _forward(trie, logs, np.frombuffer(flat, np.uint8).reshape(len(part), length))
+    return np.stack([(np.bincount(m, minlength=len(each))[:, None] * scores).sum(0) if len(m) > len(each) else scores[m].sum(0) for m in made])
+
+
 def word_scores(trie: Trie, logs: np.ndarray, words: list[bytes]) -> np.ndarray:
     """log P(word) by language; ``logs`` has a row for each piece and a column for each language."""
     out = np.zeros((len(words), logs.shape[1]))
     short = [i for i, w in enumerate(words) if len(w) < _ALONE]
-    for i in set(range(len(words))).difference(short) if len(short) < len(words) else ():
-        out[i] = _alone(trie, logs, words[i])
+    if len(short) < len(words):
+        long = [i for i, w in enumerate(words) if len(w) >= _ALONE]
+        out[long] = long_scores(trie, logs, [words[i] for i in long])
     for rows, codes in matrices(trie, [words[i] for i in short]):
-        alpha = np.full((codes.shape[1] + 1, len(rows), logs.shape[1]), -np.inf)
-        alpha[0] = 0
-        for start, end, at, piece in spans(trie, codes):
-            alpha[end, at] = np.logaddexp(alpha[end, at], alpha[start, at] + logs[piece])
-        out[np.array(short)[rows]] = alpha[(codes > 0).sum(1), np.arange(len(rows))]
+        out[np.array(short)[rows]] = _forward(trie, logs, codes)
     return out
 
 
