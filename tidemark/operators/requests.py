@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.values import col, field, strftime
+from tidemark.sources.shared import cut
 
 #: Rows up to which the smaller side of a request product may be; it is checked before it is sent to all tasks.
 SMALL_SIDE = 100_000
@@ -24,6 +25,21 @@ def request_rows(df: DataFrame, fields: Mapping[str, str], distinct: bool = Fals
     return rows.orderBy(*[F.asc_nulls_first(n) for n in fields]) if ordered else rows
 
 
+def numbered(rows: DataFrame, fields: Sequence[str], index: str = "request_index") -> DataFrame:
+    """Request rows with their number from 1 in order of ``fields``, NULLs first.
+
+    Rows are ranked within the ranges of a sort, and the ranges' counts, a few numbers, are
+    added up: no single task sees all rows, as a window without partitions would have it.
+    """
+    ordered = rows.repartitionByRange(*[F.asc_nulls_first(f) for f in fields]).sortWithinPartitions(*[F.asc_nulls_first(f) for f in fields])
+    # the place within a partition follows its order; equal rows may be in any
+    placed = cut(ordered.withColumn("__at", F.monotonically_increasing_id())).withColumn("__part", F.shiftright("__at", 33))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.select("__part", F.coalesce(F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__before"))  # a row for each partition
+    number = F.col("__before") + F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(F.broadcast(before), "__part").select(number.alias(index), *[col(c) for c in rows.columns])
+
+
 def day_windows(df: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """A row for each day from start to end, both included; none if the start is later, or either is NULL."""
     days = df.where(F.col(start) <= F.col(end)).withColumn("day", F.explode(F.sequence(F.to_date(start), F.to_date(end), F.expr("INTERVAL 1 DAY"))))

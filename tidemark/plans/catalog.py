@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import lineage, publish, quality, versioned
-from tidemark.plans import document_queries, file_queries, quality_queries, request_queries, state_queries
+from tidemark.plans import document_queries, file_queries, quality_queries, request_queries, state_queries, zone_queries
 from tidemark.plans.common import RUN, scratch, table
 
-MODULES = (quality_queries, request_queries, document_queries, file_queries, state_queries)
+MODULES = (quality_queries, request_queries, document_queries, file_queries, state_queries, zone_queries)
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
 
