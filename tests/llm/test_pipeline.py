@@ -8,26 +8,25 @@ from tests.conftest import SF
 from tests.llm.helpers import odd
 from tests.llm.test_op02 import brute as personal
 from tests.llm.test_op06 import brute as leaks
-from tests.llm.test_near_copies import brute as near_pairs
-from tests.llm.test_near_copies import shingled
+from tests.llm.test_op11 import linked, shingled
 from tidemark.llm import op03_slack
 from tidemark.llm.common import table
 
 
 def first_of_components(docs):
     """The least id of each component of equal word lists and of five-word similarity of 0.8 or more."""
-    parent = {shingled(d.text)[0]: shingled(d.text)[0] for d in docs}
+    parent = {shingled(d.text, 5): shingled(d.text, 5) for d in docs}
 
     def root(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    for a, b in near_pairs([d.text for d in docs]):
+    for a, b in linked([d.text for d in docs], 5):
         parent[root(a)] = root(b)
     first = {}
     for d in docs:
-        label = root(shingled(d.text)[0])
+        label = root(shingled(d.text, 5))
         first[label] = min(d.doc_id, first.get(label, d.doc_id))
     return first.values()
 
