@@ -47,7 +47,7 @@ FAR = 24
 PAIRED, BLOCK = 48, 256
 #: Sets of large groups that share a shingle, up to which they are paired up on it.
 RARE = 128
-_MINIMA, _PART, _REMEMBERED = CHUNKS * WIDTH, 1 << 13, 400_000
+_MINIMA, _PART, _REMEMBERED = CHUNKS * WIDTH, 1 << 13, 200_000
 _RNG = np.random.default_rng(11)
 _FLIPS = _RNG.integers(0, 1 << 64, _MINIMA, np.uint64)
 _ODD = _RNG.integers(0, 1 << 64, _MINIMA, np.uint64) | np.uint64(1)
@@ -103,12 +103,19 @@ def _as_signatures(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint16).reshape(-1, _MINIMA)
 
 
+def sliced(batches, rows: int = 512):
+    """Batches of fewer rows, so that only their texts' words and shingles are held at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, text_hash, fingerprint, size, signature) per row; the fingerprint names the set of shingles."""
 
     def of(batches):
         hashes = Hashes()
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingles(t, hashes, words) for t in batch.column(2).to_pylist()]
             prints = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, len(sets))
             made = [pa.array(prints.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([signature(s).tobytes() for s in sets], pa.binary())]
@@ -152,7 +159,7 @@ def full_sets(docs: DataFrame, rows: DataFrame, needed: DataFrame, words: int) -
 
     def of(batches):
         hashes = Hashes()
-        for batch in batches:
+        for batch in sliced(batches):
             found = [shingles(t, hashes, words) for t in batch.column(0).to_pylist()]
             named = [xxhash.xxh64_intdigest(s.tobytes()) for s in found]
             yield pa.RecordBatch.from_arrays([pa.array(np.array(named, np.uint64).view(np.int64)), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))], ["fingerprint", "shingles"])
