@@ -10,31 +10,31 @@ from tidemark.plans.common import table
 
 
 def wrapped_events(spark, sf):
-    """A response for each user: the events' properties as records, in one of three envelopes."""
-    events = table(spark, sf, "events")
+    """Responses of a thousand event ids of a user each: the events' properties as records, in one of three envelopes."""
+    events = table(spark, sf, "events").withColumn("page", F.expr("event_id DIV 1000"))
     items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", "props"))), lambda e: F.concat(F.lit('{"id":'), e["event_id"].cast("string"), F.lit(',"props":'), e["props"], F.lit("}"))), ",")
-    by_user = events.groupBy("user_id").agg(items.alias("items"))
+    by_user = events.groupBy("user_id", "page").agg(items.alias("items"))
     array = F.concat(F.lit("["), "items", F.lit("]"))
     text = F.when(F.col("user_id") % 3 == 0, array).when(F.col("user_id") % 3 == 1, F.concat(F.lit('{"count":1,"records":'), array, F.lit("}"))).otherwise(F.concat(F.lit('{"data":'), array, F.lit(',"next":null}')))
-    return documents.parsed(by_user.select("user_id", text.alias("text")), "text").drop("text")
+    return documents.parsed(by_user.select("user_id", "page", text.alias("text")), "text").drop("text")
 
 
 def document_records(spark, sf):
     each = documents.records(wrapped_events(spark, sf))
-    return each.select("user_id", "record_index", field(F.col("record"), "id", "bigint").alias("event_id"), field(F.col("record"), "props.k", "bigint").alias("k"))
+    return each.select("user_id", "page", "record_index", field(F.col("record"), "id", "bigint").alias("event_id"), field(F.col("record"), "props.k", "bigint").alias("k"))
 
 
-RECORDS_SQL = """SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS record_index, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"""
+RECORDS_SQL = """SELECT user_id, event_id // 1000 AS page, CAST(row_number() OVER (PARTITION BY user_id, event_id // 1000 ORDER BY event_id) - 1 AS INTEGER) AS record_index, event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events"""
 
 
 def transform_hooks(spark, sf):
     """Records that a hook has filtered before they are used: those of the even keys."""
     even = lambda df: df.where(field(F.col("record"), "id", "bigint") % 2 == 0)
     each = documents.records(wrapped_events(spark, sf), transform=even)
-    return each.select("user_id", "record_index", field(F.col("record"), "id", "bigint").alias("event_id"))
+    return each.select("user_id", "page", "record_index", field(F.col("record"), "id", "bigint").alias("event_id"))
 
 
-HOOKS_SQL = f"SELECT user_id, record_index, event_id FROM ({RECORDS_SQL}) WHERE event_id % 2 = 0"
+HOOKS_SQL = f"SELECT user_id, page, record_index, event_id FROM ({RECORDS_SQL}) WHERE event_id % 2 = 0"
 
 
 def first_non_blank_query(spark, sf):
@@ -84,19 +84,19 @@ strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page), '%Y-%m-%dT%H:%M:%S+
 
 
 def generic_batches(spark, sf):
-    """Collections of no kind, one for each user: their type is that of the first five records; events without a second property give no hint."""
-    events = table(spark, sf, "events")
+    """Collections of no kind, of a thousand event ids of a user each: their type is that of the first five records; other events give no hint."""
+    events = table(spark, sf, "events").withColumn("page", F.expr("event_id DIV 1000"))
     mime = F.when(F.col("event_type") == "click", ',"mimetype":"a/b","format":"csv"').when(F.col("event_type") == "view", ',"notes":"n"').otherwise("")
     item = F.struct("event_id", F.concat(F.lit('{"id":"e'), F.col("event_id").cast("string"), F.lit('"'), mime, F.lit("}")).alias("text"))
-    made = events.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda e: e["text"]), ",").alias("items"))
-    pages = documents.parsed(made.select("user_id", F.concat(F.lit('{"results":['), "items", F.lit("]}")).alias("text")), "text").drop("text")
+    made = events.groupBy("user_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda e: e["text"]), ",").alias("items"))
+    pages = documents.parsed(made.select("user_id", "page", F.concat(F.lit('{"results":['), "items", F.lit("]}")).alias("text")), "text").drop("text")
     tree = documents.entity_tree(pages, levels=1)
-    return tree.groupBy("user_id", "entity_type").agg(F.count(F.lit(1)).alias("n_entities"))
+    return tree.groupBy("user_id", "page", "entity_type").agg(F.count(F.lit(1)).alias("n_entities"))
 
 
-GENERIC_SQL = """WITH e AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
-s AS (SELECT user_id, count(*) AS n_entities, coalesce(sum(2) FILTER (event_type = 'click' AND i <= 5), 0) AS resource, coalesce(sum(1) FILTER (event_type = 'view' AND i <= 5), 0) AS dataset FROM e GROUP BY 1)
-SELECT user_id, CASE WHEN resource > dataset THEN 'resource' ELSE 'dataset' END AS entity_type, n_entities FROM s"""
+GENERIC_SQL = """WITH e AS (SELECT user_id, event_id // 1000 AS page, event_type, row_number() OVER (PARTITION BY user_id, event_id // 1000 ORDER BY event_id) AS i FROM events),
+s AS (SELECT user_id, page, count(*) AS n_entities, coalesce(sum(2) FILTER (event_type = 'click' AND i <= 5), 0) AS resource, coalesce(sum(1) FILTER (event_type = 'view' AND i <= 5), 0) AS dataset FROM e GROUP BY 1, 2)
+SELECT user_id, page, CASE WHEN resource > dataset THEN 'resource' ELSE 'dataset' END AS entity_type, n_entities FROM s"""
 
 
 def entity_counts(spark, sf):

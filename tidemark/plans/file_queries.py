@@ -171,20 +171,23 @@ JSON_SQL = "SELECT o_orderstatus, o_orderpriority, count(*) AS n_rows, CAST(sum(
 
 
 def json_documents_read(spark, sf):
-    """Orders as documents that span lines, a hundred records in each, read back whole and as tables of an inventory."""
+    """Orders as documents that span lines, a hundred records in each, read back whole, as a table of their type, and as the table of an inventory's files."""
     df, at = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus"), scratch(spark)
     page = F.col("o_orderkey") - F.col("o_orderkey") % 100
     records = F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderstatus")))
     pages = df.groupBy(page.alias("page")).agg(F.to_json(F.struct(records.alias("records")), {"pretty": "true"}).alias("value"))
-    pages.select("page", "value").write.partitionBy("page").option("lineSep", "\n").text(f"{at}/pages")
+    # a file for each document, in at most a thousand folders
+    pages.select((F.col("page") % 1000).alias("folder"), "value").write.partitionBy("folder").option("maxRecordsPerFile", 1).option("lineSep", "\n").text(f"{at}/pages")
     kind = "records array<struct<o_orderkey:bigint,o_orderstatus:string>>"
     whole = scan.read_documents(spark, [f"{at}/pages"]).select(F.explode(F.from_json("text", kind)["records"]).alias("r"))
     typed = scan.read_paths(spark, [f"{at}/pages"], "json", StructType.fromDDL(kind)).select(F.explode("records").alias("r"))
+    files = scan.inventory(spark, f"{at}/pages", "part-*").withColumn("format", F.lit("json"))
+    listed = scan.read_inventory(files, "json", StructType.fromDDL(kind)).select(F.explode("records").alias("r"))
     count = lambda rows, name: rows.groupBy(F.col("r.o_orderstatus").alias("o_orderstatus")).agg(F.count(F.lit(1)).alias(name), F.sum("r.o_orderkey").alias(f"sum_{name}"))
-    return count(whole, "whole").join(count(typed, "typed"), "o_orderstatus")
+    return count(whole, "whole").join(count(typed, "typed"), "o_orderstatus").join(count(listed, "listed"), "o_orderstatus")
 
 
-DOCUMENTS_SQL = "SELECT o_orderstatus, count(*) AS whole, CAST(sum(o_orderkey) AS BIGINT) AS sum_whole, count(*) AS typed, CAST(sum(o_orderkey) AS BIGINT) AS sum_typed FROM orders GROUP BY 1"
+DOCUMENTS_SQL = "SELECT o_orderstatus, count(*) AS whole, CAST(sum(o_orderkey) AS BIGINT) AS sum_whole, count(*) AS typed, CAST(sum(o_orderkey) AS BIGINT) AS sum_typed, count(*) AS listed, CAST(sum(o_orderkey) AS BIGINT) AS sum_listed FROM orders GROUP BY 1"
 
 
 def rehydrated(spark, sf):
