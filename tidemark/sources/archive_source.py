@@ -2,8 +2,9 @@
 
 A file read as one cell can hold 2 GB at most, and is one task's.  The data sources here
 list a folder's files on the driver, as any file source does, and read them in
-tasks: zip archives, and tar archives that are not compressed, in byte ranges, each
-task taking the members whose headers lie in its own; payloads in parts of bounded size.
+tasks: zip archives, and tar archives that are not compressed, in byte ranges, in which
+the members' headers lie; payloads in parts of bounded size.  A task takes one range,
+or several where they are small and many, so that the tasks do not grow with the files.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import tarfile
 import zipfile
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -24,6 +26,10 @@ MEMBER_PARTS = "archive string, member string, part int, length long, checksum s
 DIGESTS = "path string, length long, checksum string"
 #: Bytes of a payload's part, of an archive's range, and of a read.
 CELL, RANGE, READ = 64 << 20, 256 << 20, 1 << 20
+#: Small ranges are put together into tasks of up to so many bytes, if that leaves so many tasks.
+TASK_BYTES, TASKS = 32 << 20, 64
+#: Rows, and about the bytes of payloads, that are handed to Spark together.
+BATCH_ROWS, BATCH_BYTES = 4096, 8 << 20
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -43,24 +49,48 @@ class Range(InputPartition):
         self.path, self.start, self.end = path, start, end
 
 
+class Task(InputPartition):
+    def __init__(self, ranges: list[Range]):
+        self.ranges = ranges
+
+
+def tasks(ranges: list[Range]) -> list[Task]:
+    """The ranges, in order, as tasks: small ones together, those of one file that follow each other as one."""
+    most = min(TASK_BYTES, sum(r.end - r.start for r in ranges) // TASKS)
+    made, held = [], 0
+    for r in ranges:
+        size = r.end - r.start
+        if not made or held + size > most:
+            made.append(Task([]))
+            held = 0
+        mine = made[-1].ranges
+        if mine and (mine[-1].path, mine[-1].end) == (r.path, r.start):
+            mine[-1] = Range(r.path, mine[-1].start, r.end)
+        else:
+            mine.append(r)
+        held += size
+    return made
+
+
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.uri, self.cell, self.range = options["path"], int(options.get("cellBytes", CELL)), int(options.get("rangeBytes", RANGE))
 
 
 class MemberReader(_Reader):
-    def partitions(self) -> list[Range]:
+    def partitions(self) -> list[Task]:
         made = []
         for path, size in _files(self.uri):
             if re.search(ARCHIVES, path.lower()):
                 # a compressed tar can be read from its start only
                 step = size or 1 if re.search(r"gz$", path.lower()) else self.range
-                made += [Range(path, at, at + step) for at in range(0, max(size, 1), step)]
-        return made or [Range("", 0, 0)]
+                made += [Range(path, at, min(at + step, max(size, 1))) for at in range(0, max(size, 1), step)]
+        return tasks(made) or [Task([])]
 
-    def read(self, partition: Range) -> Iterator[tuple]:
-        if not partition.path:
-            return
+    def read(self, partition: Task) -> Iterator[pa.RecordBatch]:
+        return batched((row for r in partition.ranges for row in self._range(r)), _SCHEMA)
+
+    def _range(self, partition: Range) -> Iterator[tuple]:
         name = re.sub(".*/", "", partition.path)
         with file_system(self.uri)[0].open_input_file(partition.path) as stream:
             try:
@@ -90,6 +120,23 @@ class MemberReader(_Reader):
             yield archive, member, part, None, None, None, f"unreadable: {type(broken).__name__}"
 
 
+_SCHEMA = pa.schema([("archive", pa.string()), ("member", pa.string()), ("part", pa.int32()), ("length", pa.int64()), ("checksum", pa.string()), ("payload", pa.binary()), ("error", pa.string())])
+
+
+def batched(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The rows as batches of bounded rows and payload bytes."""
+    held, size = [], 0
+    batch = lambda: pa.RecordBatch.from_arrays([pa.array(column, f.type) for column, f in zip(zip(*held), schema)], schema=schema)
+    for row in rows:
+        held.append(row)
+        size += len(row[5] or b"")
+        if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
 def _members(partition: Range, stream) -> Iterator[tuple]:
     """(name, size, how to open) of the members whose headers lie in the range."""
     mine = lambda at: partition.start <= at < partition.end
@@ -109,18 +156,18 @@ def _members(partition: Range, stream) -> Iterator[tuple]:
 
 
 class DigestReader(_Reader):
-    def partitions(self) -> list[InputPartition]:
-        return [Range(path, 0, size) for path, size in _files(self.uri)] or [Range("", 0, 0)]
-
-    def read(self, partition: Range) -> Iterator[tuple]:
-        if not partition.path:
-            return
-        digest, length = hashlib.sha256(), 0
-        with file_system(self.uri)[0].open_input_stream(partition.path, compression=None) as stream:
-            while block := stream.read(READ):
-                digest.update(block)
-                length += len(block)
-        yield partition.path, length, digest.hexdigest()
+    def partitions(self) -> list[Task]:
+        return tasks([Range(path, 0, size) for path, size in _files(self.uri)]) or [Task([])]
+
+    def read(self, partition: Task) -> Iterator[tuple]:
+        system = file_system(self.uri)[0]
+        for file in partition.ranges:
+            digest, length = hashlib.sha256(), 0
+            with system.open_input_stream(file.path, compression=None) as stream:
+                while block := stream.read(READ):
+                    digest.update(block)
+                    length += len(block)
+            yield file.path, length, digest.hexdigest()
 
 
 class ArchiveMembers(DataSource):
