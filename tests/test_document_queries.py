@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.test_oracles import plain
+from tidemark.operators import documents
 from tidemark.plans import document_queries as op
 
 
@@ -19,3 +21,18 @@ def test_records_are_numbered_over_the_whole_response(spark, monkeypatch, name,
     expected = duckdb.sql(f"SELECT user_id, event_id, record_index FROM {numbered} WHERE {name == 'document_records'} OR event_id % 2 = 0").fetchall()
     rows = [(r.user_id, r.event_id, r.record_index) for r in got.collect()]
     assert plain(rows, ["a", "b", "c"]) == plain(expected, ["a", "b", "c"])
+
+
+def test_a_walk_makes_its_documents_once(spark):
+    """However deep: what comes before the walk is not done again for each look."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def text(i):
+        made.add(1)
+        return '{"a":[7,' * i + "{}" + "]}" * i
+
+    docs = documents.parsed(spark.range(1, 21).select("id", text(F.col("id").cast("int")).alias("text")), "text").drop("text")
+    levels = documents.walk(docs).groupBy("id").agg(F.max("level").alias("deepest"), F.count(F.lit(1)).alias("n")).collect()
+    assert {(r.id, r.deepest, r.n) for r in levels} == {(i, i, i + 1) for i in range(1, 21)}
+    assert made.value <= 20
