@@ -36,3 +36,19 @@ def test_a_walk_makes_its_documents_once(spark):
     levels = documents.walk(docs).groupBy("id").agg(F.max("level").alias("deepest"), F.count(F.lit(1)).alias("n")).collect()
     assert {(r.id, r.deepest, r.n) for r in levels} == {(i, i, i + 1) for i in range(1, 21)}
     assert made.value <= 20
+
+
+def test_nodes_make_their_entities_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def path(p):
+        made.add(1)
+        return p
+
+    schema = "doc int, entity_type string, entity_key string, parent_entity_type string, parent_entity_key string, p string, position array<string>, payload string"
+    entities = [(1, "dataset", "a", None, None, "pa", ["1"], "{}"), (1, "resource", "x", "dataset", "a", "px", ["1", "1"], "{}"), (1, "resource", "x", "dataset", "a", "py", ["1", "2"], "{}"), (2, "resource", "x", "dataset", "a", "pz", ["1"], "{}")]
+    df = spark.createDataFrame(entities, schema).withColumn("record_path", path("p"))
+    got = documents.nodes(df, ["doc"]).select("doc", "node_key", "node_path", "parent_node_path").collect()
+    assert {tuple(r) for r in got} == {(1, "a", "pa", None), (1, "x", "px", "pa"), (2, "x", "pz", None)} and len(got) == 3
+    assert made.value <= len(entities)
