@@ -124,3 +124,43 @@ def test_recall_at_the_threshold(spark):
     a, b = shingled(texts[0]), shingled(texts[1])
     assert 5 * len(a & b) == 4 * len(a | b)
     assert op.link(frame(spark, texts)).where("NOT kept").count() >= 1998
+
+
+def test_counts_of_two_blocks(monkeypatch):
+    """Shared shingles are those of sets, whether a shingle is rare or common, and however few are counted at a time."""
+    rng = random.Random(6)
+    sets = [sorted(rng.sample(range(60), rng.randrange(1, 30)) + rng.sample(range(100, 2000), 5)) for _ in range(50)]
+    flat = lambda some: (np.array([x for s in some for x in s], np.int64), np.array([len(s) for s in some], np.int32))
+    expected = [[len(set(a) & set(b)) for b in sets[20:]] for a in sets[:20]]
+    for rare, at_once, columns in ((0, 1, 7), (8, 16, 7), (128, 1 << 20, 2048)):
+        for name, value in (("RARE", rare), ("_AT_ONCE", at_once), ("_COLUMNS", columns)):
+            monkeypatch.setattr(op, name, value)
+        assert op.shared_counts(*flat(sets[:20]), *flat(sets[20:])).tolist() == expected
+    assert not op.shared_counts(*flat(sets[:3]), *flat([[5000], [5001]])).any()
+
+
+def rows_of_joins(spark, made):
+    """The most rows that a join makes, over all that ``made`` runs."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    made()
+    most = 0
+    for e in (store.executionsList().apply(i) for i in range(int(before), int(store.executionsCount()))):
+        values = store.executionMetrics(e.executionId())
+        nodes = store.planGraph(e.executionId()).allNodes()
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            for m in (node.metrics().apply(i) for i in range(node.metrics().size())):
+                if "Join" in node.name() and m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    return most
+
+
+def test_no_join_makes_all_pairs_of_a_family(spark):
+    """Copies too far from each other, with shingles that a hundred of them share: joins make no more rows than pairs of small groups."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    docs = frame(spark, [" ".join(edited(rng, base, 5, lambda r: f"y{r.randrange(2)}")) for _ in range(150)])
+    found = []
+    most = rows_of_joins(spark, lambda: found.extend(rows(op.link(docs), *COLUMNS)))
+    assert found == brute(docs.collect())
+    assert 0 < most <= 150 * op.CHUNKS * op.WIDTH * op.PAIRED / 2

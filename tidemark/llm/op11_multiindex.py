@@ -16,9 +16,9 @@ a thousand cases; it still shares a key unless all chunks have two errors, which
 Only distinct sets are compared.  Keys of up to ``PAIRED`` sets are joined pairwise.
 The sets of a larger group are first compared with its hub, the set in most such
 groups; what is then in one component needs no more comparing.  The rest, sets
-outside the largest component of their group, are compared with all of the group,
-in blocks of some ``BLOCK`` sets by ``BLOCK``, by an upper bound of what two sets can share,
-by signatures, and then in full, so that no link between components is lost and a
+outside the largest component of their group, are compared with all of the group in full,
+in blocks of some ``BLOCK`` sets by ``BLOCK``, where the links are counted and no pair is a row but
+those that join components, so that no link between components is lost and a
 group is never one task's, nor all its pairs written out.
 
 Defined cases: a text that is null or without words has an empty set and is linked
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +44,13 @@ WORDS = 4
 CHUNKS, WIDTH, BITS = 8, 5, 16
 #: Minima in which a pair that is verified may differ.
 FAR = 24
-#: Sets up to which a group of one key is joined pairwise; sets of a block in larger groups, about.
-PAIRED, BLOCK = 48, 256
-#: Sets of large groups that share a shingle, up to which they are paired up on it.
+#: Sets up to which a group of one key is joined pairwise; sets, and their shingles, of a block in larger groups, about.
+PAIRED, BLOCK, SHINGLES = 48, 1024, 1 << 19
+#: Sets of two blocks that share a shingle, up to which they are paired up on it.
 RARE = 128
 _MINIMA, _PART, _REMEMBERED = CHUNKS * WIDTH, 1 << 13, 200_000
+#: Pairs and columns of two blocks that are counted at a time.
+_AT_ONCE, _COLUMNS = 1 << 20, 2048
 _RNG = np.random.default_rng(11)
 _FLIPS = _RNG.integers(0, 1 << 64, _MINIMA, np.uint64)
 _ODD = _RNG.integers(0, 1 << 64, _MINIMA, np.uint64) | np.uint64(1)
@@ -182,62 +185,97 @@ def verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return cut(both.where("9L * shared >= 4L * (size(of_a) + size(of_b))").select("a", "b"))
 
 
-def between_components(members: DataFrame, prints: DataFrame, held: DataFrame) -> DataFrame:
-    """(a, b) candidates of large groups: ``members`` (key, fingerprint, label) of one key whose labels differ.
+def shared_counts(left: np.ndarray, sizes: np.ndarray, right: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
+    """The shingles that each set on the left shares with each on the right; the sets' shingles stand one set after the other.
 
-    Pairs that share rare shingles, of at most ``RARE`` of these sets, meet on them.  What
-    two sets share is bounded by these and the rest of either set, which in a family of copies
-    excludes most pairs without a look at them.
+    Shingles of at most ``RARE`` of these sets are counted pair by pair, the others as columns of a product.
     """
-    counts = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = counts.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("n_labels"), F.max("n").alias("n_main")).where("n_labels > 1")
-    each = cut(members.join(mixed, "key"))
-    those = each.select("fingerprint", "label").distinct()
-    owned = held.join(those, "fingerprint").select("fingerprint", "label", F.explode("shingles").alias("shingle"))
-    owners = owned.groupBy("shingle").agg(F.count(F.lit(1)).alias("owners")).where(F.col("owners") <= RARE)
-    rare = cut(owned.join(owners, "shingle"))
-    shared = rare.where("owners > 1")
-    left, right = (shared.select("shingle", F.col("fingerprint").alias(side), F.col("label").alias(f"label_{side}")) for side in "ab")
-    meeting = left.join(right, "shingle").where("a < b AND label_a != label_b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_rare"))
-    common = (F.col("size") - F.coalesce("n_rare", F.lit(0))).alias("common")
-    told = cut(prints.join(those.select("fingerprint"), "fingerprint", "left_semi").join(rare.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_rare")), "fingerprint", "left").select("fingerprint", "size", "signature", common))
-    each = each.join(told, "fingerprint")
-    columns = ("fingerprint", "label", "size", "common", "signature")
-
-    def gathered(df: DataFrame, n, side: str) -> DataFrame:
-        block = F.pmod(F.xxhash64("fingerprint"), F.ceil(n / BLOCK)).alias("block")
-        return df.groupBy("key", block).agg(F.collect_list(F.struct(*columns)).alias(side)).select("key", side)
-
-    # a set of which even a subset of the least size that links shares too little is left out
-    able = each.where("5 * common >= 4 * size")
-    outside = gathered(able.where("label != main"), F.col("n_all") - F.col("n_main"), "outside")
-    everyone = gathered(able, F.col("n_all"), "everyone")
-
-    def arrays(rows):
-        numbers = [np.array([r[c] for r in rows], np.int64) for c in columns[:4]]
-        return *numbers, _as_signatures([r["signature"] for r in rows])
-
-    def of(batches):
-        for batch in batches:
-            for key, left, right in zip(*(batch.column(i) for i in range(3))):
-                prints, labels, sizes, shared, signatures = arrays(left.as_py())
-                others, other_labels, other_sizes, other_shared, other_signatures = arrays(right.as_py())
-                found, keys, other_keys, this = [], chunk_keys(signatures), chunk_keys(other_signatures), np.int64(key.as_py()).view(np.uint64)
-                for i in range(len(prints)):
-                    most = np.minimum(np.minimum(shared[i], other_shared), np.minimum(sizes[i], other_sizes))
-                    at = np.flatnonzero((other_labels != labels[i]) & (9 * most >= 4 * (sizes[i] + other_sizes)))
-                    at = at[(other_signatures[at] != signatures[i]).sum(1) <= FAR]
-                    # two sets meet at each key that they share, and are told at the first
-                    first = (other_keys[at] == keys[i]).argmax(1)
-                    found += [(int(prints[i]), int(b)) for b in others[at[keys[i][first] == this]]]
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], ["a", "b"])
-
-    # rare shingles that both have, and the rest of either, are the most that two sets can share
-    of_side = lambda side: told.select(F.col("fingerprint").alias(side), F.col("size").alias(f"all_{side}"), F.col("common").alias(f"common_{side}"))
-    able_to = meeting.join(of_side("a"), "a").join(of_side("b"), "b").where("9L * least(n_rare + least(common_a, common_b), all_a, all_b) >= 4L * (all_a + all_b)").select("a", "b")
-    unlike = outside.join(everyone, "key").select("key", "outside", "everyone").mapInArrow(of, "a long, b long")
-    return _ordered(near(prints, able_to).union(unlike))
+    both, shape = np.intersect1d(left, right), (len(sizes), len(other_sizes))
+    shared = np.zeros(shape, np.int64)
+    if not len(both):
+        return shared
+
+    def held_by(shingles, sizes):
+        at = np.minimum(np.searchsorted(both, shingles), len(both) - 1)
+        found = np.flatnonzero(both[at] == shingles)
+        found = found[np.argsort(at[found], kind="stable")]
+        return at[found], np.repeat(np.arange(len(sizes)), sizes)[found], np.bincount(at[found], minlength=len(both))
+
+    (a, sets, n), (b, others, n_others) = held_by(left, sizes), held_by(right, other_sizes)
+    rare, first = n + n_others <= RARE, np.cumsum(n_others) - n_others
+    few, few_sets = a[rare[a]], sets[rare[a]]
+    ends, at = np.cumsum(n_others[few]), 0
+    while at < len(few):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _AT_ONCE, "right")))
+        times = n_others[few[at:to]]
+        meets = np.repeat(first[few[at:to]] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        shared += np.bincount(np.repeat(few_sets[at:to], times) * shape[1] + others[meets], minlength=shared.size).reshape(shape)
+        at = to
+    common = np.flatnonzero(~rare)
+    for at in range(0, len(common), _COLUMNS):
+        column = np.full(len(both), -1)
+        column[common[at : at + _COLUMNS]] = np.arange(len(common[at : at + _COLUMNS]))
+
+        def holds(shingles, rows, n_rows, column=column):
+            matrix = np.zeros((n_rows, column.max() + 1), np.float32)
+            matrix[rows[column[shingles] >= 0], column[shingles][column[shingles] >= 0]] = 1
+            return matrix
+
+        shared += (holds(a, sets, shape[0]) @ holds(b, others, shape[1]).T).astype(np.int64)
+    return shared
+
+
+def joining(labels: np.ndarray, other_labels: np.ndarray, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Of the places that are true in ``linked``, as few as join the same labels."""
+    i, j = np.nonzero(linked)
+    first = np.unique(np.stack([labels[i], other_labels[j]]), axis=1, return_index=True)[1]
+    root: dict[int, int] = {}
+
+    def top(x):
+        while (up := root.get(x, x)) != x:
+            root[x] = x = root.get(up, up)
+        return x
+
+    found = []
+    for at in first.tolist():
+        x, y = top(int(labels[i[at]])), top(int(other_labels[j[at]]))
+        if x != y:
+            root[x] = y
+            found.append((int(i[at]), int(j[at])))
+    return found
+
+
+def between_components(members: DataFrame, held: DataFrame) -> DataFrame:
+    """(a, b) links of large groups that join components: ``members`` (key, fingerprint, size, label) of one key whose labels differ.
+
+    The sets outside a group's largest component meet all of the group, a block with a block, with their full
+    sets.  A block's links are counted where they meet, and only as many become rows as join its components.
+    """
+    counts = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
+    largest = F.max(F.struct("n", "label", "size")).alias("main")
+    mixed = counts.groupBy("key").agg(largest, F.sum("n").alias("n"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n_labels")).where("n_labels > 1")
+    blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / SHINGLES))
+    parts = mixed.select("key", F.col("main.label").alias("main"), blocks(F.col("n") - F.col("main.n"), F.col("size") - F.col("main.size")).alias("n_outside"), blocks(F.col("n"), F.col("size")).alias("n_all"))
+    each = cut(members.drop("size").join(parts, "key"))
+    own = lambda n: F.pmod(F.xxhash64("fingerprint"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    outside = each.where("label != main").select("key", own("n_outside").alias("i"), every("n_all").alias("j"), F.lit(True).alias("outside"), "fingerprint", "label")
+    everyone = each.select("key", every("n_outside").alias("i"), own("n_all").alias("j"), F.lit(False).alias("outside"), "fingerprint", "label")
+
+    def of(block: pa.Table) -> pa.Table:
+        def side(outside):
+            rows = block.filter(pa.compute.equal(block.column("outside"), outside)).combine_chunks()
+            lists = rows.column("shingles").combine_chunks()
+            return rows.column("fingerprint").to_numpy(), rows.column("label").to_numpy(), lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+
+        (prints, labels, left, sizes), (others, other_labels, right, other_sizes) = side(True), side(False)
+        # shared / (sum of sizes - shared) >= 4 / 5
+        linked = 9 * shared_counts(left, sizes, right, other_sizes) >= 4 * (sizes[:, None].astype(np.int64) + other_sizes)
+        found = joining(labels, other_labels, linked & (labels[:, None] != other_labels))
+        return pa.table([pa.array([prints[i] for i, _ in found], pa.int64()), pa.array([others[j] for _, j in found], pa.int64())], ["a", "b"])
+
+    placed = outside.union(everyone).join(held, "fingerprint")
+    return _ordered(placed.groupBy("key", "i", "j").applyInArrow(of, "a long, b long"))
 
 
 def links(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
@@ -261,8 +299,8 @@ def links(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
     if many.isEmpty():
         return linked
     labels = met.select("fingerprint").join(components(linked).withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", F.coalesce("label", "fingerprint").alias("label"))
-    rest = cut(between_components(many.join(labels, "fingerprint"), prints, held).join(pairs, ["a", "b"], "left_anti"))
-    return linked if rest.isEmpty() else linked.union(verified(rest, held))
+    sized = labels.join(prints.select("fingerprint", "size"), "fingerprint")
+    return linked.union(cut(between_components(many.join(sized, "fingerprint"), held)))
 
 
 def link(docs: DataFrame, words: int = WORDS) -> DataFrame:
