@@ -45,6 +45,8 @@ ROUNDS = 4
 #: Bytes of words of about one length that go through the forward pass together; from how many bytes words are cut into
 #: segments, and a segment that cannot be cut goes alone, byte by byte.
 _MATRIX, _ALONE = 400_000, 400
+#: Texts of a batch whose words are held at a time.
+_JUDGED = 2_000
 FOLD = (4, 2)
 _SMOOTHING = 0.05
 
@@ -294,8 +296,11 @@ def keep_identified(docs: DataFrame, least: float = 0.5, path: str | None = None
 
     @F.pandas_udf("boolean")
     def identified(texts: pd.Series) -> pd.Series:
-        pred, score = judge(list(texts), *model.value, trie_of(path))
-        return pd.Series([p != "und" and x >= least for p, x in zip(pred, score)])
+        kept: list[bool] = []
+        for at in range(0, len(texts), _JUDGED):
+            pred, score = judge(list(texts[at : at + _JUDGED]), *model.value, trie_of(path))
+            kept += [p != "und" and x >= least for p, x in zip(pred, score)]
+        return pd.Series(kept)
 
     return docs.where(identified(F.col("text").cast("binary")))
 
