@@ -445,3 +445,14 @@ def test_archives_beyond_a_cell_are_read_in_several_tasks(spark, tmp_path):
     assert sorted((r.member, r.checksum) for r in same.where("error IS NULL").collect()) == sorted((p.member, p.checksum) for p in parts if p.archive == "b.tar" and p.checksum)
     assert rows(archive_source.file_digests(spark, str(tmp_path)).select("length", "checksum")) == sorted(((p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in tmp_path.iterdir() if p.suffix != ".sha256"), key=repr)
     assert archive_source.streamed_members(spark, str(tmp_path / "none"), 5, 5).count() == 0 if (tmp_path / "none").mkdir() is None else None
+
+
+def test_documents_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A file for each document, and no task that writes them all, however few bytes they are."""
+    from tidemark.plans import file_queries
+
+    monkeypatch.setattr(file_queries, "scratch", lambda spark: str(tmp_path))
+    rows = file_queries.json_documents_read(spark, "/root/testdata/sf0.001").collect()
+    files = list((tmp_path / "pages").rglob("part-*"))
+    assert sum(r.whole for r in rows) == sum(r.typed for r in rows) == sum(r.listed for r in rows) == 1500
+    assert len(files) == 15 and len({f.name.split("-")[1] for f in files}) > 1
