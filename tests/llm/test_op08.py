@@ -85,3 +85,16 @@ def test_links_connect_all_within_the_distance(spark, monkeypatch, paired, dista
         by_root.setdefault(label[p], set()).add(found.get(p, ("alone", p)))
     assert all(len(v) == 1 for v in by_root.values())
     assert len({next(iter(v)) for v in by_root.values()}) == len(by_root)
+
+
+def test_linked_texts_without_ids(spark):
+    """Texts within two bits whose ids are all null are one component, of which one row stays."""
+    words = [f"w{i}" for i in range(3000)]
+    texts = [" ".join([*words, f"y{k}"]) for k in range(60)]
+    prints = {op.fingerprint(t.encode()): t for t in texts}
+    one = min(prints)
+    other = next(p for p in prints if 0 < (p ^ one).bit_count() <= 2)
+    docs = spark.createDataFrame([(None, t, "en", "s", len(t)) for t in (prints[one], prints[other], "another text")], odd(spark).schema)
+    kept = [r.text for r in op.keep_one(docs).collect()]
+    assert len(kept) == 2 and kept.count("another text") == 1
+    assert rows(op.link(docs), "doc_id", "fingerprint", "component_id") == brute(docs.collect())

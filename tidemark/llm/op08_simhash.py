@@ -17,7 +17,8 @@ linked to the least of them.  That is linear in the group, and no link is lost.
 Defined cases: a null or empty text has fingerprint zero, linked like any other;
 repeated rows and equal texts share a fingerprint and so a component; a very long
 text is hashed whole, its bits counted in parts; a null id
-never becomes a component's id while it has other members.
+never becomes a component's id while it has other members; a component of null ids
+alone has a null one, and is one component all the same.
 """
 
 from __future__ import annotations
@@ -115,17 +116,20 @@ def fp_xor(x: str, y: str):
 
 
 def labelled_rows(rows: DataFrame, linked: DataFrame) -> DataFrame:
-    """``rows`` with the fingerprint in 16 hex digits and the component that ``linked`` gives it, named by its least id."""
+    """``rows`` with the fingerprint in 16 hex digits, the component that ``linked`` gives it, named by its least id, and that component's label.
+
+    The label is there for components without an id, which no name tells apart.
+    """
     prints = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("rep"))
     found = components(linked)
     labelled = prints.join(found, prints.fingerprint == found.node, "left").select("fingerprint", "rep", F.coalesce("label", "fingerprint").alias("label"))
     ids = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
-    by_print = labelled.join(ids, "label").select("fingerprint", "component_id")
-    return rows.join(by_print, "fingerprint").select("doc_id", "text_hash", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+    by_print = labelled.join(ids, "label").select("fingerprint", "component_id", "label")
+    return rows.join(by_print, "fingerprint").select("doc_id", "text_hash", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id", "label")
 
 
 def link(docs: DataFrame, words: int = 3, max_distance: int = 2) -> DataFrame:
-    """A row per document: doc_id, text_hash, fingerprint (16 hex digits), component_id."""
+    """A row per document: doc_id, text_hash, fingerprint (16 hex digits), component_id, label (of the component, a long that is never null)."""
     rows = cut(fingerprints(docs, words))
     return labelled_rows(rows, links(rows.select("fingerprint").distinct(), max_distance))
 
@@ -136,19 +140,18 @@ def keep_one(docs: DataFrame, words: int = 3, max_distance: int = 2) -> DataFram
 
 
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with the first row of each component that ``found`` names.
+    """``docs`` with the first row of each component that ``found`` labels.
 
     Rows that are alone in their component stay where they are: a bitmap of the
     others tells them apart, so that only texts that have copies are shuffled.
     """
-    found = cut(found.select("doc_id", "text_hash", "component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")))
+    found = cut(found.select("doc_id", "text_hash", "label"))
     # a null id sorts last, so that it stays only if its component has no other
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
-    groups = found.groupBy("component_id", "alone").agg(first.alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    groups = found.groupBy("label").agg(first.alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # two hashes that are never null name a row
     keys = lambda doc_id, text_hash: [F.xxhash64(doc_id).alias("id_hash"), F.col(text_hash).alias("text_hash")]
-    same = F.col("found.component_id").eqNullSafe(F.col("groups.component_id")) & F.col("found.alone").eqNullSafe(F.col("groups.alone"))
-    members = cut(found.alias("found").join(groups.alias("groups"), same, "left_semi").select(*keys("doc_id", "text_hash")).distinct())
+    members = cut(found.join(groups, "label", "left_semi").select(*keys("doc_id", "text_hash")).distinct())
     others = members.join(groups.select(*keys("best.doc_id", "best.text_hash")), ["id_hash", "text_hash"], "left_anti")
     row_hash = F.xxhash64("id_hash", "text_hash")
     whole = docs.select(F.xxhash64("doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("row_hash", row_hash)
