@@ -456,3 +456,42 @@ def test_documents_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     files = list((tmp_path / "pages").rglob("part-*"))
     assert sum(r.whole for r in rows) == sum(r.typed for r in rows) == sum(r.listed for r in rows) == 1500
     assert len(files) == 15 and len({f.name.split("-")[1] for f in files}) > 1
+
+
+def test_documents_are_written_by_the_tasks(spark, tmp_path):
+    """A file for each row under its name, none half written, no checksum beside it; elsewhere Spark writes the same texts."""
+    docs = spark.createDataFrame([(i % 7, f"{i}.json", f"é{i}\nb" if i else None) for i in range(50)], "folder long, name string, text string").repartition(4)
+    publish.write_documents(docs, str(tmp_path / "own"))
+    publish.spread_documents(docs, str(tmp_path / "spark"))
+    own = [p for p in (tmp_path / "own").rglob("*") if p.is_file()]
+    assert sorted(p.name.split("-")[2] for p in own) == sorted(f"{i}.json" for i in range(50))
+    assert {int(p.parent.name.split("=")[1]) for p in own} == set(range(7))
+    texts = sorted([f"é{i}\nb\n" for i in range(1, 50)] + ["\n"])
+    assert sorted(p.read_text() for p in own) == texts
+    assert sorted(p.read_text() for p in (tmp_path / "spark").rglob("part-*")) == texts
+    publish.write_documents(docs, str(tmp_path / "own"))
+    assert len([p for p in (tmp_path / "own").rglob("*") if p.is_file()]) == 50
+
+
+def test_inventories_of_whole_folders_are_read_as_folders(spark, tmp_path, monkeypatch):
+    """Folders go to the reader where all of their files are the inventory's; files beside others go one by one; no row is lost, added or doubled."""
+    monkeypatch.setattr(scan, "BY_PATH", 2)
+    for at, n in (("a", 3), ("a/deep", 2), ("b", 4), ("b/k=1", 2), ("c", 2), ("d", 1)):
+        (tmp_path / at).mkdir()
+        for i in range(n):
+            (tmp_path / at / f"{i}.jsonl").write_text(f'{{"v":"{at}{i}"}}\n')
+    (tmp_path / "c" / "x.csv").write_text("not json")
+    handed, load = [], scan.read_paths
+    monkeypatch.setattr(scan, "read_paths", lambda spark, paths, *more: handed.append(sorted(str(p).removeprefix(f"file:{tmp_path}/") for p in paths)) or load(spark, paths, *more))
+    inventory = scan.inventory(spark, str(tmp_path))
+    every = [f"{at}{i}" for at, n in (("a", 3), ("a/deep", 2), ("b", 4), ("b/k=1", 2), ("c", 2), ("d", 1)) for i in range(n)]
+    found = scan.read_inventory(inventory, "jsonl")
+    assert found.columns == ["v"] and sorted(r.v for r in found.collect()) == sorted(every)
+    assert handed.pop() == ["a", "b", "c/0.jsonl", "c/1.jsonl", "d"]
+    # a file of a folder below that is not listed, and one that is gone
+    some = inventory.where("NOT path LIKE '%deep/1.jsonl'")
+    assert sorted(r.v for r in scan.read_inventory(some, "jsonl").collect()) == sorted(v for v in every if v != "a/deep1")
+    assert handed.pop() == ["a/0.jsonl", "a/1.jsonl", "a/2.jsonl", "a/deep/0.jsonl", "b", "c/0.jsonl", "c/1.jsonl", "d"]
+    gone = inventory.unionByName(inventory.where("path LIKE '%d/0.jsonl'").withColumn("path", F.concat("path", F.lit(".jsonl"))))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scan.read_inventory(gone, "jsonl").collect()
