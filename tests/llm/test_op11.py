@@ -164,3 +164,54 @@ def test_no_join_makes_all_pairs_of_a_family(spark):
     most = rows_of_joins(spark, lambda: found.extend(rows(op.link(docs), *COLUMNS)))
     assert found == brute(docs.collect())
     assert 0 < most <= 150 * op.CHUNKS * op.WIDTH * op.PAIRED / 2
+
+
+def lost(i, words):
+    """Two texts with a similarity of 0.8, a word apart; for some ``i`` their signatures share no key."""
+    told = [f"w{i}x{j}" for j in range(10 * words - 1)]
+    return " ".join(told), " ".join(told[: len(told) // 2] + [f"v{i}"] + told[len(told) // 2 + 1 :])
+
+
+@pytest.mark.parametrize("i, words", [(5018, 4), (127118, 4), (7303, 5), (56908, 5)])
+def test_pairs_that_signatures_lose_are_linked(spark, i, words):
+    texts = [*lost(i, words), "a text that is like no other"]
+    signatures = np.stack([op.signature(op.shingles(t.encode(), op.Hashes(), words)) for t in texts])
+    keys = op.chunk_keys(signatures)
+    assert not set(keys[0]) & set(keys[1]) and len(linked(texts, words)) == 1
+    assert [r.component_id for r in op.link(frame(spark, texts), words).orderBy("doc_id").collect()] == [0, 0, 2]
+
+
+def test_linked_sets_share_a_part():
+    """Sets of all sizes, as far apart as links allow: more shingles, fewer or others; a set of no part in common is not linked."""
+    rng = np.random.default_rng(3)
+    for n in [*range(4, 80), 127, 128, 129, 200, 255, 256, 257, 640, 3000]:
+        for other in {n, n + 1, (n + 5 * n // 4) // 2, 5 * n // 4}:
+            shared = -(-4 * (n + other) // 9)
+            if shared > n:
+                continue
+            for _ in range(20 if n < 300 else 3):
+                drawn = rng.integers(0, 1 << 64, n + other - shared, np.uint64)
+                a, b = np.sort(drawn[:n]), np.sort(drawn[n - shared :])
+                assert len(b) == other and set(op.part_keys(a).tolist()) & set(op.part_keys(b).tolist())
+    sets = [np.sort(rng.integers(0, 1 << 64, 300, np.uint64)) for _ in range(200)]
+    keys = [set(op.part_keys(s).tolist()) for s in sets]
+    assert sum(bool(x & y) for x, y in combinations(keys, 2)) == 0 and max(map(len, keys)) <= 76
+
+
+def test_large_group_that_shares_a_part(spark):
+    """More than ``FEW`` sets with a passage in common: only those that are linked are, each by its own text."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"t{i}x{j}" for j in range(1 + i % 12)]) for i in range(60)]
+    texts += [" ".join(edited(rng, passage, 6)) for _ in range(40)]
+    docs = frame(spark, texts)
+    prints = docs.rdd.map(lambda r: r.text).collect()
+    no_links = spark.createDataFrame([], "a long, b long")
+    rows_, _ = op.stored(op.sketches(docs))
+    found = {tuple(sorted(r)) for r in op.missed(docs, rows_, no_links, op.WORDS).collect()}
+    named = {r.fingerprint: r.doc_id for r in rows_.collect()}
+    pairs = [(named[a], named[b]) for a, b in found]
+    label = least_reachable(pairs)
+    order = {shingled(t): i for i, t in enumerate(texts)}
+    true = least_reachable([(order[a], order[b]) for a, b in linked(prints)])
+    assert {i: label.get(i, i) for i in range(100)} == {i: true.get(i, i) for i in range(100)} and len(pairs) > 20

@@ -21,6 +21,14 @@ in blocks of some ``BLOCK`` sets by ``BLOCK``, where the links are counted and n
 those that join components, so that no link between components is lost and a
 group is never one task's, nor all its pairs written out.
 
+What the signatures lose is found by a second index, of the full sets: a set of n shingles and one
+of 4 / 5 to 5 / 4 of its size that are linked differ in a ninth of their sizes' sum at most.  The
+range of hashes is cut into parts, half as many as the least set of a class of sizes has shingles; all but so many parts are
+equal in both, and of the equal ones the greatest, in an order that their content gives, is
+in each set among the first of that order, one more than may differ.  So a set has these parts as keys,
+about a quarter as many as shingles, and sets that are linked share one, always.  Only
+keys of several components are looked at, and sets that share one are verified in full as before.
+
 Defined cases: a text that is null or without words has an empty set and is linked
 with nothing; equal texts and repeated rows share a component; a very long
 text is taken whole, in parts; a null id never names a component that has other
@@ -37,13 +45,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, maybe_among, table
+from tidemark.llm.common import cut, maybe_among, stored, table
 from tidemark.llm.components import components
 
 WORDS = 4
 CHUNKS, WIDTH, BITS = 8, 5, 16
 #: Minima in which a pair that is verified may differ.
 FAR = 24
+#: Sets of several components up to which a group of one part is joined pairwise.
+FEW = 8
 #: Sets up to which a group of one key is joined pairwise; sets, and their shingles, of a block in larger groups, about.
 PAIRED, BLOCK, SHINGLES = 48, 1024, 1 << 19
 #: Sets of two blocks that share a shingle, up to which they are paired up on it.
@@ -102,6 +112,32 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     return _mixed(without.reshape(len(signatures), _MINIMA) + _FLIPS)
 
 
+def part_keys(found: np.ndarray) -> np.ndarray:
+    """The keys of a sorted set's parts: two sets that are linked share at least one.
+
+    Sizes from ``low`` + 1 to 2 * ``low`` are a class; a set that may be linked with larger ones of the next class
+    has keys for that class, too.  Parts are in order of their shingles, then of their keys; parts without
+    shingles come last.
+    """
+    n = len(found)
+    if n < 4:  # linked only with itself
+        return np.zeros(0, np.uint64)
+    low, most, made = 1 << (n - 1).bit_length() - 1, 5 * n // 4, []
+    each = _mixed(found + _FLIPS[0])
+    for least, largest in ((low, min(most, 2 * low)), (2 * low, most)):
+        if largest <= least:
+            continue
+        kept, parts = (n + largest) // 9 + 1, least // 2 + 1
+        part = (found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        keys = _mixed(np.add.reduceat(each, starts) + _mixed(part[starts] + np.uint64(least << 32)))
+        made.append(keys[np.lexsort((keys, np.diff(np.append(starts, n))))[::-1][:kept]])
+        if len(starts) < kept:
+            empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), part)[::-1][: kept - len(starts)]
+            made.append(_mixed(_mixed(empty + np.uint64(least << 32))))
+    return np.concatenate(made)
+
+
 def _as_signatures(column) -> np.ndarray:
     return np.frombuffer(b"".join(column), np.uint16).reshape(-1, _MINIMA)
 
@@ -114,18 +150,18 @@ def sliced(batches, rows: int = 512):
 
 
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, text_hash, fingerprint, size, signature) per row; the fingerprint names the set of shingles."""
+    """(doc_id, text_hash, fingerprint, size, signature, parts) per row; the fingerprint names the set of shingles, ``parts`` are its part keys."""
 
     def of(batches):
         hashes = Hashes()
         for batch in sliced(batches):
             sets = [shingles(t, hashes, words) for t in batch.column(2).to_pylist()]
             prints = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, len(sets))
-            made = [pa.array(prints.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([signature(s).tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "text_hash", "fingerprint", "size", "signature"])
+            made = [pa.array(prints.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([signature(s).tobytes() for s in sets], pa.binary()), pa.array([part_keys(s).view(np.int64) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "text_hash", "fingerprint", "size", "signature", "parts"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    return plain.mapInArrow(of, "doc_id long, text_hash long, fingerprint long, size int, signature binary")
+    return plain.mapInArrow(of, "doc_id long, text_hash long, fingerprint long, size int, signature binary, parts array<long>")
 
 
 def keyed(prints: DataFrame) -> DataFrame:
@@ -278,6 +314,25 @@ def between_components(members: DataFrame, held: DataFrame) -> DataFrame:
     return _ordered(placed.groupBy("key", "i", "j").applyInArrow(of, "a long, b long"))
 
 
+def missed(docs: DataFrame, rows: DataFrame, linked: DataFrame, words: int) -> DataFrame:
+    """(a, b) links that join components of ``linked``; sets that are linked share a part key, so that none is lost."""
+    named = cut(components(linked))
+    told = maybe_among(rows.where("size > 3").select("fingerprint", "parts"), "fingerprint", named.select("node"))
+    # most sets are linked with nothing, and are not shuffled
+    found = told.where("maybe").join(named, F.col("fingerprint") == F.col("node"), "left").select(F.coalesce("label", "fingerprint").alias("label"), "parts")
+    keys = told.where("NOT maybe").select(F.col("fingerprint").alias("label"), "parts").union(found).select("label", F.explode("parts").alias("key"))
+    mixed = cut(keys.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key"))
+    held_by = maybe_among(rows.select("fingerprint", "size", F.explode("parts").alias("key")), "key", mixed).where("maybe").select("key", "fingerprint", "size").distinct()
+    members = held_by.join(mixed, "key").join(named, F.col("fingerprint") == F.col("node"), "left").select("key", "fingerprint", "size", F.coalesce("label", "fingerprint").alias("label"))
+    members = cut(members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key"))
+    side = lambda x: members.where(F.col("n") <= FEW).select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("size", "label")], F.col("fingerprint").alias(x))
+    pairs = cut(side("a").join(side("b"), "key").where("a < b AND label_a != label_b AND 5 * least(size_a, size_b) >= 4 * greatest(size_a, size_b)").select("a", "b").distinct())
+    many = members.where(F.col("n") > FEW).drop("n")
+    needed = pairs.select(F.col("a").alias("fingerprint")).union(pairs.select("b")).union(many.select("fingerprint")).distinct()
+    held = cut(full_sets(docs, rows, needed, words))
+    return verified(pairs, held).union(cut(between_components(many, held)))
+
+
 def links(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
     """(a, b) pairs of distinct sets that connect all that are linked."""
     prints = cut(rows.where("size > 0").select("fingerprint", "size", "signature").dropDuplicates(["fingerprint"]))
@@ -297,15 +352,16 @@ def links(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
     held = cut(full_sets(docs, rows, needed, words))
     linked = verified(pairs, held)
     if many.isEmpty():
-        return linked
+        return linked.union(missed(docs, rows, linked, words))
     labels = met.select("fingerprint").join(components(linked).withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", F.coalesce("label", "fingerprint").alias("label"))
     sized = labels.join(prints.select("fingerprint", "size"), "fingerprint")
-    return linked.union(cut(between_components(many.join(sized, "fingerprint"), held)))
+    linked = linked.union(cut(between_components(many.join(sized, "fingerprint"), held)))
+    return linked.union(missed(docs, rows, linked, words))
 
 
 def link(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """A row per document: doc_id, text_hash, n_shingles, component_id, kept (it names its component)."""
-    rows = cut(sketches(docs, words))
+    rows, _ = stored(sketches(docs, words))
     held = rows.where("size > 0").groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     found = components(links(docs, rows, words))
     labelled = held.join(found, held.fingerprint == found.node, "left").select("fingerprint", "least", F.coalesce("label", "fingerprint").alias("label"))
