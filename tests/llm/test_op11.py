@@ -207,7 +207,7 @@ def test_large_group_that_shares_a_part(spark):
     docs = frame(spark, texts)
     prints = docs.rdd.map(lambda r: r.text).collect()
     no_links = spark.createDataFrame([], "a long, b long")
-    rows_, _ = op.stored(op.sketches(docs))
+    rows_ = op.sketches(docs)
     found = {tuple(sorted(r)) for r in op.missed(docs, rows_, no_links, op.WORDS).collect()}
     named = {r.fingerprint: r.doc_id for r in rows_.collect()}
     pairs = [(named[a], named[b]) for a, b in found]
@@ -215,3 +215,13 @@ def test_large_group_that_shares_a_part(spark):
     order = {shingled(t): i for i, t in enumerate(texts)}
     true = least_reachable([(order[a], order[b]) for a, b in linked(prints)])
     assert {i: label.get(i, i) for i in range(100)} == {i: true.get(i, i) for i in range(100)} and len(pairs) > 20
+
+
+def test_parities_bound_what_differs():
+    """Sets differ in as many shingles as their parities at least, whatever their sizes; few sets that are not linked pass."""
+    rng = np.random.default_rng(5)
+    for n, other in ((4, 5), (5, 5), (60, 70), (128, 129), (500, 600), (3000, 3600)):
+        for shared in (n, n - 1, n * 9 // 10, n // 2, 0):
+            drawn = rng.integers(0, 1 << 64, n + other - shared, np.uint64)
+            least = op.least_differing([op.parity(drawn[:n])], [op.parity(drawn[n - shared :])])[0, 0]
+            assert least <= n + other - 2 * shared and (shared > n // 2 or n < 60 or 9 * least > n + other)

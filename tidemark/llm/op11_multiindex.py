@@ -27,7 +27,8 @@ range of hashes is cut into parts, half as many as the least set of a class of s
 equal in both, and of the equal ones the greatest, in an order that their content gives, is
 in each set among the first of that order, one more than may differ.  So a set has these parts as keys,
 about a quarter as many as shingles, and sets that are linked share one, always.  Only
-keys of several components are looked at, and sets that share one are verified in full as before.
+keys of several components are looked at; a pair of theirs is verified in full if the parities of the numbers of
+shingles in some places, of which at least as many shingles differ as parities do, allow a link.
 
 Defined cases: a text that is null or without words has an empty set and is linked
 with nothing; equal texts and repeated rows share a component; a very long
@@ -150,18 +151,18 @@ def sliced(batches, rows: int = 512):
 
 
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, text_hash, fingerprint, size, signature, parts) per row; the fingerprint names the set of shingles, ``parts`` are its part keys."""
+    """(doc_id, text_hash, fingerprint, size, signature) per row; the fingerprint names the set of shingles."""
 
     def of(batches):
         hashes = Hashes()
         for batch in sliced(batches):
             sets = [shingles(t, hashes, words) for t in batch.column(2).to_pylist()]
             prints = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, len(sets))
-            made = [pa.array(prints.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([signature(s).tobytes() for s in sets], pa.binary()), pa.array([part_keys(s).view(np.int64) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "text_hash", "fingerprint", "size", "signature", "parts"])
+            made = [pa.array(prints.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([signature(s).tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "text_hash", "fingerprint", "size", "signature"])
 
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    return plain.mapInArrow(of, "doc_id long, text_hash long, fingerprint long, size int, signature binary, parts array<long>")
+    return plain.mapInArrow(of, "doc_id long, text_hash long, fingerprint long, size int, signature binary")
 
 
 def keyed(prints: DataFrame) -> DataFrame:
@@ -281,11 +282,11 @@ def joining(labels: np.ndarray, other_labels: np.ndarray, linked: np.ndarray) ->
     return found
 
 
-def between_components(members: DataFrame, held: DataFrame) -> DataFrame:
-    """(a, b) links of large groups that join components: ``members`` (key, fingerprint, size, label) of one key whose labels differ.
+def in_blocks(members: DataFrame, carried: DataFrame, of) -> DataFrame:
+    """(a, b) pairs that ``of`` finds in blocks of large groups: ``members`` (key, fingerprint, size, label) of one key whose labels differ.
 
-    The sets outside a group's largest component meet all of the group, a block with a block, with their full
-    sets.  A block's links are counted where they meet, and only as many become rows as join its components.
+    The sets outside a group's largest component meet all of the group, a block with a block; ``of`` takes both sides' rows
+    with the columns of ``carried``, and gives their places.
     """
     counts = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"))
     largest = F.max(F.struct("n", "label", "size")).alias("main")
@@ -298,39 +299,120 @@ def between_components(members: DataFrame, held: DataFrame) -> DataFrame:
     outside = each.where("label != main").select("key", own("n_outside").alias("i"), every("n_all").alias("j"), F.lit(True).alias("outside"), "fingerprint", "label")
     everyone = each.select("key", every("n_outside").alias("i"), own("n_all").alias("j"), F.lit(False).alias("outside"), "fingerprint", "label")
 
-    def of(block: pa.Table) -> pa.Table:
-        def side(outside):
-            rows = block.filter(pa.compute.equal(block.column("outside"), outside)).combine_chunks()
-            lists = rows.column("shingles").combine_chunks()
-            return rows.column("fingerprint").to_numpy(), rows.column("label").to_numpy(), lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+    def pairs(block: pa.Table) -> pa.Table:
+        left, right = (block.filter(pa.compute.equal(block.column("outside"), outside)).combine_chunks() for outside in (True, False))
+        i, j = of(left, right)
+        return pa.table([left.column("fingerprint").take(pa.array(i, pa.int64())), right.column("fingerprint").take(pa.array(j, pa.int64()))], ["a", "b"])
+
+    placed = outside.union(everyone).join(carried, "fingerprint")
+    return _ordered(placed.groupBy("key", "i", "j").applyInArrow(pairs, "a long, b long"))
+
+
+def between_components(members: DataFrame, held: DataFrame) -> DataFrame:
+    """(a, b) links of large groups that join components: ``members`` (key, fingerprint, size, label) of one key whose labels differ.
 
-        (prints, labels, left, sizes), (others, other_labels, right, other_sizes) = side(True), side(False)
+    A block's links are counted where full sets meet, and only as many become rows as join its components.
+    """
+
+    def of(left, right):
+        side = lambda rows: (rows.column("label").to_numpy(), (lists := rows.column("shingles").combine_chunks()).flatten().to_numpy(), lists.value_lengths().to_numpy())
+        (labels, own, sizes), (other_labels, others, other_sizes) = side(left), side(right)
         # shared / (sum of sizes - shared) >= 4 / 5
-        linked = 9 * shared_counts(left, sizes, right, other_sizes) >= 4 * (sizes[:, None].astype(np.int64) + other_sizes)
+        linked = 9 * shared_counts(own, sizes, others, other_sizes) >= 4 * (sizes[:, None].astype(np.int64) + other_sizes)
         found = joining(labels, other_labels, linked & (labels[:, None] != other_labels))
-        return pa.table([pa.array([prints[i] for i, _ in found], pa.int64()), pa.array([others[j] for _, j in found], pa.int64())], ["a", "b"])
+        return [i for i, _ in found], [j for _, j in found]
+
+    return in_blocks(members, held, of)
+
+
+def parity(found: np.ndarray) -> bytes:
+    """Whether a set has an odd number of shingles in each of four to eight places a shingle; a power of two, one byte at least."""
+    places = 8 << max(0, (len(found) - 1).bit_length() - 1)
+    return np.packbits(np.bincount((found & np.uint64(places - 1)).astype(np.int64), minlength=places).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def _bits(parities: list[bytes], width: int) -> np.ndarray:
+    """Parities of ``width`` bytes, a row each; longer ones are folded."""
+    folded = [np.bitwise_xor.reduce(np.frombuffer(p, np.uint8).reshape(-1, width)) for p in parities]
+    return np.unpackbits(np.stack(folded), axis=1).astype(np.float32)
+
+
+def least_differing(parities: list[bytes], others: list[bytes]) -> np.ndarray:
+    """For each set and each of the others, a number of shingles by which they differ at least."""
+    width = min(map(len, parities + others))
+    a, b = _bits(parities, width), _bits(others, width)
+    return a.sum(1)[:, None] + b.sum(1) - 2 * (a @ b.T)
+
+
+def parities(held: DataFrame) -> DataFrame:
+    """(fingerprint, size, parity) of full sets."""
+
+    def of(batches):
+        for batch in sliced(batches):
+            sets = [np.asarray(x.values).view(np.uint64) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), pa.array([parity(s) for s in sets], pa.binary())], ["fingerprint", "size", "parity"])
+
+    return held.select("fingerprint", "shingles").mapInArrow(of, "fingerprint long, size int, parity binary")
+
+
+def may_be_linked(pairs: DataFrame, told: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose parities allow a link."""
+
+    def of(batches):
+        for batch in batches:
+            a, b = batch.column("parity_a").to_pylist(), batch.column("parity_b").to_pylist()
+            least = [least_differing([x], [y])[0, 0] for x, y in zip(a, b)]
+            sizes = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
+            yield batch.select(["a", "b"]).filter(pa.array(9 * np.array(least) <= sizes, pa.bool_()))
+
+    side = lambda x: told.select(F.col("fingerprint").alias(x), F.col("size").alias(f"size_{x}"), F.col("parity").alias(f"parity_{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(of, "a long, b long")
+
+
+def may_be_linked_in_groups(members: DataFrame, told: DataFrame) -> DataFrame:
+    """The pairs (a, b) of large groups whose labels differ and whose parities allow a link."""
+
+    def of(left, right):
+        side = lambda rows: (rows.column("label").to_numpy(), rows.column("size").to_numpy(), rows.column("parity").to_pylist())
+        (labels, sizes, own), (other_labels, other_sizes, others) = side(left), side(right)
+        if not own or not others:
+            return [], []
+        return np.nonzero((9 * least_differing(own, others) <= sizes[:, None] + other_sizes) & (labels[:, None] != other_labels))
+
+    return in_blocks(members, told, of)
+
+
+def parted(docs: DataFrame, words: int) -> DataFrame:
+    """(fingerprint, size, parts) per row whose set may be linked with another; ``parts`` are its part keys."""
+
+    def of(batches):
+        hashes = Hashes()
+        for batch in sliced(batches):
+            sets = [s for s in (shingles(t, hashes, words) for t in batch.column(0).to_pylist()) if len(s) > 3]
+            prints = np.fromiter((xxhash.xxh64_intdigest(s.tobytes()) for s in sets), np.uint64, len(sets))
+            yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([part_keys(s).view(np.int64) for s in sets], pa.list_(pa.int64()))], ["fingerprint", "size", "parts"])
 
-    placed = outside.union(everyone).join(held, "fingerprint")
-    return _ordered(placed.groupBy("key", "i", "j").applyInArrow(of, "a long, b long"))
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(of, "fingerprint long, size int, parts array<long>")
 
 
 def missed(docs: DataFrame, rows: DataFrame, linked: DataFrame, words: int) -> DataFrame:
     """(a, b) links that join components of ``linked``; sets that are linked share a part key, so that none is lost."""
-    named = cut(components(linked))
-    told = maybe_among(rows.where("size > 3").select("fingerprint", "parts"), "fingerprint", named.select("node"))
-    # most sets are linked with nothing, and are not shuffled
-    found = told.where("maybe").join(named, F.col("fingerprint") == F.col("node"), "left").select(F.coalesce("label", "fingerprint").alias("label"), "parts")
-    keys = told.where("NOT maybe").select(F.col("fingerprint").alias("label"), "parts").union(found).select("label", F.explode("parts").alias("key"))
-    mixed = cut(keys.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key"))
-    held_by = maybe_among(rows.select("fingerprint", "size", F.explode("parts").alias("key")), "key", mixed).where("maybe").select("key", "fingerprint", "size").distinct()
-    members = held_by.join(mixed, "key").join(named, F.col("fingerprint") == F.col("node"), "left").select("key", "fingerprint", "size", F.coalesce("label", "fingerprint").alias("label"))
-    members = cut(members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key"))
+    named, _ = stored(components(linked))
+    label = F.coalesce("label", "fingerprint").alias("label")
+    keys = parted(docs, words).join(named, F.col("fingerprint") == F.col("node"), "left").select(label, F.explode("parts").alias("key"))
+    mixed, _ = stored(keys.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key"))
+    # the keys are made again, which takes less than to keep them
+    again = parted(docs, words).select("fingerprint", "size", F.explode("parts").alias("key"))
+    held_by = maybe_among(again, "key", mixed).where("maybe").select("key", "fingerprint", "size").distinct()
+    members = cut(held_by.join(mixed, "key").join(named, F.col("fingerprint") == F.col("node"), "left").select("key", "fingerprint", "size", label))
+    members = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
     side = lambda x: members.where(F.col("n") <= FEW).select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("size", "label")], F.col("fingerprint").alias(x))
     pairs = cut(side("a").join(side("b"), "key").where("a < b AND label_a != label_b AND 5 * least(size_a, size_b) >= 4 * greatest(size_a, size_b)").select("a", "b").distinct())
     many = members.where(F.col("n") > FEW).drop("n")
     needed = pairs.select(F.col("a").alias("fingerprint")).union(pairs.select("b")).union(many.select("fingerprint")).distinct()
     held = cut(full_sets(docs, rows, needed, words))
-    return verified(pairs, held).union(cut(between_components(many, held)))
+    told = cut(parities(held))
+    return verified(cut(may_be_linked(pairs, told).union(may_be_linked_in_groups(many, told)).distinct()), held)
 
 
 def links(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
@@ -361,7 +443,7 @@ def links(docs: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
 
 def link(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """A row per document: doc_id, text_hash, n_shingles, component_id, kept (it names its component)."""
-    rows, _ = stored(sketches(docs, words))
+    rows = cut(sketches(docs, words))
     held = rows.where("size > 0").groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     found = components(links(docs, rows, words))
     labelled = held.join(found, held.fingerprint == found.node, "left").select("fingerprint", "least", F.coalesce("label", "fingerprint").alias("label"))
